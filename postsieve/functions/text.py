@@ -22,7 +22,7 @@ SP = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Zero-width characters dropped before matching.
 ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 
-# Characters that every Unicode normalisation form leaves alone and that never combine with a neighbour:
+# Characters that NFC and NFKC leave alone and that never combine with a neighbour:
 # ASCII, Latin-1 letters, common typographic marks, Hangul syllables, CJK ideographs, pictographs.
 # tests/test_functions.py proves this against the Unicode tables.
 STABLE = (
@@ -76,7 +76,7 @@ def any_of(words: list[str]) -> str:
 
 
 def unicode_form(col: Column, form: str) -> Column:
-    """Unicode normalisation (NFC, NFKC, ...).
+    """Unicode normalisation to a composed form (NFC or NFKC).
 
     Spark has no such built-in, so an Arrow function does it. Only texts holding a character that could
     change are handed over; all others cross to Python as NULL and keep their own value.
@@ -117,7 +117,7 @@ def strip_relative_time(text: Column) -> Column:
         rf"|\d+[{SP}]*[smhdw]"
         rf"|\d+[{SP}]*(?:hour|hours|hr|hrs|minute|minutes|min|mins|day|days|week|weeks))[{SP}]*$"
     )
-    return F.when(body.rlike(r"(?U)\d\D{0,24}$"), strip(F.regexp_replace(body, age, ""))).otherwise(strip(body))
+    return strip(F.regexp_replace(body, age, ""))
 
 
 def _find_all(col: Column, pattern: str) -> Column:
