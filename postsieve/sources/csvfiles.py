@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 from postsieve.operators.ingest import serialize_lists
 from postsieve.schemas import POSTS_CSV
 
-# Doubled quotes inside quoted fields, fields may span lines.
-OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# Doubled quotes inside quoted fields, fields may span lines, blanks are kept.
+OPTIONS = {
+    "header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 # Rows per file of our own CSV output: a multi-line file is read by one task, so files must stay small.
 ROWS_PER_FILE = 250_000
