@@ -55,7 +55,7 @@ def pending_posts(
 def join_llm_response(pending: DataFrame, responses: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Attach the recorded answer; ``response`` stays NULL where there is none."""
     answers = responses.select("key", "response").dropDuplicates(["key"])
-    return skew_join(pending, answers, ["key"], "left", [SEQ], hot=hot)
+    return skew_join(pending.drop("response"), answers, ["key"], "left", [SEQ], hot=hot)
 
 
 def with_place(answered: DataFrame) -> DataFrame:

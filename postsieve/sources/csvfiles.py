@@ -38,7 +38,7 @@ def file_encodings(spark: SparkSession, path: str) -> DataFrame:
     Lines are read as raw bytes, so large files are split over tasks and only one row per file is left.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-    as_bytes = F.decode(F.col("value").cast("binary"), F.lit("ISO-8859-1"))
+    as_bytes = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     tested = lines.groupBy("file").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(as_bytes.rlike(CP949_BYTES)).alias("cp949")
     )
