@@ -147,7 +147,8 @@ def remove_emoji(col: Column) -> Column:
     """Drop emoji, including keycaps, joined sequences and their variation marks."""
     one = f"[{EMOJI_BMP}{EMOJI_ASTRAL}]"
     tail = r"[\ufe0f\x{1F3FB}-\x{1F3FF}\x{E0020}-\x{E007F}]*"
-    pattern = rf"[0-9#*]\ufe0f?\u20e3|{one}{tail}(?:\u200d{one}{tail})*"
+    # A joiner goes with the emoji before it when another follows; a repeated group would recurse per member.
+    pattern = rf"[0-9#*]\ufe0f?\u20e3|{one}{tail}(?:\u200d(?={one}))?"
     return F.when(col.rlike(r"[^\x00-\x7f가-힣]|\u20e3"), F.regexp_replace(col, pattern, "")).otherwise(col)
 
 

@@ -19,7 +19,7 @@ OPTIONS = {
 ROWS_PER_FILE = 250_000
 
 # Structure of MS949 (CP949) text, seen byte by byte: ASCII, or a lead byte with its trail byte.
-CP949_BYTES = r"^(?:[\x00-\x7f]|[\x81-\xc6][\x41-\x5a\x61-\x7a\x81-\xfe]|[\xc7-\xfe][\xa1-\xfe])*$"
+CP949_CHAR = r"[\x00-\x7f]+|[\x81-\xc6][\x41-\x5a\x61-\x7a\x81-\xfe]|[\xc7-\xfe][\xa1-\xfe]"
 
 
 def scan_posts_csv(
@@ -40,7 +40,7 @@ def file_encodings(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
     as_bytes = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     tested = lines.groupBy("file").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(as_bytes.rlike(CP949_BYTES)).alias("cp949")
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(F.regexp_replace(as_bytes, CP949_CHAR, "") == "").alias("cp949")
     )
     choice = F.when(F.col("utf8"), "UTF-8").when(F.col("cp949"), "MS949").otherwise("ISO-8859-1")
     return tested.select("file", choice.alias("encoding"))
