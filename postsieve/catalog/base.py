@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postsieve.session import spread_small
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -107,7 +109,8 @@ class Tables:
     @cached_property
     def posts(self) -> DataFrame:
         """Posts with text columns as a CSV would bring them."""
-        return self["documents"].selectExpr(*[f"{e} AS `{c}`" for c, e in post_columns(PHRASES).items()])
+        docs = spread_small(self["documents"], "doc_id")
+        return docs.selectExpr(*[f"{e} AS `{c}`" for c, e in post_columns(PHRASES).items()])
 
     @cached_property
     def posts_raw(self) -> DataFrame:

@@ -14,7 +14,7 @@ KOREAN_SQL = "|".join(r"\s*".join(GAP.join(part) for part in phrase) for phrase
 ENGLISH_SQL = "|".join(r"\s*".join(p) for p in words.KEY_WORDS)
 TAGS_SQL = "[" + ", ".join(f"'{t.lower().lstrip('#')}'" for t in words.AD_TAGS) + "]"
 SIMPLE_SQL = " OR ".join(f"contains(lower(content), '{w.lower()}')" for w in words.SIMPLE_WORDS)
-LINKS_SQL = "|".join(words.LINK_PATTERNS)
+LINKS_SQL = "|".join(w.replace(".", r"\.") for w in words.LINKS)
 
 SIGNALS_SQL = rf"""signals AS (SELECT *, list_has_any(tags, {TAGS_SQL}) AS h,
     regexp_matches(content, '(?i){KOREAN_SQL}') OR regexp_matches(content, '(?i)(^|[^\p{{L}}\p{{N}}_])(?:{ENGLISH_SQL})([^\p{{L}}\p{{N}}_]|$)') AS k,

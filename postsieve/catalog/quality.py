@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from postsieve.catalog.base import POSTS, SCORED_SQL, query
@@ -131,7 +132,7 @@ def stratified_folds(t):
     "text_stats",
     r"""SELECT ingest_seq, length(content) AS len, length(list_filter(string_split_regex(content, '\s+'), lambda x: x <> '')) AS words,
         length(content) - length(replace(content, '!', '')) AS exc, length(content) - length(replace(content, '?', '')) AS q,
-        length(content) - length(regexp_replace(content, '\d', '', 'g')) AS digits, 0 AS emoji FROM posts""",
+        length(content) - length(regexp_replace(content, '\d', '', 'g')) AS digits, CAST(0 AS BIGINT) AS emoji FROM posts""",
     POSTS,
 )
 def text_stats(t):
@@ -141,7 +142,7 @@ def text_stats(t):
 @query(
     "extra_stats",
     r"""SELECT ingest_seq, round(ln(1 + coalesce(try_cast(likes AS DOUBLE), 0)), 9) AS likes_log1p,
-        CASE ingest_seq % 4 WHEN 0 THEN 3 WHEN 3 THEN 1 ELSE 0 END AS comment_count,
+        CAST(CASE ingest_seq % 4 WHEN 0 THEN 3 WHEN 3 THEN 1 ELSE 0 END AS BIGINT) AS comment_count,
         length(coalesce(hashtags_json, '')) - length(replace(coalesce(hashtags_json, ''), '#', '')) AS hashtag_count FROM posts""",
     POSTS,
 )
@@ -160,9 +161,8 @@ GRAMS_SQL = f"""flat AS (SELECT ingest_seq, unnest(list_filter(string_split_rege
     grams AS (SELECT ingest_seq, substr(w, i, n) AS term FROM (SELECT ingest_seq, w, n, unnest(range(1, length(w) - n + 2)) AS i FROM sized WHERE n <= length(w)))"""
 
 
-def grams(t):
-    masked = fx.mask_rule_signals(F.col("content"))
-    return t.posts.select("ingest_seq", masked.alias("masked")).select("ingest_seq", fx.char_wb_ngrams(F.col("masked")).alias("grams"))
+def words(t):
+    return t.posts.select("ingest_seq", fx.plain_words(fx.mask_rule_signals(F.col("content"))).alias("words"))
 
 
 @query(
@@ -173,7 +173,7 @@ def grams(t):
 )
 def char_wb_ngrams(t):
     g = F.col("grams")
-    return grams(t).select(
+    return words(t).withColumn("grams", fx.char_wb_ngrams(F.col("words"))).select(
         "ingest_seq", F.size(g).cast("bigint").alias("n"), F.size(F.array_distinct(g)).cast("bigint").alias("n_distinct"),
         F.array_min(g).alias("first_term"), F.array_max(g).alias("last_term"),
     )
@@ -185,7 +185,7 @@ VOCAB_SQL = """vocab AS (SELECT term, count(DISTINCT ingest_seq) AS df, count(*)
 
 @query("vocab_top_k", "SELECT term, df, tf FROM vocab", POSTS, GRAMS_SQL, VOCAB_SQL)
 def vocab_top_k(t):
-    return fx.vocab_top_k(grams(t), "grams", max_features=4000)
+    return fx.vocab_top_k(words(t), "words", max_features=4000)
 
 
 @query(
@@ -197,10 +197,16 @@ def vocab_top_k(t):
     POSTS, GRAMS_SQL, VOCAB_SQL,
 )
 def tfidf(t):
-    g = grams(t)
-    weights = fx.tfidf_terms(g, "ingest_seq", "grams", fx.vocab_top_k(g, "grams", max_features=4000))
-    return weights.groupBy("ingest_seq").agg(
-        F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("peak")
+    w = cut_lineage(words(t), "words")  # masked text is costly and read three times
+    model = fx.tfidf_model(w, "words", fx.vocab_top_k(w, "words", max_features=4000))
+    vectors = model.transform(w.withColumn("_grams", fx.char_wb_ngrams(F.col("words"))))
+    weights = F.filter(vector_to_array("_tfidf"), lambda x: x > 0)
+    return (
+        vectors.select("ingest_seq", weights.alias("w")).where(F.size("w") > 0)
+        .select(
+            "ingest_seq", F.size("w").cast("bigint").alias("terms"),
+            F.round(F.aggregate("w", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.array_max("w"), 6).alias("peak"),
+        )
     )
 
 
@@ -221,16 +227,12 @@ def vectors(t, cfg=SMALL):
 
 @query("assemble_features")
 def assemble_features(t):
-    from pyspark.ml.functions import vector_to_array
-
     sized = F.transform(vector_to_array("raw_features"), lambda x: F.abs(x))
     return vectors(t).select("ingest_seq", F.size(sized).alias("n"), F.round(F.aggregate(sized, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 @query("scale_features")
 def scale_features(t):
-    from pyspark.ml.functions import vector_to_array
-
     v = vectors(t)
     scaled = qc.classifier(SMALL, 1).getStages()[0].fit(v).transform(v)
     return scaled.select("ingest_seq", F.round(F.get(vector_to_array("features"), 0), 6).alias("first"))

@@ -40,12 +40,11 @@ CTA_WORDS = [
 ]
 
 # Link starts and hosts, found anywhere in the text.
-LINK_PATTERNS = [
-    r"https?://", r"linktr\.ee", r"smartstore(?:\.naver\.com)?", r"shopping\.naver\.com", r"naver\.me",
-    r"coupa\.ng", r"forms\.gle", r"forms\.office\.com", r"tally\.so", r"instabio", r"link\.inbio",
-    r"linkin\.bio", r"pf\.kakao\.com", r"open\.kakao\.com", r"page\.stibee\.com", r"link\.inpock",
-    r"urlr\.me", r"kko\.to", r"bit\.ly", r"t\.co", r"goo\.gl", r"notion\.site", r"instagram\.com/p/",
-    r"youtu\.be", r"youtube\.com",
+LINKS = [
+    "http://", "https://", "linktr.ee", "smartstore", "smartstore.naver.com", "shopping.naver.com", "naver.me",
+    "coupa.ng", "forms.gle", "forms.office.com", "tally.so", "instabio", "link.inbio", "linkin.bio",
+    "pf.kakao.com", "open.kakao.com", "page.stibee.com", "link.inpock", "urlr.me", "kko.to",
+    "bit.ly", "t.co", "goo.gl", "notion.site", "instagram.com/p/", "youtu.be", "youtube.com",
 ]
 
 # Korean mobile number.

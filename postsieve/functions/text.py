@@ -6,7 +6,7 @@ Unicode blanks (no-break space, ideographic space) which posts contain.
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -64,15 +64,15 @@ def is_blank(col: Column) -> Column:
     return col.isNull() | (strip(col) == "")
 
 
-def any_of(words: list[str]) -> str:
-    """Pattern that finds any of the words as a substring.
+def contains_any(lowered: Column, words: list[str]) -> Column:
+    """Does a lower-cased text hold any of the words as a substring?
 
-    Words that contain another listed word add nothing and are left out. The leading look-ahead lets the
-    matcher reject a position by one character class test instead of trying every word there.
+    A chain of byte searches beats one large alternation several times over, since most bytes are dismissed by one
+    comparison. Words that hold another listed word add nothing and are left out.
     """
-    lean = [w for w in words if not any(o != w and o in w for o in words)]
-    heads = "".join(sorted({re.escape(c) for w in lean for c in (w[0].lower(), w[0].upper())}))
-    return f"(?=[{heads}])(?:" + "|".join(re.escape(w) for w in lean) + ")"
+    lows = list(dict.fromkeys(w.lower() for w in words))
+    lean = [w for w in lows if not any(o != w and o in w for o in lows)]
+    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in lean])
 
 
 def unicode_form(col: Column, form: str) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -63,56 +66,67 @@ def extra_stats(df: DataFrame) -> dict[str, Column]:
     return out
 
 
-def char_wb_ngrams(col: Column, sizes: tuple[int, ...] = GRAM_SIZES) -> Column:
+def plain_words(col: Column) -> Column:
+    """Lower-cased words between single blanks, one blank at either end."""
+    single = text.strip(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), rf"[{SP}]+", " "))
+    return F.concat(F.lit(" "), single, F.lit(" "))
+
+
+def char_wb_ngrams(words_col: Column, sizes: tuple[int, ...] = GRAM_SIZES) -> Column:
     """Character n-grams inside words, each word padded by one blank on either side.
 
-    In text with single blanks these are the runs of n characters that have no blank but at an end.
-    One look-ahead per start position finds them without splitting the text into words.
+    In text of ``plain_words`` these are the runs of n characters that have no blank but at an end. One look-ahead
+    per start position finds them without splitting the text into words.
     """
-    flat = F.concat(F.lit(" "), text.strip(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), rf"[{SP}]+", " ")), F.lit(" "))
     return F.concat(
-        *[F.regexp_extract_all(flat, F.lit(rf"(?s)(?=(.[^ ]{{{n - 2}}}.))."), F.lit(1)) for n in sizes]
+        *[F.regexp_extract_all(words_col, F.lit(rf"(?s)(?=(.[^ ]{{{n - 2}}}.))."), F.lit(1)) for n in sizes]
     )
 
 
-def vocab_top_k(df: DataFrame, grams: str, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:
+def vocab_top_k(df: DataFrame, words_col: str, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:
     """Most frequent terms among those in at least ``min_df`` rows: term, df, tf.
 
-    Each row sends its terms and its distinct terms; counts are combined map-side, so only one row per term and
-    task is shuffled.
+    Terms lie inside words. So frequencies come from one row per distinct word, weighted by its count, and document counts
+    from the distinct words of each row. Both are combined map-side: one row per word or term and task is shuffled.
     """
-    both = df.select(
-        F.size(grams).alias("_n"), F.posexplode(F.concat(F.col(grams), F.array_distinct(grams))).alias("_i", "term")
+    split = F.filter(F.split(F.col(words_col), " "), lambda w: w != "")
+    word_counts = df.select(F.explode(split).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    padded = F.concat(F.lit(" "), F.col("_w"), F.lit(" "))
+    tf = (
+        word_counts.select("_n", F.explode(char_wb_ngrams(padded)).alias("term"))
+        .groupBy("term").agg(F.sum("_n").alias("tf"))
     )
-    once = F.col("_i") >= F.col("_n")
-    return (
-        both.groupBy("term")
-        .agg(F.count_if(once).alias("df"), F.count_if(~once).alias("tf"))
+    once = F.concat(F.lit(" "), F.array_join(F.array_distinct(split), " "), F.lit(" "))
+    document_counts = (
+        df.select(once.alias("_once"))
+        .select(F.explode(F.array_distinct(char_wb_ngrams(F.col("_once")))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= min_df)
-        .orderBy(F.col("tf").desc(), "term")
-        .limit(max_features)
     )
+    return document_counts.join(tf, "term").orderBy(F.col("tf").desc(), "term").limit(max_features)
 
 
 def smooth_idf(df_count: Column, rows: Column) -> Column:
     return F.ln((rows + 1) / (df_count + 1)) + 1
 
 
-def tfidf_terms(df: DataFrame, id_col: str, grams: str, vocab: DataFrame) -> DataFrame:
-    """Weight of each vocabulary term of each row, rows scaled to length 1.
+def tfidf_model(df: DataFrame, words_col: str, vocab: DataFrame, grams_col: str = "_grams", out: str = "_tfidf") -> PipelineModel | None:
+    """Vectoriser: term counts times smoothed idf, rows scaled to length 1; None for an empty vocabulary.
 
-    The vocabulary has at most max_features rows of a few characters, hence the broadcast.
+    The vocabulary, at most max_features short strings, becomes part of the model, so it is read to the driver. With a
+    fixed factor per term, vectors are made row by row without a shuffle.
     """
     rows = df.agg(F.count(F.lit(1))).scalar()
-    known = F.broadcast(vocab.select("term", smooth_idf(F.col("df"), rows).alias("_idf")))
-    counts = (
-        df.select(id_col, F.explode(grams).alias("term"))
-        .join(known, "term")
-        .groupBy(id_col, "term")
-        .agg((F.count(F.lit(1)) * F.max("_idf")).alias("_w"))
+    terms = vocab.select("term", smooth_idf(F.col("df"), rows).alias("idf")).collect()
+    if not terms:
+        return None
+    return PipelineModel(
+        [
+            CountVectorizerModel.from_vocabulary([t["term"] for t in terms], grams_col, "_tf"),
+            ElementwiseProduct(scalingVec=Vectors.dense([t["idf"] for t in terms]), inputCol="_tf", outputCol="_scaled"),
+            Normalizer(p=2.0, inputCol="_scaled", outputCol=out),
+        ]
     )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(id_col)))
-    return counts.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions import adwords as words
 from postsieve.functions import coerce
-from postsieve.functions.text import SP, any_of, fold_tags, hashtags_loose, normalize_nfkc
+from postsieve.functions.text import SP, contains_any, fold_tags, hashtags_loose, normalize_nfkc
 from postsieve.operators.dedupe import SEQ
 from postsieve.schemas import dtype_of, require
 
@@ -23,22 +25,23 @@ def _holds_other(phrase: list[str], others: list[list[str]]) -> bool:
     )
 
 
-def key_phrase_pattern() -> str:
-    """One alternation for all key phrases.
+def lean_phrases() -> list[list[str]]:
+    """Korean phrases without those that contain a shorter listed one, which cannot change the outcome."""
+    return [p for p in words.KEY_PHRASES if not _holds_other(p, words.KEY_PHRASES)]
 
-    Phrases that contain a shorter listed one cannot change the outcome and are left out. Each half starts with a
-    look-ahead on the possible first letters, so most positions of a text are dismissed by one test.
-    """
+
+def korean_pattern() -> str:
     gap = words.LETTER_GAP
-    lean = [p for p in words.KEY_PHRASES if not _holds_other(p, words.KEY_PHRASES)]
-    korean = [f"[{SP}]*".join(gap.join(map(re.escape, part)) for part in phrase) for phrase in lean]
-    english = [f"[{SP}]*".join(parts) for parts in words.KEY_WORDS]
-    korean_heads = "".join(sorted({p[0][0] for p in lean}))
-    english_heads = "".join(sorted({p[0][0].lower() for p in words.KEY_WORDS}))
-    return (
-        f"(?iU)(?:(?=[{korean_heads}])(?:{'|'.join(korean)})"
-        rf"|(?=[{english_heads}])\b(?:{'|'.join(english)})\b)"
-    )
+    phrases = [f"[{SP}]*".join(gap.join(map(re.escape, part)) for part in phrase) for phrase in lean_phrases()]
+    heads = "".join(sorted({p[0][0] for p in lean_phrases()}))
+    return f"(?=[{heads}])(?:{'|'.join(phrases)})"
+
+
+def english_pattern() -> str:
+    """Whole words. The first two letters are tested as a pair, since word boundaries are costly to test."""
+    phrases = [f"[{SP}]*".join(parts).lower() for parts in words.KEY_WORDS]
+    first, second = ("".join(sorted({p[i] for p in phrases})) for i in (0, 1))
+    return rf"(?U)(?=[{first}][{second}])\b(?:{'|'.join(phrases)})\b"
 
 
 def tags_union(tags: Column, text: Column) -> Column:
@@ -52,21 +55,23 @@ def tag_dictionary_match(tags: Column) -> Column:
     return F.arrays_overlap(tags, F.array(*[F.lit(t) for t in folded]))
 
 
-def rule_kw(text: Column) -> Column:
-    return text.rlike(key_phrase_pattern())
+def rule_kw(lowered: Column) -> Column:
+    """Key phrase in a lower-cased text. The Korean pattern only runs where all letters of one phrase occur."""
+    letters = [sorted(set("".join(phrase))) for phrase in lean_phrases()]
+    possible = reduce(or_, [reduce(and_, [F.contains(lowered, F.lit(c)) for c in some]) for some in letters])
+    return F.when(possible, lowered.rlike(korean_pattern())).otherwise(False) | lowered.rlike(english_pattern())
 
 
-def rule_kw_simple(text: Column) -> Column:
-    return F.lower(text).rlike(any_of([w.lower() for w in words.SIMPLE_WORDS]))
+def rule_kw_simple(lowered: Column) -> Column:
+    return contains_any(lowered, words.SIMPLE_WORDS)
 
 
-def rule_cta(text: Column) -> Column:
-    return text.rlike("(?iu)" + any_of(words.CTA_WORDS))
+def rule_cta(lowered: Column) -> Column:
+    return contains_any(lowered, words.CTA_WORDS)
 
 
-def rule_link(text: Column) -> Column:
-    heads = "".join(sorted({p[0] for p in words.LINK_PATTERNS}))
-    return text.rlike(f"(?i)(?=[{heads}])(?:{'|'.join(words.LINK_PATTERNS)})")
+def rule_link(lowered: Column) -> Column:
+    return contains_any(lowered, words.LINKS)
 
 
 def rule_phone(text: Column) -> Column:
@@ -76,7 +81,8 @@ def rule_phone(text: Column) -> Column:
 def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str = "hashtags") -> DataFrame:
     """Adds one boolean per rule, named ``why_<signal>``.
 
-    The normalised text is its own projection step: Catalyst keeps it apart because several rules use it.
+    The normalised text and its lower-case form are projection steps of their own: Catalyst keeps them apart because
+    several rules use them.
     """
     require(df, content_col)
     if hashtags_col not in df.columns:
@@ -85,20 +91,21 @@ def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str =
         tags = F.coalesce(F.col(hashtags_col), coerce.empty_list())
     else:
         tags = coerce.coerce_tags(F.col(hashtags_col))
-    text = F.col("_text")
+    text, lowered = F.col("_text"), F.col("_lowered")
     return (
         df.withColumn("_text", normalize_nfkc(F.col(content_col).cast("string")))
+        .withColumn("_lowered", F.lower(text))
         .withColumns(
             {
                 "why_hash": tag_dictionary_match(tags_union(tags, text)),
-                "why_kw": rule_kw(text),
-                "why_cta": rule_cta(text),
-                "why_link": rule_link(text),
+                "why_kw": rule_kw(lowered),
+                "why_cta": rule_cta(lowered),
+                "why_link": rule_link(lowered),
                 "why_phone": rule_phone(text),
             }
         )
-        .withColumn("why_kw_simple", F.when(F.col("why_kw"), False).otherwise(rule_kw_simple(text)))
-        .drop("_text")
+        .withColumn("why_kw_simple", F.when(F.col("why_kw"), False).otherwise(rule_kw_simple(lowered)))
+        .drop("_text", "_lowered")
     )
 
 

@@ -6,11 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, Normalizer, StandardScaler, VectorAssembler,
-)
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,32 +45,18 @@ def feature_columns(df: DataFrame, cfg: QcConfig) -> tuple[DataFrame, list[str]]
     out = df.withColumns(numbers)
     if cfg.use_text:
         masked = fx.mask_rule_signals(text) if cfg.mask_signals else F.coalesce(text, F.lit(""))
-        out = out.withColumn("_masked", masked).withColumn("_grams", fx.char_wb_ngrams(F.col("_masked"))).drop("_masked")
+        out = out.withColumn("_words", fx.plain_words(masked)).withColumn("_grams", fx.char_wb_ngrams(F.col("_words")))
     return out, list(numbers)
 
 
 def fit_features(prepared: DataFrame, numbers: list[str], cfg: QcConfig) -> PipelineModel:
-    """Vectoriser: numeric columns next to length-1 tf-idf vectors.
-
-    The vocabulary (at most ``max_features`` short strings) becomes part of the model, so it is read to the driver.
-    Weighting is a fixed factor per term, hence vectors are made row by row without a shuffle.
-    """
+    """Vectoriser: numeric columns next to length-1 tf-idf vectors."""
     stages, inputs = [], list(numbers)
     if cfg.use_text:
-        rows = prepared.agg(F.count(F.lit(1))).scalar()
-        vocab = (
-            fx.vocab_top_k(prepared, "_grams", cfg.min_df, cfg.max_features)
-            .select("term", fx.smooth_idf(F.col("df"), rows).alias("idf"))
-            .collect()
-        )
-        if vocab:
-            counts = CountVectorizerModel.from_vocabulary([v["term"] for v in vocab], "_grams", "_tf")
-            weights = Vectors.dense([v["idf"] for v in vocab])
-            stages = [
-                counts,
-                ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_weighted"),
-                Normalizer(p=2.0, inputCol="_weighted", outputCol="_tfidf"),
-            ]
+        vocab = fx.vocab_top_k(prepared, "_words", cfg.min_df, cfg.max_features)
+        text = fx.tfidf_model(prepared, "_words", vocab)
+        if text is not None:
+            stages.append(text)
             inputs.append("_tfidf")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="keep"))
     return PipelineModel(stages)

@@ -53,3 +53,23 @@ def cut_lineage(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SMALL_FILES, SMALL_BYTES = 16, 256 << 20
+
+
+def spread_small(df, *keys: str):
+    """Spread a small input over the cores before heavy work on each row.
+
+    A small Parquet file is often one row group and hence one task. Large inputs come in many splits and are left
+    alone, so no shuffle is added where it would cost something.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    if not 0 < len(files) <= SMALL_FILES:
+        return df
+    conf = spark._jsc.hadoopConfiguration()
+    size = 0
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return df.repartition(spark.sparkContext.defaultParallelism, *keys) if size < SMALL_BYTES else df
