@@ -133,7 +133,7 @@ class Tables:
 
     @cached_property
     def places(self) -> DataFrame:
-        named = self["customer"].selectExpr("c_name AS name", "c_custkey AS k").unionByName(
+        named = spread_small(self["customer"], "c_custkey").selectExpr("c_name AS name", "c_custkey AS k").unionByName(
             self["supplier"].selectExpr("s_name AS name", "s_suppkey + 1000000 AS k")
         )
         return named.selectExpr(*[f"{e} AS {c}" for c, e in PLACE_COLUMNS.items()])

@@ -139,7 +139,11 @@ def apply_ad_rules(
     df: DataFrame, content_col: str = "content", hashtags_col: str = "hashtags", thr: int = 40,
     mode: str = "balanced", keep_signals: bool = False,
 ) -> DataFrame:
-    """Adds rule_score, rule_why and is_ad. No shuffle: every rule is an expression over its own row."""
+    """Adds rule_score, rule_why and is_ad. No shuffle: every rule is an expression over its own row.
+
+    Write the result before filtering on it, as the label job does: Catalyst moves such a filter below the projection
+    and would evaluate the rules twice.
+    """
     scored = (
         ad_signals(df.drop("rule_score", "rule_why", "is_ad"), content_col, hashtags_col)
         .withColumn("rule_score", ad_score())
@@ -163,7 +167,7 @@ def label_distribution(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def top_rule_hits(df: DataFrame, n: int, columns: list[str] | None = None) -> DataFrame:
     """The n rows with most points."""
-    wanted = columns or ["content", "rule_score", "rule_why", "is_ad", "hashtags"]
+    wanted = columns or [c for c in ("content", "rule_score", "rule_why", "is_ad", "hashtags") if c in df.columns]
     return df.orderBy(F.col("rule_score").desc(), F.col(SEQ)).limit(n).select(*wanted)
 
 

@@ -14,7 +14,7 @@ from postsieve.schemas import conform, dtype_of
 
 RADIUS_M = 300.0
 SIMILARITY = 80  # percent
-GRAM = 8  # characters of a name key
+GRAM = 3  # most characters of a name piece
 
 # Category code of food places, and the source tags of a match.
 FOOD = "FD6"
@@ -66,12 +66,10 @@ def names_match(query: Column, candidate: Column, percent: int) -> Column:
 
 def _grams(name: Column) -> Column:
     """All distinct substrings of 1 to GRAM characters."""
-    size = F.length(name)
-    parts = F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(GRAM), size)),
-        lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substr(name, i, n)),
+    sizes = range(1, GRAM + 1)
+    return F.array_distinct(
+        F.concat(*[F.regexp_extract_all(name, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in sizes])
     )
-    return F.when(size > 0, F.array_distinct(F.flatten(parts))).otherwise(coerce.empty_list())
 
 
 def _segments(name: Column, percent: int) -> Column:
@@ -122,10 +120,13 @@ def places_within_radius(
         queries.where("lat is not null and lng is not null")
         .withColumn("q_norm", text.norm_name(F.col("query_name")))
         .where("q_norm <> ''")
-        .select("query_name", "road_address", F.col("lat").alias("q_lat"), F.col("lng").alias("q_lng"), "q_norm")
+        .select(
+            "query_name", "road_address", F.col("lat").alias("q_lat"), F.col("lng").alias("q_lng"), "q_norm",
+            query_keys(F.col("q_norm")).alias("pieces"),
+        )
     )
-    probes = q.select("*", F.explode(grid.cells_near(F.col("q_lat"), F.col("q_lng"))).alias("cell")).select(
-        "*", F.explode(query_keys(F.col("q_norm"))).alias("piece")
+    probes = q.withColumn("cell", F.explode(grid.cells_near(F.col("q_lat"), F.col("q_lng")))).withColumn(
+        "piece", F.explode("pieces")
     )
     p = places.withColumn("p_norm", text.norm_name(F.col("place_name"))).where("p_norm <> ''")
     listed = p.select(
@@ -134,7 +135,7 @@ def places_within_radius(
     )
     near = haversine_m(F.col("q_lat"), F.col("q_lng"), F.col("lat"), F.col("lng")) <= radius_m
     match = names_match(F.col("q_norm"), F.col("p_norm"), percent)
-    met = probes.join(listed, ["cell", "piece"])
+    met = probes.drop("pieces").join(listed, ["cell", "piece"])
     kept = ["query_name", "road_address", *places.columns]
     contains = F.contains(F.col("p_norm"), F.col("q_norm")).alias("name_hit")
     return met.where(near & match).select(*kept, contains).distinct()
@@ -224,13 +225,16 @@ def merge_near_places(
         .groupBy("_name", "lat", "lng")
         .agg(F.min(id_col).alias("_id"))
     )
-    probes = spots.select(
-        "_name", "lat", "lng", "_id", F.explode(grid.cells_near(F.col("lat"), F.col("lng"))).alias("cell")
-    ).select("*", F.explode(_tagged("p", _grams(F.col("_name")))).alias("piece"))
+    probes = (
+        spots.withColumn("pieces", _grams(F.col("_name")))
+        .withColumn("cell", F.explode(grid.cells_near(F.col("lat"), F.col("lng"))))
+        .withColumn("piece", F.explode("pieces"))
+        .drop("pieces")
+    )
     others = spots.select(
         F.col("_name").alias("o_name"), F.col("lat").alias("o_lat"), F.col("lng").alias("o_lng"),
         F.col("_id").alias("o_id"), grid.cell(F.col("lat"), F.col("lng")).alias("cell"),
-        F.explode(_tagged("p", _segments(F.col("_name"), percent))).alias("piece"),
+        F.explode(_segments(F.col("_name"), percent)).alias("piece"),
     )
     met = probes.join(others, ["cell", "piece"]).where(
         (F.col("o_id") < F.col("_id"))

@@ -61,7 +61,7 @@ def split_points(df: DataFrame, column: str, buckets: int) -> list[float]:
     """Bounds of about equally full value ranges: a bounded list, from a mergeable quantile sketch."""
     steps = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(column, steps, 1.0 / (4 * buckets))
-    return [float("-inf"), *sorted(set(found)), float("inf")]
+    return [float("-inf"), *(sorted(set(found)) or [0.0]), float("inf")]
 
 
 def running_sums(
@@ -73,6 +73,8 @@ def running_sums(
     window inside a range only has that range's rows.
     """
     cuts = cuts or split_points(df, order, buckets)
+    if len(cuts) < 3:
+        raise ValueError("at least one bound between the infinities is needed")
     ranged = Bucketizer(splits=cuts, inputCol=order, outputCol="_range", handleInvalid="keep").transform(df)
     direction = F.col("_range").desc() if descending else F.col("_range").asc()
     before = W.partitionBy(F.lit(0)).orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
