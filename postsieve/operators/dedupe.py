@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postsieve.functions.text import is_blank
+from postsieve.operators.skew import skew_join
 
 SEQ = "ingest_seq"
 
@@ -57,9 +58,10 @@ def key_counts(df: DataFrame, field: str, seq: str = SEQ) -> DataFrame:
 def duplicate_rows(df: DataFrame, field: str, seq: str = SEQ) -> DataFrame:
     """Every row of a group but its first, as rows (a list per group would have no size bound)."""
     groups = key_counts(df, field, seq).select(F.xxhash64(field).alias("_kh"), F.col(field).alias("_field"), "keep_seq")
-    rows = df.select(F.xxhash64(field).alias("_kh"), F.col(field), F.col(seq))
-    same = (rows["_kh"] == groups["_kh"]) & rows[field].eqNullSafe(groups["_field"])
-    return rows.join(groups, same).where(F.col(seq) > F.col("keep_seq")).select(field, seq, "keep_seq")
+    rows = df.select(F.xxhash64(field).alias("_kh"), field, seq)
+    met = skew_join(rows, groups, ["_kh"], "inner", [seq])
+    same = F.col(field).eqNullSafe(F.col("_field"))  # hashes may collide, and NULLs form a group
+    return met.where(same & (F.col(seq) > F.col("keep_seq"))).select(field, seq, "keep_seq")
 
 
 def assert_unique_key(df: DataFrame, key: str) -> DataFrame:

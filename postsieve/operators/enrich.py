@@ -54,7 +54,7 @@ def pending_posts(
 
 def join_llm_response(pending: DataFrame, responses: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Attach the recorded answer; ``response`` stays NULL where there is none."""
-    answers = responses.select("key", "response").dropDuplicates(["key"])
+    answers = responses.groupBy("key").agg(F.max("response").alias("response"))
     return skew_join(pending.drop("response"), answers, ["key"], "left", [SEQ], hot=hot)
 
 
@@ -90,10 +90,17 @@ def extracted_rows(accepted: DataFrame) -> DataFrame:
 
 
 def merge_extracted(old: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Previous and new results, the latest per text. New rows win over old ones of the same text."""
-    both = old.withColumn("_new", F.lit(0)).unionByName(new_rows.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    ranked = both.withColumn("_order", F.struct("_new", SEQ))
-    return dedupe_keep_last(ranked, ["content"], "_order").drop("_new", "_order")
+    """Previous and new results, one per text; a new row replaces the old one of the same text.
+
+    Both inputs are unique per text, so old rows need no new deduplication: those with a new version drop out by an
+    anti join, which adaptive execution turns into a broadcast when a run adds little.
+    """
+    def texts(df: DataFrame) -> DataFrame:
+        return df.withColumn("_text_hash", F.xxhash64("content"))
+
+    replaced = texts(new_rows.select("content"))
+    kept = texts(old).join(replaced, ["_text_hash", "content"], "left_anti").drop("_text_hash")
+    return kept.unionByName(new_rows, allowMissingColumns=True)
 
 
 def merge_fail_log(old: DataFrame, answered: DataFrame, now: Column) -> DataFrame:
@@ -136,4 +143,5 @@ def read_fail_log(raw: DataFrame, seq: str | None = None) -> DataFrame:
         F.coalesce(F.col("sample_tag").cast("string"), F.lit("")).alias("sample_tag"),
         *([seq] if seq else []),
     )
-    return dedupe_keep_last(typed, ["key"], seq).drop(seq) if seq else typed.dropDuplicates(["key"])
+    latest = dedupe_keep_last(typed, ["key"], seq or "last_ts")
+    return latest.drop(seq) if seq else latest

@@ -91,14 +91,14 @@ def fill_date(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         }
     )
     keys = ["_pid", "_chunk"]
-    dated = base.where("_pid is not null and _own is not null")
-    edges = dated.groupBy(*keys).agg(F.max_by("_own", SEQ).alias("_last"), F.min_by("_own", SEQ).alias("_first"))
-    # Every chunk of the post needs its neighbours' edges, also a chunk that has no date itself.
-    chunks = base.where("_pid is not null").groupBy(*keys).agg(F.count("_own").alias("_dated"))
+    own_seq = F.when(F.col("_own").isNotNull(), F.col(SEQ))
+    # One row per post and chunk, combined map-side; a chunk without a date still needs its neighbours' dates.
+    edges = base.where("_pid is not null").groupBy(*keys).agg(
+        F.max_by("_own", own_seq).alias("_last"), F.min_by("_own", own_seq).alias("_first")
+    )
     across = W.partitionBy("_pid").orderBy("_chunk")
     carried = (
-        chunks.join(edges, keys, "left")
-        .select(
+        edges.select(
             *keys,
             F.last("_last", True).over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_carry_fwd"),
             F.first("_first", True).over(across.rowsBetween(1, W.unboundedFollowing)).alias("_carry_back"),

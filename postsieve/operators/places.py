@@ -42,7 +42,8 @@ def geocode_address(queries: DataFrame, gazetteer: DataFrame) -> DataFrame:
     is split by adaptive execution, which may do so for the left side of a left join.
     """
     distinct = queries.where("road_address <> ''").select("query_name", "road_address").distinct()
-    known = gazetteer.dropDuplicates(["road_address"])
+    facts = F.struct(*[c for c in gazetteer.columns if c != "road_address"])
+    known = gazetteer.groupBy("road_address").agg(F.min(facts).alias("facts")).select("road_address", "facts.*")
     return distinct.join(known, "road_address", "left")
 
 

@@ -17,9 +17,9 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int
     At most 1/share keys can do so, hence the result has a fixed size bound and may be broadcast. Two keys
     with one hash only cause some needless salting.
     """
-    counts = df.groupBy(F.xxhash64(*keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(F.xxhash64(*keys).alias("_key_hash")).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where((F.col("_n") > rows) & (F.col("_n") > total * share)).select("_kh")
+    return counts.where((F.col("_n") > rows) & (F.col("_n") > total * share)).select("_key_hash")
 
 
 def skew_join(
@@ -40,7 +40,7 @@ def skew_join(
     hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("_kh", F.xxhash64(*keys)).join(hot, "_kh", "left").drop("_kh")
+        return df.withColumn("_key_hash", F.xxhash64(*keys)).join(hot, "_key_hash", "left").drop("_key_hash")
 
     salt = F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.lit(fan)).cast("int")
     salted_left = marked(left).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
