@@ -59,10 +59,13 @@ def join_llm_response(pending: DataFrame, responses: DataFrame, hot: DataFrame |
 
 
 def with_place(answered: DataFrame) -> DataFrame:
-    """Adds ``answer`` and ``place``: the accepted single place, NULL for a failure."""
-    return answered.withColumn("answer", validate_answer(F.col("response"))).withColumn(
-        "place", single_place(F.col("answer"))
-    )
+    """Adds ``answer`` and ``place``: the accepted single place, NULL for a failure.
+
+    The generator keeps later filters on ``place`` from being moved below the validation and repeating it.
+    """
+    judged = answered.withColumn("_answer", validate_answer(F.col("response")))
+    both = F.struct(F.col("_answer").alias("answer"), single_place(F.col("_answer")).alias("place"))
+    return judged.select(*answered.columns, F.inline(F.array(both)))
 
 
 def extracted_rows(accepted: DataFrame) -> DataFrame:
@@ -90,17 +93,10 @@ def extracted_rows(accepted: DataFrame) -> DataFrame:
 
 
 def merge_extracted(old: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Previous and new results, one per text; a new row replaces the old one of the same text.
-
-    Both inputs are unique per text, so old rows need no new deduplication: those with a new version drop out by an
-    anti join, which adaptive execution turns into a broadcast when a run adds little.
-    """
-    def texts(df: DataFrame) -> DataFrame:
-        return df.withColumn("_text_hash", F.xxhash64("content"))
-
-    replaced = texts(new_rows.select("content"))
-    kept = texts(old).join(replaced, ["_text_hash", "content"], "left_anti").drop("_text_hash")
-    return kept.unionByName(new_rows, allowMissingColumns=True)
+    """Previous and new results, the latest per text. New rows win over old ones of the same text."""
+    both = old.withColumn("_new", F.lit(0)).unionByName(new_rows.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    ranked = both.withColumn("_order", F.struct("_new", SEQ))
+    return dedupe_keep_last(ranked, ["content"], "_order").drop("_new", "_order")
 
 
 def merge_fail_log(old: DataFrame, answered: DataFrame, now: Column) -> DataFrame:

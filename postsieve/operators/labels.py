@@ -92,7 +92,7 @@ def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str =
     else:
         tags = coerce.coerce_tags(F.col(hashtags_col))
     text, lowered = F.col("_text"), F.col("_lowered")
-    return (
+    tested = (
         df.withColumn("_text", normalize_nfkc(F.col(content_col).cast("string")))
         .withColumn("_lowered", F.lower(text))
         .withColumns(
@@ -107,6 +107,11 @@ def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str =
         .withColumn("why_kw_simple", F.when(F.col("why_kw"), False).otherwise(rule_kw_simple(lowered)))
         .drop("_text", "_lowered")
     )
+    # Handing the results through a generator keeps Catalyst from moving a later filter on labels below the rules,
+    # where it would evaluate them a second time. Filters on other columns still reach the scan.
+    names = [f"why_{s}" for s in SIGNALS]
+    once = F.inline(F.array(F.struct(*[F.col(n) for n in names])))
+    return tested.select(*[c for c in tested.columns if c not in names], once)
 
 
 def ad_score() -> Column:
@@ -139,11 +144,7 @@ def apply_ad_rules(
     df: DataFrame, content_col: str = "content", hashtags_col: str = "hashtags", thr: int = 40,
     mode: str = "balanced", keep_signals: bool = False,
 ) -> DataFrame:
-    """Adds rule_score, rule_why and is_ad. No shuffle: every rule is an expression over its own row.
-
-    Write the result before filtering on it, as the label job does: Catalyst moves such a filter below the projection
-    and would evaluate the rules twice.
-    """
+    """Adds rule_score, rule_why and is_ad. No shuffle: every rule is an expression over its own row."""
     scored = (
         ad_signals(df.drop("rule_score", "rule_why", "is_ad"), content_col, hashtags_col)
         .withColumn("rule_score", ad_score())

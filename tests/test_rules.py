@@ -65,6 +65,12 @@ def test_split_and_distribution(spark):
 
 
 def test_one_python_step_and_no_shuffle(posts):
-    plan = labels.apply_ad_rules(posts.withColumn("content", F.concat("content", F.lit(" "))))
+    plan = labels.apply_ad_rules(posts.withColumn("content", F.concat("content", F.lit(" ")))).where("rule_score > 0")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("ArrowEvalPython") == 1 and "Exchange" not in text
+
+
+def test_other_filters_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("#광고", "a")], "content string, search_tag string").write.parquet(str(tmp_path / "p"))
+    df = labels.apply_ad_rules(spark.read.parquet(str(tmp_path / "p"))).where("search_tag = 'a' and is_ad = 1")
+    assert "EqualTo(search_tag,a)" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 1
