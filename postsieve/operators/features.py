@@ -22,14 +22,20 @@ GRAM_SIZES = (3, 4, 5)
 BUCKET_DIGITS = 4
 
 
+def _first_of(patterns: list[str]) -> str:
+    """Ordered alternation, case ignored; the look-ahead dismisses most positions by one test."""
+    heads = "".join(sorted({p[0].lower() for p in patterns}))
+    return f"(?iu)(?=[{heads}])(?:{'|'.join(patterns)})"
+
+
 def mask_rule_signals(col: Column) -> Column:
     """Tags, ad words, calls to act, links and phone numbers blanked in this order; blanks collapsed."""
     out = F.coalesce(col, F.lit(""))
     for pattern in (
         rf"#[^{SP}]+",
-        "(?iu)" + "|".join(map(re.escape, words.MASK_AD_WORDS)),
-        "(?iu)" + "|".join(map(re.escape, words.MASK_CTA_WORDS)),
-        "(?iu)" + "|".join(words.MASK_LINKS).replace(r"\S", f"[^{SP}]"),
+        _first_of(list(map(re.escape, words.MASK_AD_WORDS))),
+        _first_of(list(map(re.escape, words.MASK_CTA_WORDS))),
+        _first_of([p.replace(r"\S", f"[^{SP}]") for p in words.MASK_LINKS]),
         rf"(?U)(?<!\d){words.PHONE_BODY}(?!\d)",
         rf"[{SP}]+",
     ):
