@@ -16,6 +16,9 @@ DEFAULTS = {
 }
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def build_session(app: str = "postsieve", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the jobs are tested with; extra settings win."""
     builder = SparkSession.builder.appName(app)
@@ -33,10 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
     local folder made, and then it is remembered so that one session uses one folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="postsieve-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="postsieve-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
