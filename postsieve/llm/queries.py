@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import bpe, mixing, orcstore
+from postsieve.llm import bpe, fingerprint, jaccard, langid, mixing, orcstore
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -36,6 +36,21 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op4_fingerprint")
+def op4(spark, sf_dir):
+    found = fingerprint.compare_edits(table(spark, sf_dir, "documents"))
+    return found.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
+
+
+@query("op5_langid")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    bucket = langid.bucket_of("doc_id", 4)
+    model = langid.train(docs, bucket != 2)
+    held_out = docs.withColumn("held_out", F.coalesce(bucket == 2, F.lit(False)))
+    return langid.identify(held_out, model, carry=["doc_id", "held_out"])
+
+
 @query("op6_orc_tokens")
 def op6(spark, sf_dir):
     path = scratch_path(spark, "tokens")
@@ -44,6 +59,11 @@ def op6(spark, sf_dir):
     return orcstore.document_starts(spark, path)
 
 
+@query("op7_jaccard")
+def op7(spark, sf_dir):
+    return jaccard.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 MIX_SQL = """
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
