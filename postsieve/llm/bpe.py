@@ -2,7 +2,8 @@
 
 Merges of one piece are found with a segment tree: leaf i holds the rank of the pair that starts at symbol i, each inner node
 the lesser of its two children (the left one on ties), so the root names the leftmost pair of lowest rank. A merge changes
-three leaves and their paths to the root; it ends when the root holds no rank.
+three leaves and their paths to the root; it ends when the root holds no rank. The new pieces of a batch go through trees of one
+size together, one row per piece; pieces too long for that have a tree of their own.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from postsieve.llm.common import Memo, bytes_of, map_batches
+from postsieve.llm.common import Memo, map_batches, texts_of
 
 # Fixed value: the pieces of byte-level BPE, as the vocabulary was made with.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -83,6 +84,13 @@ class Bpe:
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
         self.memo = Memo(lambda piece: np.array(self.merge(piece.encode()), dtype="<u4").tobytes())
         self.known = self.memo.__getitem__
+        keys = np.array([(a << 32) | b for a, b in self.pairs], dtype=np.int64)
+        order = np.argsort(keys)
+        self.pair_keys = keys[order]
+        self.pair_ranks = np.array([r for r, _ in self.pairs.values()], dtype=np.int64)[order]
+        self.merged = np.zeros(len(keys), dtype=np.int64)
+        self.merged[[r for r, _ in self.pairs.values()]] = [new for _, new in self.pairs.values()]
+        self.first_of = np.array(self.first, dtype=np.int64)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -110,6 +118,90 @@ class Bpe:
                 tree.put(before[i], rank(before[i]))
         return [x for x in ids if x >= 0]
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, ``len(self.merged)`` where there is none."""
+        keys = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], len(self.merged))
+
+    def merge_together(self, pieces: list[bytes], size: int) -> list[bytes]:
+        """Ids of pieces of 2 to ``size`` bytes (a power of two), as packed integers: one tree row per piece."""
+        n, blank = len(pieces), len(self.merged) * size
+        length = np.array([len(p) for p in pieces])
+        raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(n, size)
+        ids = self.first_of[raw]
+        places = np.arange(size)
+        keys = np.where(places < length[:, None] - 1, self.ranks_of(ids, np.roll(ids, -1, axis=1)) * size + places, blank)
+        tree = np.full((n, 2 * size), blank, np.int64)
+        tree[:, size:] = np.where(keys < blank, keys, blank)
+        for i in range(size - 1, 0, -1):
+            tree[:, i] = np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1])
+        after = np.broadcast_to(np.arange(1, size + 2), (n, size + 1)).copy()
+        before = np.broadcast_to(np.arange(-1, size), (n, size + 1)).copy()
+        gone = places >= length[:, None]
+        row = np.arange(n)
+
+        def put(row, at, key):
+            at = at + size
+            tree[row, at] = key
+            while at[0] > 1:  # leaves are all on one level
+                at = at >> 1
+                tree[row, at] = np.minimum(tree[row, 2 * at], tree[row, 2 * at + 1])
+
+        while True:
+            top = tree[row, 1]
+            more = top < blank
+            row, top = row[more], top[more]
+            if not len(row):
+                break
+            i, rank = top % size, top // size
+            j = after[row, i]
+            k = after[row, j]
+            ids[row, i] = self.merged[rank]
+            gone[row, j] = True
+            after[row, i] = k
+            before[row, k] = i
+            put(row, j, blank)
+            for left, right in ((i, k), (before[row, i], i)):
+                real = (left >= 0) & (right < length[row])
+                r, a, b = row[real], left[real], right[real]
+                if len(r):
+                    key = self.ranks_of(ids[r, a], ids[r, b]) * size + a
+                    put(r, a, np.minimum(key, blank))
+                r, a = row[~real & (left >= 0)], left[~real & (left >= 0)]
+                if len(r):
+                    put(r, a, blank)
+        flat = ids[~gone].astype("<u4").tobytes()
+        ends = np.cumsum((~gone).sum(axis=1)) * 4
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Put the ids of new pieces into the memo."""
+        if len(self.memo) + len(pieces) > self.memo.most:
+            self.memo.clear()
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in pieces:
+            raw = piece.encode()
+            if len(raw) <= self.memo.longest:
+                by_size.setdefault(max(4, 1 << (len(raw) - 1).bit_length()), []).append((piece, raw))
+        for size, found in by_size.items():
+            for at in range(0, len(found), 4096):
+                part = found[at : at + 4096]
+                self.memo.update(zip([p for p, _ in part], self.merge_together([r for _, r in part], size), strict=True))
+
+    def encode_all(self, texts: list[str], step: int = 256) -> list[bytes]:
+        """``encode`` of each text; the new pieces of ``step`` texts are merged together."""
+        out = []
+        for at in range(0, len(texts), step):
+            part = texts[at : at + step]
+            if self.special and any(t in text for t in self.added for text in part):
+                out.extend(map(self.encode, part))
+                continue
+            pieces = [self.piece.findall(t) for t in part]
+            self.learn(set().union(*pieces) - self.memo.keys())
+            out.extend(b"".join(map(self.known, p)) for p in pieces)
+        return out
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         parts = self.special.split(text) if self.special and any(t in text for t in self.added) else [text]
@@ -142,7 +234,7 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = bpe(path)
-        ids = [model.encode(t.decode()) for t in bytes_of(batch.column(1))]
+        ids = model.encode_all(texts_of(batch.column(1)))
         columns = {key: batch.column(0), "ids": pa.array(ids, pa.binary())}
         if decoded:
             columns["decoded"] = pa.array([model.decode(i) for i in ids], pa.string())
