@@ -2,55 +2,57 @@
 
 Features are hashed n-grams of words (with their borders). Document frequencies come from all training documents; the
 weights are fitted on a bounded sample of them with follow-the-regularised-leader and elastic-net penalties, and one
-temperature is fitted on the part of the sample that the weights have not seen. As a document's logits are a mean over its
-words, each distinct word is scored once per worker.
+temperature is fitted on the part of the sample that the weights have not seen.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import Memo, map_batches, texts_of
+from postsieve.llm.common import map_batches, texts_of
 
-WORDS = re.compile(r"[^\W\d_]+")
 SLOTS = 1 << 16
 SCALE = 40.0
 
 
-def ngrams_of(word: str) -> np.ndarray:
-    """Slots of the n-grams of one to three letters of a word, its borders included."""
-    padded = f" {word} "
-    grams = [padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)]
-    return np.array([xxhash.xxh3_64_intdigest(g.encode()) % SLOTS for g in grams], dtype=np.int64)
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """For every code point, whether it is a letter."""
+    return np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)])
 
 
-_slots = Memo(ngrams_of, most=100_000).__getitem__
+def _slot(*codes: np.ndarray) -> np.ndarray:
+    """Slots of n-grams, given the code points at each place."""
+    h = np.full(len(codes[0]), len(codes), np.uint64)
+    for c in codes:
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(48)).astype(np.int64)
 
 
-def word_counts(text: str) -> Counter:
-    """Words of letters with their counts; empty if the text has no letter."""
-    return Counter(w for w in WORDS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w)))
+def gram_slots(text: str) -> np.ndarray:
+    """Slots of all n-grams of one to three letters inside words, borders included; empty if the text has no letter."""
+    points = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
+    c = np.concatenate([[0], np.where(letters()[points], points, 0), [0]]).astype(np.uint64)
+    c = c[np.append(True, (c[1:] != 0) | (c[:-1] != 0))]  # one border between words
+    if len(c) < 3:
+        return np.zeros(0, np.int64)
+    inner = c[1:-1] != 0
+    return np.concatenate([_slot(c[c != 0]), _slot(c[:-1], c[1:]), _slot(c[:-2][inner], c[1:-1][inner], c[2:][inner])])
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct slots of a text and how often each occurs."""
-    counts = word_counts(text)
-    if not counts:
-        return np.zeros(0, np.int64), np.zeros(0)
-    found = [_slots(w) for w in counts]
-    slots = np.concatenate(found)
-    times = np.repeat(np.fromiter(counts.values(), np.float64, len(counts)), [len(s) for s in found])
-    distinct, at = np.unique(slots, return_inverse=True)
-    return distinct, np.bincount(at, times)
+    counts = np.bincount(gram_slots(text), minlength=SLOTS)
+    slots = np.flatnonzero(counts)
+    return slots, counts[slots]
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
@@ -60,16 +62,13 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
         df, n = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             for t in texts_of(batch.column(0)):
-                words = word_counts(t)
-                if words:
+                slots = gram_slots(t)
+                if len(slots):
                     n += 1
-                    slots = np.concatenate([_slots(w) for w in words])
-                    seen[slots] = at = np.arange(len(slots))
-                    df[slots[seen[slots] == at]] += 1
+                    df += np.bincount(slots, minlength=SLOTS) > 0
         full = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(df[full], n))], names=["slot", "n"])
 
-    seen = np.zeros(SLOTS, np.int64)
     rows = docs.select(text).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(SLOTS)
     df[rows.slot[rows.slot >= 0]] = rows.n[rows.slot >= 0]
@@ -83,16 +82,11 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
 
-    def scorer(self) -> Memo:
-        """Sum of the weights and number of the n-grams of a word."""
-        return Memo(lambda w: np.append(self.weights[_slots(w)].sum(axis=0), len(w) * 3 + 3), most=100_000)
-
-    def predict(self, text: str, known: Memo) -> tuple[str, float]:
-        counts = word_counts(text)
-        if not counts or not self.langs:
+    def predict(self, text: str) -> tuple[str, float]:
+        slots = gram_slots(text)
+        if not len(slots) or not self.langs:
             return "und", 0.0
-        total = np.fromiter(counts.values(), np.float64, len(counts)) @ np.array([known[w] for w in counts])
-        logits = (SCALE * total[:-1] / total[-1] + self.bias) / self.temperature
+        logits = (SCALE * (np.bincount(slots, minlength=SLOTS) @ self.weights) / len(slots) + self.bias) / self.temperature
         p = np.exp(logits - logits.max())
         best = int(p.argmax())
         return self.langs[best], float(p[best] / p.sum())
@@ -182,9 +176,8 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     schema = docs.select(*carry).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model.scorer()
         for batch in batches:
-            found = [model.predict(t, known) for t in texts_of(batch.column(0))]
+            found = [model.predict(t) for t in texts_of(batch.column(0))]
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=schema.names)
 
