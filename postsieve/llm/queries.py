@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import bpe, fingerprint, jaccard, langid, mixing, orcstore
+from postsieve.llm import bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -36,6 +36,14 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op3_lm_score")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    scored = contextmix.score_documents(docs, ~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 @query("op4_fingerprint")
 def op4(spark, sf_dir):
     found = fingerprint.compare_edits(table(spark, sf_dir, "documents"))
