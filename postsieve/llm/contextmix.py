@@ -29,7 +29,7 @@ from postsieve.session import cut_lineage
 
 END, START = 0xFE, 0xFF  # bytes that UTF-8 never uses
 PART = re.compile(rb"[^\x20\x09-\x0D\xFE]*[\x20\x09-\x0D\xFE]")
-SLOT_BITS = 18
+SLOT_BITS = 20
 ORDERS = 3
 GATES = 1 << (ORDERS - 1)
 UNIT = 1024.0
@@ -144,7 +144,7 @@ class Model:
     trees: Trees
     tables: list[np.ndarray]
     rate: float = 0.06
-    start_weight: float = 0.42
+    start_weights: tuple[float, ...] = (0.0, 0.7, 0.4)  # per predictor, before a document refines them
 
     def score(self, documents: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each document, given its parts. No document's score depends on the others."""
@@ -178,7 +178,7 @@ class Model:
         key, times = np.unique(key, return_counts=True)  # a part that repeats inside a block counts as often
         part, owner, block = key % len(first), key // len(first) % n, key // len(first) // n
         cuts = np.searchsorted(block, np.arange(int(block.max()) + 2))
-        weights = [np.full(n * GATES, self.start_weight, np.float32) for _ in range(ORDERS)]
+        weights = [np.full(n * GATES, w, np.float32) for w in self.start_weights]
         moved = [np.full(n * GATES, 1.0) for _ in range(ORDERS)]
         total = np.zeros(n)
         limit = 100_000  # parts whose bits are in memory at once
@@ -249,9 +249,9 @@ def learn(parts: DataFrame) -> Model:
         yield table_rows(table)
 
     def gathered(fn, size: int) -> np.ndarray:
-        rows = parts.mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+        rows = parts.mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros(size)
-        table[rows.slot] = rows.n
+        table[rows["slot"].to_numpy()] = rows["n"].to_numpy()
         return table
 
     trees = Trees.build(gathered(pairs, 1 << 16))
@@ -302,8 +302,8 @@ def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str =
     model = learn(parts)
     words = word_counts(parts)
     train_tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("c"), "word").limit(head).toPandas().sort_values("word")  # head rows
-    known, counts = top.word.to_numpy(np.int64), top.c.to_numpy(np.float64)
+    top = words.orderBy(F.desc("c"), "word").limit(head).toArrow().sort_by("word")  # at most head rows
+    known, counts = top["word"].to_numpy(), top["c"].to_numpy().astype(np.float64)
     below = train_tokens + 0.1 * (vocabulary + 1)
     values = np.log10((counts + 0.1) / below)
     kind = docs.schema[key].dataType.simpleString()

@@ -69,10 +69,10 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
         full = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(df[full], n))], names=["slot", "n"])
 
-    rows = docs.select(text).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(SLOTS)
-    df[rows.slot[rows.slot >= 0]] = rows.n[rows.slot >= 0]
-    return df, int(rows.n[rows.slot < 0].sum())
+    rows = docs.select(text).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    df, slot, n = np.zeros(SLOTS), rows["slot"].to_numpy(), rows["n"].to_numpy()
+    df[slot[slot >= 0]] = n[slot >= 0]
+    return df, int(n[slot < 0].sum())
 
 
 @dataclass
@@ -152,9 +152,9 @@ def train(docs: DataFrame, labels: Column, per_lang: int = 1500, text: str = "te
             "x": pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary()),
         })
 
-    sample = map_batches(known.where(keep), run, "l string, h bigint, slots binary, x binary").toPandas().sort_values(["h", "l", "x"])
+    sample = map_batches(known.where(keep), run, "l string, h bigint, slots binary, x binary").toArrow()
     rows = []
-    for l, slots, x in zip(sample.l, sample.slots, sample.x, strict=True):
+    for _, l, x, slots in sorted(zip(*(sample[c].to_pylist() for c in ("h", "l", "x", "slots")), strict=True)):
         slots, x = np.frombuffer(slots, "<i4").astype(np.int64), np.frombuffer(x, "<f4").astype(np.float64)
         if len(slots):
             rows.append((slots, SCALE * x / x.sum() * idf[slots], langs.index(l)))
