@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore
+from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -72,6 +72,11 @@ def op7(spark, sf_dir):
     return jaccard.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op8_ann")
+def op8(spark, sf_dir):
+    return annhash.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 MIX_SQL = """
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
