@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore
+from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore, pii
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -36,6 +36,15 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op2_pii")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.fit(docs))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 @query("op3_lm_score")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,7 +71,8 @@ def op5(spark, sf_dir):
 @query("op6_orc_tokens")
 def op6(spark, sf_dir):
     path = scratch_path(spark, "tokens")
-    tokens = orcstore.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    docs = orcstore.in_order(table(spark, sf_dir, "documents"))
+    tokens = orcstore.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"))
     orcstore.write_tokens(tokens, path)
     return orcstore.document_starts(spark, path)
 
