@@ -352,6 +352,6 @@ def one_of_each_group(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     """The documents without near copies: of each group the row with the least key stays; texts without words all stay."""
     has_words = F.coalesce(F.col(text), F.lit("")).rlike(WORD)
     found = near_copies(docs, n, num, den, key, text)
-    kept = found.where("keep AND n_shingles > 0").select("row_key").distinct()
-    rows = docs.where(has_words).withColumn("row_key", row_key(key, text)).join(kept, "row_key").dropDuplicates(["row_key"]).drop("row_key")
+    kept = found.where("keep AND n_shingles > 0").select(F.col("row_key").alias("_row_key")).distinct()
+    rows = docs.where(has_words).withColumn("_row_key", row_key(key, text)).join(kept, "_row_key").dropDuplicates(["_row_key"]).drop("_row_key")
     return rows.unionByName(docs.where(~has_words))

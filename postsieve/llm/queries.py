@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore, pii
+from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore, pii, sitetree
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -124,3 +124,8 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     plan = mixing.mix_sources(docs)
     return plan.orderBy(mixing.spread_order(), "_mix.h").select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken", "_mix.position")
+
+
+@query("op10_main_text")
+def op10(spark, sf_dir):
+    return sitetree.extract(table(spark, sf_dir, "pages"))
