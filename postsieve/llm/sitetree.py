@@ -55,10 +55,11 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 class Element:
     """An element: style path, whether it is cut for what it says of itself, and its texts and inner elements in order."""
 
-    __slots__ = ("cut", "inner", "path", "style", "tag")
+    __slots__ = ("cut", "holds", "inner", "path", "style", "tag")
 
     def __init__(self, tag: str, style: str, path: int, cut: bool):
         self.tag, self.style, self.path, self.cut, self.inner = tag, style, path, cut, []
+        self.holds = False  # an article is in here, or this is one
 
 
 def parse(page: str) -> Element:
@@ -85,6 +86,9 @@ def parse(page: str) -> Element:
             _end(stack, SAME_ENDS[tag])
         element = _element(tag, m[3], stack)
         stack[-1].inner.append(element)
+        if tag in ARTICLE:
+            for e in (*stack, element):
+                e.holds = True
         if tag in RAW:
             end = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(page, at)
             end_at = end.start() if end else len(page)
@@ -126,10 +130,6 @@ def _element(tag: str, raw: str, stack: list[Element]) -> Element:
     return Element(tag, style, xxhash.xxh3_64_intdigest(style.encode(), seed=stack[-1].path) >> 1, cut)
 
 
-def has_article(e: Element) -> bool:
-    return e.tag in ARTICLE or any(not isinstance(x, str) and has_article(x) for x in e.inner)
-
-
 def blocks(top: Element, low: frozenset[int] = frozenset()) -> list[str]:
     """Blocks of text below an element in page order, without cut elements and without branches of low importance."""
     out, current = [], []
@@ -162,14 +162,15 @@ def blocks(top: Element, low: frozenset[int] = frozenset()) -> list[str]:
     return out
 
 
-def elements(top: Element) -> Iterator[tuple[Element, bool]]:
-    """All elements below that are not cut, each with whether it lies inside an article, and nothing of cut ones."""
-    todo = [(top, False)]
+def elements(top: Element) -> list[tuple[Element, bool]]:
+    """The element and all below that are not cut, outer before inner, each with whether it lies inside an article."""
+    found, todo = [], [(top, False)]
     while todo:
         e, inside = todo.pop()
-        yield e, inside
+        found.append((e, inside))
         inside = inside or e.tag in ARTICLE
         todo.extend((x, inside) for x in e.inner if not isinstance(x, str) and not x.cut)
+    return found
 
 
 def articles(root: Element) -> list[Element]:
@@ -200,16 +201,22 @@ def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
     root = parse(page)
     key = lambda s: xxhash.xxh3_64_intdigest(s.encode()) - (1 << 63)
     article = key("\n".join(b for e in articles(root) for b in blocks(e)))
-    found: dict[int, tuple[list[str], list[str]]] = {}
-    for e, inside in elements(root):
-        if e.tag in INLINE or e.tag in LEAF or e.tag in ("#", "html", "body", "br", "hr", "img") or has_article(e):
-            continue
-        if inside and e.style == e.tag:
-            continue  # plain parts of an article
-        text, styles = found.setdefault(e.path, ([], []))
-        text.extend(blocks(e))
-        styles.extend(x.style for x in e.inner if not isinstance(x, str))
-    return [(path, article, key("\n".join(t)), key(" ".join(s))) for path, (t, s) in found.items()]
+    all_elements = elements(root)
+    content: dict[int, int] = {}  # hash of an element's text, from the hashes of what it holds
+    for e, _ in reversed(all_elements):
+        own = xxhash.xxh3_64()
+        for x in e.inner:
+            own.update(" ".join(x.split()) if isinstance(x, str) else "" if x.cut else content[id(x)].to_bytes(8, "little"))
+        content[id(e)] = own.intdigest()
+    found: dict[int, list[Element]] = {}
+    for e, inside in all_elements:
+        plain = e.tag in INLINE or e.tag in LEAF or e.tag in ("#", "html", "body", "br", "hr", "img") or (inside and e.style == e.tag)
+        if not plain and not e.holds:
+            found.setdefault(e.path, []).append(e)
+    return [
+        (path, article, key(" ".join(str(content[id(e)]) for e in same)), key(" ".join(x.style for e in same for x in e.inner if not isinstance(x, str))))
+        for path, same in found.items()
+    ]
 
 
 def host_of(url: str):
@@ -232,11 +239,11 @@ def low_importance(pages: DataFrame, url: str = "url", text: str = "html") -> Da
 
     def entropy(column: str) -> DataFrame:
         counts = once.groupBy("host", "path", column).agg(F.count("*").alias("n"))
-        total = counts.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
+        total = counts.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s")).where(F.col("m") >= SEEN)
         return total.select("host", "path", "m", ((F.log("m") - F.col("s") / F.col("m")) / F.log("m")).alias(column))
 
     nodes = entropy("content").join(entropy("inner").drop("m"), ["host", "path"])
-    low = nodes.where((F.col("m") >= SEEN) & (F.greatest("content", "inner") < LOW))
+    low = nodes.where(F.greatest("content", "inner") < LOW)
     return cut_lineage(low.groupBy("host").agg(F.collect_list("path").alias("low")), "low-nodes")
 
 
