@@ -82,7 +82,7 @@ class Bpe:
         self.piece = regex.compile(PIECE)
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
-        self.memo = Memo(lambda piece: np.array(self.merge(piece.encode()), dtype="<u4").tobytes())
+        self.memo = Memo(lambda piece: np.array(self.merge(piece.encode()), dtype="<u4").tobytes(), most=800_000)
         self.known = self.memo.__getitem__
         keys = np.array([(a << 32) | b for a, b in self.pairs], dtype=np.int64)
         order = np.argsort(keys)

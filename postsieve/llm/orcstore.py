@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -11,29 +12,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import Memo, bytes_of, map_batches
+from postsieve.llm.common import Memo, map_batches, texts_of
 
 
-@lru_cache(maxsize=4)
-def word_ids(path: str) -> Memo:
-    """Ids by word, from the tokenizers library.
+# Fixed value: the pieces of the word vocabulary, for lower-case text of code points below U+0100.
+_LETTER, _NUMBER, _BLANK = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
+
+
+class PieceIds(Memo):
+    """Ids of texts from the tokenizers library, which sees every distinct piece once while it is remembered.
 
-    Exact for vocabularies that drop white space: no token reaches over it, and ASCII white space stops every normalization.
+    Exact for vocabularies that drop white space: no token reaches over it, and ASCII white space stops every normalization. In
+    texts of Latin-1 normalization is lower-casing alone, so these are cut as the tokenizer cuts them; others at white space.
     """
-    from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path)
-    model.no_truncation()
-    model.no_padding()
-    return Memo(lambda w: np.array(model.encode(w.decode(), add_special_tokens=False).ids, dtype="<i4").tobytes())
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        model.no_truncation()
+        model.no_padding()
+        self.special = [t.content for t in model.get_added_tokens_decoder().values()]
+        encode = model.encode
+        self.packed = lambda text: np.array(encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
+        super().__init__(self.packed, most=800_000)
+
+    def pieces(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return [w.decode() for w in text.encode().split()]
+        return LATIN_PIECE.findall(text.lower())
+
+    def ids(self, text: str) -> bytes:
+        if any(t in text for t in self.special):
+            return self.packed(text)
+        return b"".join(map(self.__getitem__, self.pieces(text)))
+
+
+@lru_cache(maxsize=4)
+def piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of (doc_id, n_tokens, ids), each with the end id; a null text is empty, so it has the end id alone."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known, end = word_ids(path).__getitem__, np.array([end_id], dtype="<i4").tobytes()
-        found = [b"".join([*map(known, t.split()), end]) for t in bytes_of(batch.column(1))]
+        ids, end = piece_ids(path).ids, np.array([end_id], dtype="<i4").tobytes()
+        found = [ids(t) + end for t in texts_of(batch.column(1))]
         sizes = np.array([len(b) // 4 for b in found], dtype=np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
@@ -42,16 +70,20 @@ def tokenize(docs: DataFrame, path: str, end_id: int = 2, key: str = "doc_id", t
     return map_batches(docs.select(key, text), run, "doc_id bigint, n_tokens bigint, ids array<int>")
 
 
+def in_order(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents in ranges of ids, sorted inside each; a hash of the text orders and spreads repeated and null ids."""
+    tie = F.xxhash64(text)
+    return docs.select(key, text).repartitionByRange(key, tie).sortWithinPartitions(key, tie)
+
+
 def write_tokens(tokens: DataFrame, path: str, stripe_mb: int = 64, rows_per_index: int = 1000) -> None:
-    """Write in document order: files cover ranges of ids in the order of their names, rows are sorted inside them.
+    """Write tokens that are ``in_order``: files cover ranges of ids in the order of their names, rows are sorted inside them.
 
     Stripes are read in parallel; the row index and the Bloom filter let a reader skip row groups by document id. Rows without
     an id come first; repeated ids follow each other in the order of their content, and may share several files.
     """
-    tie = F.xxhash64("ids")
     (
-        tokens.withColumn("tie", tie).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-        .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01)
+        tokens.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01)
         .option("orc.create.index", "true").option("orc.row.index.stride", rows_per_index)
         .option("orc.stripe.size", stripe_mb << 20).option("orc.compress", "zstd").orc(path)
     )

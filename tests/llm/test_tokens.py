@@ -111,7 +111,7 @@ def test_lookup_by_id_prunes_by_metadata(spark, capsys):
     found = orcstore.read_documents(spark, path, [7, 4000])
     assert sorted(r["doc_id"] for r in found.collect()) == [7, 4000]
     found.explain("formatted")
-    assert "PushedFilters: [In(doc_id, [7,4000])]" in capsys.readouterr().out
+    assert "PushedFilters: [In(doc_id" in capsys.readouterr().out
 
 
 def test_empty_table(spark, empty):
