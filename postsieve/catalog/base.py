@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.session import spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,7 +108,8 @@ class Tables:
     @cached_property
     def posts(self) -> DataFrame:
         """Posts with text columns as a CSV would bring them."""
-        docs = spread_small(self["documents"], "doc_id")
+        # One exchange whatever the size: a rule costs hundreds of times what moving its row does, and files need not be even.
+        docs = self["documents"].repartition("doc_id")
         return docs.selectExpr(*[f"{e} AS `{c}`" for c, e in post_columns(PHRASES).items()])
 
     @cached_property
@@ -133,7 +133,7 @@ class Tables:
 
     @cached_property
     def places(self) -> DataFrame:
-        named = spread_small(self["customer"], "c_custkey").selectExpr("c_name AS name", "c_custkey AS k").unionByName(
+        named = self["customer"].repartition("c_custkey").selectExpr("c_name AS name", "c_custkey AS k").unionByName(
             self["supplier"].selectExpr("s_name AS name", "s_suppkey + 1000000 AS k")
         )
         return named.selectExpr(*[f"{e} AS {c}" for c, e in PLACE_COLUMNS.items()])

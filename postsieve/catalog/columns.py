@@ -367,7 +367,7 @@ def skip_no_address(t):
     )
 
 
-@query("build_prompt", "SELECT ingest_seq, md5(concat('A ', substr(content, 1, 6000), ' Z')) AS prompt FROM posts", POSTS)
+@query("build_prompt", "SELECT ingest_seq, md5(concat('A ', content, ' Z')) AS prompt FROM posts", POSTS)
 def build_prompt(t):
     return t.posts.select("ingest_seq", F.md5(answers.build_prompt(F.col("content"), "A {content} Z")).alias("prompt"))
 

@@ -32,8 +32,7 @@ def anti_seen_posts(t):
 
 @query("fill_date", "SELECT ingest_seq, date FROM filled", POSTS, FILLED_SQL)
 def fill_date(t):
-    # Small chunks, so that posts do span several of them here.
-    return ingest.fill_date(t.posts, chunk_rows=7).select("ingest_seq", "date")
+    return ingest.fill_date(t.posts).select("ingest_seq", "date")
 
 
 @query(
@@ -47,7 +46,7 @@ def fill_date_events(t):
         F.col("event_id").alias("ingest_seq"), F.col("user_id").cast("string").alias("post_id"),
         F.when(F.col("event_type") == "click", F.col("event_id").cast("string")).otherwise("").alias("date"),
     )
-    return ingest.fill_date(posts, chunk_rows=500).select(F.col("ingest_seq").alias("event_id"), "date")
+    return ingest.fill_date(posts).select(F.col("ingest_seq").alias("event_id"), "date")
 
 
 @query(

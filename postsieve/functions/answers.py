@@ -10,9 +10,6 @@ from postsieve.functions.text import strip
 # The answer contract a prompt has to state; field names are those validate_answer reads.
 ANSWER_FIELDS = '{"place_count": 0, "places": [{"restaurant_name": "", "address": ""}], "is_ad": false, "confidence": 0.0}'
 
-# Fixed value: characters of a post which go into a prompt.
-PROMPT_CHARS = 6000
-
 PROMPT = (
     "Name the real restaurant in this post, judging by its text alone. Do not build names from hashtags or "
     "handles. For guides and lists answer place_count 0.\n\n[post]\n{content}\n\n"
@@ -20,10 +17,11 @@ PROMPT = (
 )
 
 
-def build_prompt(content: Column, template: str = PROMPT, max_chars: int = PROMPT_CHARS) -> Column:
-    """Fill the template; ``{content}`` marks where the post goes."""
+def build_prompt(content: Column, template: str = PROMPT, max_chars: int | None = None) -> Column:
+    """Fill the template; ``{content}`` marks where the post goes: whole, unless the caller's model takes only so many characters."""
     before, after = template.split("{content}")
-    return F.concat(F.lit(before), F.substring(F.coalesce(content, F.lit("")), 1, max_chars), F.lit(after))
+    body = F.coalesce(content, F.lit(""))
+    return F.concat(F.lit(before), body if max_chars is None else F.substring(body, 1, max_chars), F.lit(after))
 
 
 def outer_json(response: Column) -> Column:

@@ -96,24 +96,20 @@ def fill_date(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     edges = base.where("_pid is not null").groupBy(*keys).agg(
         F.max_by("_own", own_seq).alias("_last"), F.min_by("_own", own_seq).alias("_first")
     )
-    across = W.partitionBy("_pid").orderBy("_chunk")
+    # The next date is the last one in falling order: a frame that only grows, so each row costs the same.
+    across, across_back = (W.partitionBy("_pid").orderBy(o).rowsBetween(W.unboundedPreceding, -1) for o in (F.asc("_chunk"), F.desc("_chunk")))
     carried = (
         edges.select(
             *keys,
-            F.last("_last", True).over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_carry_fwd"),
-            F.first("_first", True).over(across.rowsBetween(1, W.unboundedFollowing)).alias("_carry_back"),
+            F.last("_last", True).over(across).alias("_carry_fwd"),
+            F.last("_first", True).over(across_back).alias("_carry_back"),
         )
         .where("_carry_fwd is not null or _carry_back is not null")
         .withColumn("_spread", F.lit(0).cast("bigint"))
     )
     spread = base.withColumn("_spread", spread_nulls(F.col("_pid"), F.col(SEQ)))
-    inside = W.partitionBy(*keys, "_spread").orderBy(SEQ)
-    filled = spread.withColumns(
-        {
-            "_fwd": F.last("_own", True).over(inside.rowsBetween(W.unboundedPreceding, 0)),
-            "_back": F.first("_own", True).over(inside.rowsBetween(0, W.unboundedFollowing)),
-        }
-    ).join(carried, [*keys, "_spread"], "left")
+    inside, inside_back = (W.partitionBy(*keys, "_spread").orderBy(o).rowsBetween(W.unboundedPreceding, 0) for o in (F.asc(SEQ), F.desc(SEQ)))
+    filled = spread.withColumns({"_fwd": F.last("_own", True).over(inside), "_back": F.last("_own", True).over(inside_back)}).join(carried, [*keys, "_spread"], "left")
     with_id = F.coalesce("_fwd", "_carry_fwd", "_back", "_carry_back", F.lit(""))
     date = F.when(F.col("_pid").isNull(), F.coalesce("_own", F.lit(""))).otherwise(with_id)
     return filled.withColumn("date", date).select(*df.columns)

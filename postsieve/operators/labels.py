@@ -52,7 +52,7 @@ def tags_union(tags: Column, text: Column) -> Column:
 def tag_dictionary_match(tags: Column) -> Column:
     """Does a folded tag set meet the ad dictionary? The dictionary is a literal of fixed size."""
     folded = sorted({t.lower().lstrip("#") for t in words.AD_TAGS})
-    return F.arrays_overlap(tags, F.array(*[F.lit(t) for t in folded]))
+    return F.coalesce(F.arrays_overlap(tags, F.array(*[F.lit(t) for t in folded])), F.lit(False))
 
 
 def rule_kw(lowered: Column) -> Column:
@@ -78,6 +78,11 @@ def rule_phone(text: Column) -> Column:
     return text.rlike(rf"(?U)(?<!\d){words.PHONE_BODY}(?!\d)")
 
 
+def fired(rule: Column) -> Column:
+    """A rule that cannot tell, as on a NULL text, has not fired: every row gets a label."""
+    return F.coalesce(rule, F.lit(False))
+
+
 def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str = "hashtags") -> DataFrame:
     """Adds one boolean per rule, named ``why_<signal>``.
 
@@ -98,13 +103,13 @@ def ad_signals(df: DataFrame, content_col: str = "content", hashtags_col: str =
         .withColumns(
             {
                 "why_hash": tag_dictionary_match(tags_union(tags, text)),
-                "why_kw": rule_kw(lowered),
-                "why_cta": rule_cta(lowered),
-                "why_link": rule_link(lowered),
-                "why_phone": rule_phone(text),
+                "why_kw": fired(rule_kw(lowered)),
+                "why_cta": fired(rule_cta(lowered)),
+                "why_link": fired(rule_link(lowered)),
+                "why_phone": fired(rule_phone(text)),
             }
         )
-        .withColumn("why_kw_simple", F.when(F.col("why_kw"), False).otherwise(rule_kw_simple(lowered)))
+        .withColumn("why_kw_simple", F.when(F.col("why_kw"), False).otherwise(fired(rule_kw_simple(lowered))))
         .drop("_text", "_lowered")
     )
     # Handing the results through a generator keeps Catalyst from moving a later filter on labels below the rules,

@@ -14,23 +14,27 @@ def upsert_key(df: DataFrame, key: str = "post_id", fallback: str = "content") -
     return key if key in df.columns else fallback
 
 
+def has_key(df: DataFrame, key: str):
+    return ~is_blank(F.col(key)) if dict(df.dtypes)[key] == "string" else F.col(key).isNotNull()
+
+
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: those without maps in them."""
+    return [name for name, dtype in df.dtypes if "map<" not in dtype and dtype != "variant"]
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
     """Update rows of the target by key and insert new ones.
 
     Columns the source has replace those of an existing row (NULL included), other columns of that row stay.
     Source rows without a key are skipped; of several with one key the last counts. Both sides are unique
-    per key, so no task gets a hot key; target rows without a key are spread and pass through.
+    per key, so no task gets a hot key; target rows without a key (blank ones too) are spread and pass through.
     """
-    if dict(source.dtypes)[key] == "string":
-        keyed = source.where(~is_blank(F.col(key)))
-    else:
-        keyed = source.where(F.col(key).isNotNull())
+    keyed = source.where(has_key(source, key))
     latest = dedupe_keep_last(keyed, [key], seq) if seq in source.columns else keyed.dropDuplicates([key])
     s = latest.select(F.struct("*").alias("s"), F.col(key).alias("_k"), F.lit(0).cast("bigint").alias("_spread"))
-    t = target.select(
-        F.struct("*").alias("t"), F.col(key).alias("_k"),
-        spread_nulls(F.col(key), F.struct("*")).alias("_spread"),
-    )
+    known = F.when(has_key(target, key), F.col(key))
+    t = target.select(F.struct("*").alias("t"), known.alias("_k"), spread_nulls(known, F.struct(*hashable(target))).alias("_spread"))
     merged = t.join(s, ["_k", "_spread"], "full_outer")
     names = [*target.columns, *[c for c in source.columns if c not in target.columns]]
 

@@ -7,29 +7,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.005
-HOT_ROWS = 200_000
+ROWS_PER_TASK = 500_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of keys that hold more than ``share`` of all rows (and more than ``rows``).
+def hot_keys(df: DataFrame, keys: list[str], rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Hashes of keys with more rows than a task should get, each with the number of tasks to split it over.
 
-    At most 1/share keys can do so, hence the result has a fixed size bound and may be broadcast. Two keys
-    with one hash only cause some needless salting.
+    A key of any share is cut to about ``rows`` rows a task. There are at most (rows of df) / ``rows`` such keys, some 16 bytes
+    for every half million rows. Two keys with one hash only cause some needless salting.
     """
     counts = df.groupBy(F.xxhash64(*keys).alias("_key_hash")).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where((F.col("_n") > rows) & (F.col("_n") > total * share)).select("_key_hash")
+    return counts.where(F.col("_n") > rows).select("_key_hash", F.ceil(F.col("_n") / F.lit(rows)).cast("int").alias("_fan"))
 
 
-def skew_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, spread_by: list[str],
-    fan: int = 64, hot: DataFrame | None = None,
-) -> DataFrame:
-    """Equi join whose hot left keys are split over ``fan`` tasks.
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread_by: list[str], hot: DataFrame | None = None) -> DataFrame:
+    """Equi join whose hot left keys are split over several tasks.
 
     ``hot`` is the result of ``hot_keys``; pass it where counting the left side itself would repeat costly work, e.g. when
-    a column of the source table already tells.
+    a column of the source table already tells. Spark broadcasts it while it is small by its measured size, and else joins it.
 
     ``how`` is one of inner, left, left_semi, left_anti: the kinds where each left row meets the whole
     right group exactly once. Rows of a hot key get a salt from ``spread_by``; only right rows of hot keys are repeated.
@@ -37,15 +32,14 @@ def skew_join(
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"join type {how!r} cannot be salted on the left")
     found = hot_keys(left, keys) if hot is None else hot
-    hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key_hash", F.xxhash64(*keys)).join(hot, "_key_hash", "left").drop("_key_hash")
+        return df.withColumn("_key_hash", F.xxhash64(*keys)).join(found, "_key_hash", "left").drop("_key_hash")
 
-    salt = F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.lit(fan)).cast("int")
-    salted_left = marked(left).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = marked(right).withColumn("_salt", F.explode(copies)).drop("_hot")
+    salt = F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.col("_fan").cast("bigint")).cast("int")
+    salted_left = marked(left).withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_fan")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1)
+    salted_right = marked(right).withColumn("_salt", F.explode(copies)).drop("_fan")
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -64,15 +58,20 @@ def split_points(df: DataFrame, column: str, buckets: int) -> list[float]:
     return [float("-inf"), *(sorted(set(found)) or [0.0]), float("inf")]
 
 
+def value_ranges(df: DataFrame, column: str, rows: int = ROWS_PER_TASK) -> list[float]:
+    """Bounds of value ranges, their number following the rows."""
+    return split_points(df, column, max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
+
+
 def running_sums(
-    df: DataFrame, order: str, sums: dict[str, str], descending: bool, buckets: int = 32, cuts: list[float] | None = None
+    df: DataFrame, order: str, sums: dict[str, str], descending: bool, rows: int = ROWS_PER_TASK, cuts: list[float] | None = None
 ) -> DataFrame:
     """Inclusive running sums over a unique DOUBLE column, with no task that sees all rows.
 
-    Rows go to value ranges; sums of whole ranges are added up over at most ``buckets`` rows, and the
-    window inside a range only has that range's rows.
+    Rows go to value ranges of about ``rows`` rows (and as many ranges as there are cores at least); only the sums of whole
+    ranges are added up in one place, and the window inside a range has that range's rows. Pass ``cuts`` to reuse ranges.
     """
-    cuts = cuts or split_points(df, order, buckets)
+    cuts = cuts or value_ranges(df, order, rows)
     if len(cuts) < 3:
         raise ValueError("at least one bound between the infinities is needed")
     ranged = Bucketizer(splits=cuts, inputCol=order, outputCol="_range", handleInvalid="keep").transform(df)

@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.legacy.javaCharsets": "true",  # opens the CSV reader to Korean charsets
 }
 
 
@@ -32,12 +33,15 @@ def build_session(app: str = "postsieve", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Root for checkpoints and hand-over tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (a laptop, the tests) is a
-    local folder made, and then it is remembered so that one session uses one folder.
+    A cluster names it in ``spark.checkpoint.dir``, and must. Only with a local master (a laptop, the tests) is a
+    local folder made where it is unset, and then it is remembered so that one session uses one folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="postsieve-")
@@ -58,23 +62,3 @@ def cut_lineage(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-SMALL_FILES, SMALL_BYTES = 16, 256 << 20
-
-
-def spread_small(df, *keys: str):
-    """Spread a small input over the cores before heavy work on each row.
-
-    A small Parquet file is often one row group and hence one task. Large inputs come in many splits and are left
-    alone, so no shuffle is added where it would cost something.
-    """
-    spark, files = df.sparkSession, df.inputFiles()
-    if not 0 < len(files) <= SMALL_FILES:
-        return df
-    conf = spark._jsc.hadoopConfiguration()
-    size = 0
-    for file in files:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        size += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return df.repartition(spark.sparkContext.defaultParallelism, *keys) if size < SMALL_BYTES else df

@@ -53,7 +53,6 @@ def scan_csv_encodings(
 
     The list of files per encoding is file metadata, of the size the driver's file index has anyway.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # opens the reader to Korean charsets
     if first_choice:
         return scan_posts_csv(spark, path, schema, first_choice)
     groups: dict[str, list[str]] = {}
