@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from postsieve.catalog.base import POSTS, query
 from postsieve.operators import dedupe, ingest
+from postsieve.plans import jobs
 from postsieve.session import scratch_path
+from postsieve.sources import store
 from postsieve.streaming import ingest as stream
 
 HAS_ID = "coalesce(trim(post_id), '') <> ''"
@@ -106,6 +108,16 @@ def ingest_posts(t):
     return ingest.append_and_dedupe(None, t.posts_raw).select("ingest_seq", "post_id", "date", F.md5("content").alias("body"), "likes", "search_tag")
 
 
+@query("job_ingest_posts", RESOLVED_OUT.replace("ingest_seq, ", ""), POSTS, FILLED_SQL, RESOLVED_SQL)
+def job_ingest_posts(t):
+    """The job in two runs over the halves of all posts; rows of the later run win over those of the first."""
+    root = scratch_path(t.spark, "posts-job")
+    middle = t.posts_raw.agg((F.max("ingest_seq") / 2).alias("m")).scalar()
+    for part in (F.col("ingest_seq") <= middle, F.col("ingest_seq") > middle):
+        jobs.ingest_posts(t.spark, t.posts_raw.where(part), root, skip_seen=False, clean=False)
+    return store.read_table(t.spark, root).select("post_id", "date", F.md5("content").alias("body"), "likes", "search_tag")
+
+
 @query("ingest_stream", RESOLVED_OUT, POSTS, FILLED_SQL, RESOLVED_SQL)
 def ingest_stream(t):
     """All posts through the streaming ingest in two landings with a compaction between; equals the batch result."""

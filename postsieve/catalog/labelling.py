@@ -8,6 +8,8 @@ from postsieve.catalog.base import POSTS_NFKC, query
 from postsieve.functions import adwords as words
 from postsieve.functions.coerce import to_list
 from postsieve.operators import labels
+from postsieve.plans import jobs
+from postsieve.session import scratch_path
 
 GAP = r"[ \t\n\r._\-·]{0,2}"
 KOREAN_SQL = "|".join(r"\s*".join(GAP.join(part) for part in phrase) for phrase in words.KEY_PHRASES)
@@ -92,6 +94,18 @@ def label_distribution(t):
     return labels.label_distribution(labelled(t), ["search_tag"]).withColumn("ratio", F.round("ratio", 6))
 
 
+@query(
+    "job_label_ads",
+    """SELECT count(*) FILTER (is_ad = 1) AS pos, count(*) FILTER (is_ad = 0) AS neg, count(*) AS total,
+       round(100.0e0 * count(*) FILTER (is_ad = 1) / count(*), 6) AS ratio FROM labelled""",
+    *RULES,
+)
+def job_label_ads(t):
+    """The job over all posts: labels written by partition, distribution read from what was written."""
+    report, _ = jobs.label_ads(t.spark, t.posts_raw, scratch_path(t.spark, "labelled"), 30, "recall")
+    return report.withColumn("ratio", F.round("ratio", 6))
+
+
 @query(
     "top_rule_hits",
     "SELECT ingest_seq, rule_score, is_ad FROM labelled ORDER BY rule_score DESC, ingest_seq LIMIT 50", *RULES,

@@ -127,9 +127,10 @@ def limit_before_lookup(t):
 
 @query(
     "merge_near_places",
-    f"""SELECT a.place_key, min(b.place_key) AS rep_id FROM (SELECT *, {NORM('place_name')} AS n FROM places) a
-        JOIN (SELECT *, {NORM('place_name')} AS n FROM places) b ON b.place_key <= a.place_key
-        AND {HAVERSINE(a='a.', b='b.')} <= 200 AND {SIMILAR(a='a.n', b='b.n')} GROUP BY a.place_key""",
+    f"""SELECT * FROM (WITH RECURSIVE near AS (SELECT a.place_key AS a, b.place_key AS b FROM (SELECT *, {NORM('place_name')} AS n FROM places) a
+        JOIN (SELECT *, {NORM('place_name')} AS n FROM places) b ON {HAVERSINE(a='a.', b='b.')} <= 200 AND {SIMILAR(a='a.n', b='b.n')}),
+        reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a)
+        SELECT a AS place_key, min(b) AS rep_id FROM reach GROUP BY a)""",
     PLACES_SQL,
 )
 def merge_near_places(t):

@@ -14,7 +14,7 @@ CSV_OUT = """SELECT nullif(post_id, '') AS post_id, md5(content) AS body, likes,
 
 
 def csv_posts(t):
-    return t.posts_raw.drop("ingest_seq", "comments").withColumn("comments", F.lit("x"))
+    return t.posts_raw.drop("ingest_seq")
 
 
 def written_csv(t) -> str:
@@ -73,7 +73,7 @@ def scan_csv_encodings(t):
     "load_posts",
     """SELECT ingest_seq, post_id, coalesce(CAST(trunc(try_cast(replace(likes, ',', '') AS DOUBLE)) AS BIGINT), 0) AS likes,
        CASE ingest_seq % 4 WHEN 0 THEN 3 WHEN 3 THEN 1 ELSE 0 END AS comment_count, strftime(try_cast(date AS TIMESTAMP), '%Y-%m-%d') AS created
-       FROM posts QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY ingest_seq DESC) = 1""",
+       FROM posts QUALIFY coalesce(trim(post_id), '') = '' OR row_number() OVER (PARTITION BY post_id ORDER BY ingest_seq DESC) = 1""",
     POSTS,
 )
 def load_posts(t):

@@ -53,8 +53,12 @@ def pending_posts(
 
 
 def join_llm_response(pending: DataFrame, responses: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Attach the recorded answer; ``response`` stays NULL where there is none."""
-    answers = responses.groupBy("key").agg(F.max("response").alias("response"))
+    """Attach the recorded answer; ``response`` stays NULL where there is none.
+
+    Of several answers to one key the latest by ``answer_seq`` counts; a table without that column has one answer per key.
+    """
+    last = F.max_by("response", "answer_seq") if "answer_seq" in responses.columns else F.max("response")
+    answers = responses.groupBy("key").agg(last.alias("response"))
     return skew_join(pending.drop("response"), answers, ["key"], "left", [SEQ], hot=hot)
 
 

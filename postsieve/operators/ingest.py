@@ -9,21 +9,47 @@ from pyspark.sql import functions as F
 from postsieve.functions import coerce, text
 from postsieve.operators.dedupe import SEQ, dedupe_posts, distinct_keys
 from postsieve.operators.skew import skew_join, spread_nulls
-from postsieve.schemas import dtype_of, require
+from postsieve.schemas import POSTS_RAW, dtype_of, require
 
 CHUNK_ROWS = 1_000_000
 
 
 def clean_posts(df: DataFrame) -> DataFrame:
-    """Author and age stripped, composed Unicode, emoji removed, tags taken from the text."""
+    """Author and age stripped, composed Unicode, emoji removed, tags taken from the text, id and author from links, likes read.
+
+    Likes that hold no number are estimated from comments and tags.
+    """
+    if "url" in df.columns:
+        own = F.when(~text.is_blank(F.col("post_id")), F.col("post_id")) if "post_id" in df.columns else F.lit(None)
+        df = df.withColumn("post_id", F.coalesce(own, text.post_id_from_url(F.col("url"))))
+    if "hrefs" in df.columns and "username" not in df.columns:
+        df = df.withColumn("username", text.first_handle(F.col("hrefs")))
     author = F.col("username") if "username" in df.columns else F.lit("")
     body = text.strip_relative_time(text.strip_username(F.col("content"), author))
     out = df.withColumn("content", text.normalize_nfc(body))
     if "hashtags" not in out.columns:
         out = out.withColumn("hashtags", text.hashtags_strict(F.col("content")))
+    if "comments" in out.columns and dtype_of(out, "comments") == "array<string>":  # JSON keeps the parts apart, and no mark joins a quote
+        out = out.withColumn("comments", F.from_json(text.normalize_nfc(F.to_json("comments")), "array<string>"))
+    if {"likes", "post_id", "comments", "hashtags"} <= set(out.columns):
+        count = lambda c: F.coalesce(F.size(c), F.lit(0)) if dtype_of(out, c).startswith("array") else F.lit(0)
+        guess = text.estimate_likes(count("comments"), count("hashtags"), F.col("post_id"))
+        out = out.withColumn("likes", F.coalesce(text.parse_like_count(F.col("likes").cast("string")), guess).cast("string"))
     return clear_emoji(out)
 
 
+def read_lists(df: DataFrame) -> DataFrame:
+    """List columns that a CSV brings as text become lists."""
+    readers = {"hashtags": coerce.coerce_tags, "comments": coerce.to_list}
+    return df.withColumns({c: read(F.col(c)) for c, read in readers.items() if c in df.columns and dtype_of(df, c) == "string"})
+
+
+def as_raw(df: DataFrame) -> DataFrame:
+    """Rows in the form of the post table: missing columns are NULL, others are left out."""
+    value = lambda f: F.col(f.name) if f.name in df.columns else F.lit(None)
+    return df.select(*[value(f).cast(f.dataType).alias(f.name) for f in POSTS_RAW.fields])
+
+
 def clear_emoji(df: DataFrame) -> DataFrame:
     """Emoji out of text and list columns."""
     cleaned = {}

@@ -10,6 +10,7 @@ from postsieve.functions import coerce, text
 from postsieve.functions.geo import Grid, haversine_m
 from postsieve.operators.dedupe import SEQ
 from postsieve.operators.skew import skew_join
+from postsieve.session import cut_lineage
 from postsieve.schemas import conform, dtype_of
 
 RADIUS_M = 300.0
@@ -38,13 +39,15 @@ def limit_before_lookup(df: DataFrame, n: int) -> DataFrame:
 def geocode_address(queries: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Coordinate (and region, where listed) of each distinct name and address; NULL when unknown.
 
-    Copies of one query are folded together before anything is joined. What skew is left, many names at one address,
-    is split by adaptive execution, which may do so for the left side of a left join.
+    Only distinct addresses meet the gazetteer; names are joined to what was found afterwards, and there an address with very
+    many names is split. Of several entries of an address the first listed counts (by ``rank``), without ranks the least.
     """
     distinct = queries.where("road_address <> ''").select("query_name", "road_address").distinct()
-    facts = F.struct(*[c for c in gazetteer.columns if c != "road_address"])
-    known = gazetteer.groupBy("road_address").agg(F.min(facts).alias("facts")).select("road_address", "facts.*")
-    return distinct.join(known, "road_address", "left")
+    facts = F.struct(*[c for c in gazetteer.columns if c not in ("road_address", "rank")])
+    first = F.min_by(facts, F.struct("rank", facts)) if "rank" in gazetteer.columns else F.min(facts)
+    known = gazetteer.groupBy("road_address").agg(first.alias("facts"))
+    found = distinct.select("road_address").distinct().join(known, "road_address").select("road_address", "facts.*")
+    return skew_join(distinct, found, ["road_address"], "left", ["query_name"])
 
 
 def similar_enough(a: Column, b: Column, percent: int) -> Column:
@@ -210,13 +213,31 @@ def geocode_counts(matches: DataFrame) -> DataFrame:
     )
 
 
+def least_reachable(pairs: DataFrame) -> DataFrame:
+    """Rows of (_id, _least) for every id in the pairs (_id, o_id). Each round also follows its own answers, so rounds are few."""
+    pairs = cut_lineage(pairs, "near-pairs")
+    both = pairs.unionByName(pairs.select(F.col("o_id").alias("_id"), F.col("_id").alias("o_id")))
+    found = cut_lineage(both.groupBy("_id").agg(F.least(F.min("o_id"), F.first("_id")).alias("_least")), "near-least")
+    while True:
+        of = found.select(F.col("_id").alias("o_id"), F.col("_least").alias("_theirs"))
+        nearest = both.join(of, "o_id").groupBy("_id").agg(F.min("_theirs").alias("_near"))
+        jump = found.select(F.col("_id").alias("_least"), F.col("_least").alias("_jump"))
+        moved = found.join(nearest, "_id").join(jump, "_least", "left").select(
+            "_id", F.col("_least").alias("_was"), F.least("_least", "_near", "_jump").alias("_least")
+        )
+        moved = cut_lineage(moved, "near-least")
+        found = moved.select("_id", "_least")
+        if moved.where("_least < _was").isEmpty():
+            return found
+
+
 def merge_near_places(
     places: DataFrame, id_col: str, distance_m: float = 50.0, percent: int = SIMILARITY
 ) -> DataFrame:
-    """Representative of each place: the least id among places near it with a similar name (one hop).
+    """Representative of each place: the least id it reaches over places near each other with similar names.
 
     Places without a name stay alone. Places with one name at one point are folded first. Then pieces of names within grid cells bring together
-    only places that can be similar; a pair counts only towards its later member.
+    only places that can be similar. Least ids are then passed on along the pairs until nothing changes.
     """
     _check(percent)
     grid = Grid(distance_m)
@@ -242,7 +263,7 @@ def merge_near_places(
         & (haversine_m(F.col("lat"), F.col("lng"), F.col("o_lat"), F.col("o_lng")) <= distance_m)
         & similar_enough(F.col("_name"), F.col("o_name"), percent)
     )
-    least = met.groupBy("_id").agg(F.min("o_id").alias("_least"))
+    least = least_reachable(met.select("_id", "o_id").distinct())
     reps = spots.join(least, "_id", "left").select(
         F.col("_name"), F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), F.coalesce("_least", "_id").alias("rep_id")
     )

@@ -7,19 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.operators import enrich, features, ingest, labels, metrics, places, publish, qcmodel
-from postsieve.operators.dedupe import dedupe_keep_first
+from postsieve.operators.dedupe import SEQ, dedupe_keep_first
 from postsieve.schemas import EXTRACT_FAILURES, EXTRACTED, POSTS_RAW
 from postsieve.session import cut_lineage
 from postsieve.sources import store
 
 
 def ingest_posts(spark: SparkSession, new: DataFrame, root: str, skip_seen: bool = True, clean: bool = True) -> None:
-    """Add newly crawled posts to the post table."""
-    fresh = ingest.clean_posts(new) if clean else new
+    """Add newly crawled posts, as tables or CSV bring them, to the post table, which is in date order.
+
+    New rows are numbered behind all stored ones, so they win over older rows of their post.
+    """
     old = store.read_table(spark, root, POSTS_RAW)
+    shift = old.agg(F.coalesce(F.max(SEQ) + 1, F.lit(0))).first()[0]
+    read = ingest.read_lists(new)
+    fresh = ingest.as_raw(ingest.clean_posts(read) if clean else read).withColumn(SEQ, F.col(SEQ) + F.lit(shift))
     if skip_seen:
         fresh = ingest.anti_seen_posts(fresh, old)
-    store.write_version(ingest.append_and_dedupe(old, fresh), root)
+    store.write_version(ingest.sort_by_date_desc(ingest.append_and_dedupe(old, fresh)), root)
 
 
 def enrich_posts(
@@ -75,6 +80,7 @@ def qc_train(
     if not guard["ok"]:
         raise ValueError(f"training needs two classes of two rows: {guard.asDict()}")
     prepared, numbers = qcmodel.feature_columns(labelled, cfg)
+    prepared = cut_lineage(prepared, "prepared")  # masked texts are read several times
     vectoriser = qcmodel.fit_features(prepared, numbers, cfg)
     vectors = vectoriser.transform(prepared).select(id_col, cfg.label_col, "raw_features")
     vectors = cut_lineage(features.stratified_folds(vectors, id_col, cfg.label_col, guard["folds"], cfg.seed), "vectors")

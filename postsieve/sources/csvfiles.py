@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from postsieve.operators.ingest import serialize_lists
 from postsieve.schemas import POSTS_CSV
+from postsieve.sources.order import with_place
 
 # Doubled quotes inside quoted fields, fields may span lines, blanks are kept.
 OPTIONS = {
@@ -47,7 +48,7 @@ def file_encodings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_csv_encodings(
-    spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV, first_choice: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV, first_choice: str | None = None, placed: bool = False
 ) -> DataFrame:
     """CSV files of mixed encodings; ``first_choice`` overrules the test for all of them.
 
@@ -59,6 +60,8 @@ def scan_csv_encodings(
     for row in file_encodings(spark, path).toLocalIterator():
         groups.setdefault(row["encoding"], []).append(row["file"])
     parts = [scan_posts_csv(spark, sorted(files), schema, enc) for enc, files in sorted(groups.items())]
+    if placed:
+        parts = [with_place(p) for p in parts]
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]
@@ -67,11 +70,18 @@ def scan_csv_encodings(
     return out
 
 
+def scan_in_order(spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV) -> DataFrame:
+    """``scan_csv_encodings`` with the place of each row, for ``order.number_rows``."""
+    return scan_csv_encodings(spark, path, schema, placed=True)
+
+
 def sink_posts_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """CSV with list columns as JSON text; maps and structs become JSON text, too."""
+    """CSV with list columns as JSON text; maps and structs become JSON text, too. UTF-8 files start with a byte order mark."""
     lists = tuple(f.name for f in df.schema if isinstance(f.dataType, T.ArrayType))
     nested = {f.name: F.to_json(f.name) for f in df.schema if isinstance(f.dataType, T.MapType | T.StructType)}
     flat = serialize_lists(df, lists).withColumns(nested)
+    if encoding == "UTF-8":  # the mark is the first character of the header, hence of each file
+        flat = flat.withColumnRenamed(flat.columns[0], "\ufeff" + flat.columns[0])
     flat.write.mode("overwrite").options(**OPTIONS).options(
         encoding=encoding, emptyValue="", maxRecordsPerFile=str(ROWS_PER_FILE)
     ).csv(path)

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postsieve.functions.text import strip
 from postsieve.operators.dedupe import dedupe_keep_last
 from postsieve.operators.ingest import normalize_posts
 from postsieve.schemas import POSTS_CSV
-from postsieve.sources.csvfiles import scan_csv_encodings
+from postsieve.sources.csvfiles import scan_in_order
+from postsieve.sources.order import PLACE, number_rows
 
 
 def _folder(spark: SparkSession, path: str):
@@ -72,6 +74,16 @@ def store_aggregate(df: DataFrame, query: str, name: str = "collection") -> Data
     return df.sparkSession.sql(query.replace("{" + name + "}", "{df}"), df=df)
 
 
+def read_landing(
+    spark: SparkSession, csv_path: str, where: str | Column | None = None, columns: list[str] | None = None, seq: str = "ingest_seq"
+) -> DataFrame:
+    """CSV rows as they stand in the files, numbered by the time and name of their file, then by row: the input of an ingest run."""
+    found = scan_in_order(spark, csv_path, POSTS_CSV)
+    if "_row" not in found.columns:  # no file
+        return found.withColumn(seq, F.lit(0).cast("bigint"))
+    return number_rows(store_find(found, where, [*columns, *PLACE] if columns else None), seq)
+
+
 def load_posts(
     spark: SparkSession, source: str = "auto", csv_path: str | None = None, store_root: str | None = None,
     where: str | Column | None = None, columns: list[str] | None = None, drop_duplicates_on: str | None = None,
@@ -79,7 +91,8 @@ def load_posts(
 ) -> DataFrame:
     """Posts from CSV or store, normalised, and on request the latest row per key.
 
-    ``auto`` takes the CSV when it exists. CSV rows get their order from the reader, files one after another.
+    ``auto`` takes the CSV when it exists. CSV rows are numbered by the time and name of their file, then as they stand in it. Rows
+    whose key is missing or blank have no duplicates.
     """
     if source not in {"auto", "csv", "store"}:
         raise ValueError("source must be auto, csv or store")
@@ -88,15 +101,16 @@ def load_posts(
     if source == "csv":
         if not csv_path:
             raise ValueError("csv_path is needed for source csv")
-        df = store_find(scan_csv_encodings(spark, csv_path, POSTS_CSV), where, columns)
-        df = df.withColumn(seq, F.monotonically_increasing_id())
+        df = read_landing(spark, csv_path, where, columns, seq)
     else:
         if not store_root:
             raise ValueError("store_root is needed for source store")
         df = store_find(read_table(spark, store_root), where, columns)
     df = normalize_posts(df)
     if drop_duplicates_on and drop_duplicates_on in df.columns:
-        df = dedupe_keep_last(df, [drop_duplicates_on], seq)
+        key = F.col(drop_duplicates_on)
+        missing = key.isNull() | (strip(key.cast("string")) == "")
+        df = dedupe_keep_last(df.where(~missing), [drop_duplicates_on], seq).unionByName(df.where(missing))
     return df
 
 

@@ -7,7 +7,7 @@ log once more; compaction does that and starts a new base.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,25 +16,19 @@ from postsieve.operators.dedupe import SEQ
 from postsieve.operators.ingest import clean_posts, resolve_posts
 from postsieve.schemas import POSTS_RAW
 from postsieve.sources import store
+from postsieve.sources.order import PLACE, number_rows, with_file, with_row
 
-# Bits of a sequence number: batch, task, row.
-TASK_BITS, ROW_BITS = 15, 28
-
-
-def arrival_seq(batch_id: int) -> Column:
-    """Sequence numbers for rows that bring none: later batches are higher, rows of a batch keep reader order."""
-    local = F.monotonically_increasing_id()
-    task, row = F.shiftright(local, 33), local.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < (1 << TASK_BITS)) & (row < (1 << ROW_BITS))
-    seq = F.lit(batch_id << (TASK_BITS + ROW_BITS)) + F.shiftleft(task, ROW_BITS) + row
-    return F.when(fits, seq).otherwise(F.raise_error(F.lit("micro-batch too large for its sequence numbers")))
+BATCH_ROWS = 1 << 42  # sequence numbers a batch may use up: more rows than any batch holds, for two million batches
 
 
 def write_batch(batch: DataFrame, batch_id: int, root: str, clean: bool = False) -> None:
     """Resolve one batch into its folder of the log."""
     rows = clean_posts(batch) if clean else batch
-    if SEQ not in rows.columns:
-        rows = rows.withColumn(SEQ, arrival_seq(batch_id))
+    if SEQ in rows.columns:
+        rows = rows.drop(*PLACE)
+    else:  # later batches are higher; inside a batch older files come first, and rows as they stand in them
+        filed = rows if "_file" in rows.columns else rows.withColumns({"_at": F.lit(None).cast("timestamp"), "_file": F.lit("")})
+        rows = number_rows(with_row(filed), SEQ, batch_id * BATCH_ROWS)
     resolve_posts(rows).write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
 
 
@@ -83,7 +77,7 @@ def ingest_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        reader.load(landing)
+        with_file(reader.load(landing))
         .writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, root, clean))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

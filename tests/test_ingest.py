@@ -127,7 +127,10 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(stream.read_posts(spark, root), *cols) == want
 
 
-def test_arrival_seq_grows_with_batches(spark):
-    df = spark.range(10, numPartitions=3)
-    first, second = ([r[0] for r in df.select(stream.arrival_seq(b)).collect()] for b in (0, 1))
-    assert len(set(first + second)) == 20 and max(first) < min(second)
+def test_arrival_order_grows_with_batches(spark, tmp_path):
+    """Rows that bring no number: the later batch wins, and inside a batch the later row."""
+    for batch, texts in enumerate((["a", "b"], ["c", "d"])):
+        rows = spark.createDataFrame([("p", t, "") for t in texts], "post_id string, content string, date string").coalesce(1)
+        stream.write_batch(rows, batch, str(tmp_path))
+    seqs = {r["content"]: r["ingest_seq"] for r in spark.read.parquet(f"{tmp_path}/log").collect()}
+    assert set(seqs) == {"b", "d"} and seqs["b"] < seqs["d"]

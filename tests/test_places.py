@@ -127,6 +127,14 @@ def test_merge_near_brute_force(spark):
     listed = gazetteer(150, 9)
     got = {r["rank"]: r["rep_id"] for r in pl.merge_near_places(spark.createDataFrame(listed, GAZETTEER_PLACE), "rank", 250.0, 80).collect()}
     norm = lambda s: "".join(s.split()).lower()
-    for p in listed:
-        near = [o[6] for o in listed if norm(o[0]) and norm(p[0]) and similar(norm(o[0]), norm(p[0]), 80) and distance(o[4:6], p[4:6]) <= 250]
-        assert got[p[6]] == min([*near, p[6]])
+    near = {
+        p[6]: [o[6] for o in listed if norm(o[0]) and norm(p[0]) and similar(norm(o[0]), norm(p[0]), 80) and distance(o[4:6], p[4:6]) <= 250]
+        for p in listed
+    }
+    for p in near:
+        met, todo = {p}, [p]
+        while todo:
+            for o in set(near[todo.pop()]) - met:
+                met.add(o)
+                todo.append(o)
+        assert got[p] == min(met)
