@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postsieve.catalog.base import POSTS, query
-from postsieve.operators import dedupe, publish
+from postsieve.operators import dedupe, labels, publish
 from postsieve.plans import jobs
-from postsieve.session import scratch_path
+from postsieve.session import cut_lineage, scratch_path
 
 ITEMS = "SELECT l_orderkey * 2 AS o_orderkey, max(l_extendedprice) AS o_totalprice, count(*) AS n_items FROM lineitem GROUP BY l_orderkey"
 
@@ -58,7 +58,8 @@ def load_targets(t):
     """All posts loaded, then all three tables: the first target does not grow again; an absent table is skipped."""
     root = scratch_path(t.spark, "targets")
     marks = t["labels"].select(F.col("doc_id").alias("ingest_seq"), F.col("toxic").alias("is_ad"))
-    posts = t.posts_raw.join(marks, "ingest_seq", "left")
+    rated = labels.apply_ad_rules(t.posts_raw).drop("is_ad")  # with rule_score and the map rule_why
+    posts = cut_lineage(rated.join(marks, "ingest_seq", "left"), "rated")
     jobs.load_targets(t.spark, {"all_post": posts, "missing": None}, root)
     tables = {"all_post": posts, "non_ads": posts.where("is_ad = 0"), "ads": posts.where("is_ad = 1")}
     return jobs.load_targets(t.spark, tables, root)

@@ -180,12 +180,12 @@ def char_wb_ngrams(t):
 
 
 VOCAB_SQL = """vocab AS (SELECT term, count(DISTINCT ingest_seq) AS df, count(*) AS tf FROM grams GROUP BY term HAVING count(DISTINCT ingest_seq) >= 3
-    ORDER BY tf DESC, term LIMIT 4000)"""
+    ORDER BY tf DESC, term LIMIT 40000)"""
 
 
 @query("vocab_top_k", "SELECT term, df, tf FROM vocab", POSTS, GRAMS_SQL, VOCAB_SQL)
 def vocab_top_k(t):
-    return fx.vocab_top_k(words(t), "words", max_features=4000)
+    return fx.vocab_top_k(words(t), "words")
 
 
 @query(
@@ -198,11 +198,14 @@ def vocab_top_k(t):
 )
 def tfidf(t):
     w = cut_lineage(words(t), "words")  # masked text is costly and read three times
-    model = fx.tfidf_model(w, "words", fx.vocab_top_k(w, "words", max_features=4000))
+    model = fx.tfidf_model(w, "words", fx.vocab_top_k(w, "words"))
     vectors = model.transform(w.withColumn("_grams", fx.char_wb_ngrams(F.col("words"))))
-    weights = F.filter(vector_to_array("_tfidf"), lambda x: x > 0)
+    path = scratch_path(t.spark, "tfidf")
+    vectors.select("ingest_seq", "_tfidf").write.parquet(path)
+    # A stored vector is read by its parts, so that only the terms a row has are looked at.
+    stored = t.spark.read.schema("ingest_seq bigint, _tfidf struct<indices: array<int>, values: array<double>>").parquet(path)
     return (
-        vectors.select("ingest_seq", weights.alias("w")).where(F.size("w") > 0)
+        stored.select("ingest_seq", F.col("_tfidf.values").alias("w")).where(F.size("w") > 0)
         .select(
             "ingest_seq", F.size("w").cast("bigint").alias("terms"),
             F.round(F.aggregate("w", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.array_max("w"), 6).alias("peak"),
