@@ -8,7 +8,7 @@
    overlap of common beginnings, and leaves a subtree when what remains of both sides cannot reach the bound.
 
 A file is read in sorted order with one row per task at most, so copies by the million are no hot group; a block above
-``block`` sets is first compared with one of its sets, and only what does not link there is compared further, in pairs of chunks.
+``block`` sets is first compared with one of its sets, and only what does not link there is compared further, in pairs of chunks of like sizes.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from postsieve.session import cut_lineage
 
 STEP = 1.3  # ratio of the sizes at which one layout of parts gives way to the next
 LEVELS = 8
+CLASS_STEP = 1.05  # ratio of the sizes that bound a size class of a large block
 _word = Memo(xxhash.xxh3_64_intdigest, most=200_000).__getitem__
 
 
@@ -181,8 +182,10 @@ class PrefixTree:
                     stack.append((below, overlap, deep))
 
 
-def linked_groups(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links of a block, as many as are needed to connect what is connected: pairs of positions."""
+def linked_groups(sets: list[np.ndarray], num: int, den: int, first: int = 0) -> list[tuple[int, int]]:
+    """Links of a block, as many as are needed to connect what is connected: pairs of positions. The first sets are not compared
+    with each other, only with those after them.
+    """
     groups, links = Groups(len(sets)), []
     if len(sets) == 2:
         a, b = sets
@@ -196,7 +199,7 @@ def linked_groups(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int,
     for i, r in enumerate(ranks):
         r = np.sort(r)
         mark[r] = 1
-        for j in tree.matches(r, mark) if i else ():
+        for j in tree.matches(r, mark) if i >= max(first, 1) else ():
             if groups.join(i, j):
                 links.append((j, i))
                 if groups.left == len(sets) - i:
@@ -269,30 +272,31 @@ def candidate_links(docs: DataFrame, n: int, num: int, den: int, text: str = "te
 
 def exact_links(sets: DataFrame, docs: DataFrame, blocks: DataFrame, n: int, num: int, den: int, text: str, key: str, block: int) -> DataFrame:
     """True links (a, b) inside the candidate blocks (node, root), enough to connect what is connected."""
-    holders = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("row_key").alias("row_key"))
-    members = blocks.join(holders, blocks["node"] == holders["set_id"]).select("set_id", "row_key", "root")
+    holders = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("row_key").alias("row_key"), F.min("n_shingles").alias("size"))
+    members = blocks.join(holders, blocks["node"] == holders["set_id"]).select("set_id", "row_key", "root", "size")
     texts = docs.select(row_key(key, text), F.col(text).alias("t"))
     sizes = blocks.groupBy("root").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
-    full = cut_lineage(texts.join(members, "row_key").join(sizes, "root").select("root", "n", "pivot", "set_id", "t"), "block-texts")
+    full = cut_lineage(texts.join(members, "row_key").join(sizes, "root").select("root", "n", "pivot", "set_id", "size", "t"), "block-texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by block; repeated rows of a set are met once."""
-        held, ids, groups = None, [], []
+        held, ids, groups, first = None, [], [], 0
 
         def ended():
-            found = linked_groups(groups, num, den) if len(groups) > 1 else []
+            found = linked_groups(groups, num, den, first if first < len(groups) else 0) if len(groups) > 1 else []
             if found:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch.column(2)), strict=True)
-            for at, one, t in rows:
+            rows = zip(*(c.to_pylist() for c in batch.columns[:3]), bytes_of(batch.column(3)), strict=True)
+            for at, second, one, t in rows:
                 if at != held:
                     yield from ended()
-                    held, ids, groups = at, [], []
+                    held, ids, groups, first = at, [], [], 0
                 if not ids or ids[-1] != one:
                     ids.append(one)
                     groups.append(shingles(t, n))
+                    first += not second
         yield from ended()
 
     def versus(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -304,23 +308,30 @@ def exact_links(sets: DataFrame, docs: DataFrame, blocks: DataFrame, n: int, num
         return pa.RecordBatch.from_pydict({"set_id": batch.column(0), "linked": pa.array(out)})
 
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    run = lambda df: df.repartition(tasks, "at").sortWithinPartitions("at", "set_id").mapInArrow(compare, "a bigint, b bigint")
-    small = run(full.where(F.col("n") <= block).select(F.col("root").alias("at"), "set_id", "t"))
+    run = lambda df: df.repartition(tasks, "at").sortWithinPartitions("at", "second", "set_id").mapInArrow(compare, "a bigint, b bigint")
+    small = run(full.where(F.col("n") <= block).select(F.col("root").alias("at"), F.lit(False).alias("second"), "set_id", "t"))
     large = full.where(F.col("n") > block)
     pivots = large.where("set_id = pivot").select("root", F.col("t").alias("p")).dropDuplicates(["root"])
     tested = map_batches(large.join(pivots, "root").select("set_id", "t", "p"), versus, "set_id bigint, linked boolean")
     tested = cut_lineage(tested, "pivot-links")
     to_pivot = large.select("set_id", "pivot").join(tested.where("linked"), "set_id").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
-    rest = large.join(tested.distinct(), "set_id").withColumn("chunks", F.ceil(F.col("n") / F.lit(block // 2)))
-    rest = rest.withColumn("chunk", F.pmod(F.xxhash64("set_id"), "chunks"))
-    # Sets that link to the pivot are one group; only pairs with a loose set are left.
-    open_chunks = rest.where("NOT linked").select("root", F.col("chunk").alias("open")).distinct()
-    # A loose set of an open chunk stands in block (open, x) for every x; any set of chunk x stands in (open, x) for every open chunk.
-    as_other = rest.join(open_chunks, "root").select("root", "open", F.col("chunk").alias("other"), "set_id", "t")
-    as_open = rest.where("NOT linked").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "root", F.col("chunk").alias("open"), "other", "set_id", "t"
+    # Sets that link to the pivot are one group; only pairs with a loose set are left. Sizes of linked sets are close: so the sets go
+    # to size classes, large classes to chunks of bounded weight, and chunks only meet chunks of classes within reach.
+    log_step = math.log(CLASS_STEP)
+    reach = int(math.log(den / num) / log_step) + 1
+    rest = large.join(tested.distinct(), "set_id").withColumn("class", F.floor(F.log(F.col("size")) / log_step + 1e-9).cast("int"))
+    weight = F.sum(F.col("size") + 500)
+    classes = cut_lineage(rest.groupBy("root", "class").agg(F.ceil(weight / F.lit(block * 2000)).alias("chunks")), "classes")
+    rest = rest.join(classes, ["root", "class"]).withColumn("chunk", F.pmod(F.xxhash64("set_id"), "chunks"))
+    opened = rest.where("NOT linked").select("root", "class", "chunk").distinct().withColumn("open", F.lit(True))
+    every = classes.select("root", "class", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"))
+    every = every.join(opened, ["root", "class", "chunk"], "left").select(
+        "root", F.col("class").alias("far_class"), F.col("chunk").alias("far_chunk"), F.coalesce("open", F.lit(False)).alias("open")
     )
-    pairs = as_other.unionByName(as_open).select(F.xxhash64("root", "open", "other").alias("at"), "set_id", "t")
+    near = rest.withColumn("far_class", F.explode(F.sequence(F.col("class") - reach, F.col("class") + reach)))
+    met = near.join(every, ["root", "far_class"]).where(~F.col("linked") | F.col("open"))
+    own, far = F.struct("class", "chunk"), F.struct(F.col("far_class").alias("class"), F.col("far_chunk").alias("chunk"))
+    pairs = met.select(F.xxhash64("root", F.least(own, far), F.greatest(own, far)).alias("at"), (own > far).alias("second"), "set_id", "t")
     return small.unionByName(run(pairs)).unionByName(to_pivot)
 
 
