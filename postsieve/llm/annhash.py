@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from postsieve.llm.common import hashed_share
+
 BITS, PIECE = 128, 16
 
 
@@ -145,7 +147,7 @@ def nearest(
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.where(F.size("v") == most["d"])
     longest = rows.agg(F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()[0]
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()["v"].combine_chunks()
+    picked = rows.where(hashed_share("id", most["n"], 2 * sample)).orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()["v"].combine_chunks()
     coder = fit(picked.flatten().to_numpy().reshape(-1, most["d"]), longest, k)
     shards = max(-(-most["n"] // shard_rows), spark.sparkContext.defaultParallelism)
     blocks = max(-(-(most["q"] or 0) // block_rows), 1)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run without ASCII white space
 
@@ -35,6 +36,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
+def hashed_share(key: str, rows: int, about: int) -> Column:
+    """Condition that holds for about ``about`` of ``rows`` rows, chosen by a hash of the key; for all, if there are fewer."""
+    whole = 1 << 40
+    return F.pmod(F.xxhash64(key), F.lit(whole)) < F.lit(min(whole, -(-about * whole // max(rows, 1))))
+
+
 class Memo(dict):
     """Results by key, computed on first use and forgotten together when there are ``most``; only a matter of speed.
 

@@ -291,6 +291,18 @@ def word_counts(parts: DataFrame) -> DataFrame:
 END_WORD = signed_hash(b"")
 
 
+def frequent_words(words: DataFrame, head: int) -> DataFrame:
+    """At most ``head`` of the most frequent words. A histogram of the counts tells from which count on, so that few rows are sorted."""
+    level = F.floor(F.log2("c") * 16)
+    least, n = None, 0
+    for r in words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # some 1,000 levels at most
+        n += r["n"]
+        if n > 2 * head:
+            break
+        least = r["level"]
+    return words.where(level >= least if least is not None else F.lit(False)).orderBy(F.desc("c"), "word").limit(head)
+
+
 def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str = "text", head: int = 1 << 16) -> DataFrame:
     """Per document: n_tokens, n_known, train_tokens, base_score and score, learned from the rows where ``training`` holds.
 
@@ -302,7 +314,7 @@ def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str =
     model = learn(parts)
     words = word_counts(parts)
     train_tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("c"), "word").limit(head).toArrow().sort_by("word")  # at most head rows
+    top = frequent_words(words, head).toArrow().sort_by("word")  # at most head rows
     known, counts = top["word"].to_numpy(), top["c"].to_numpy().astype(np.float64)
     below = train_tokens + 0.1 * (vocabulary + 1)
     values = np.log10((counts + 0.1) / below)

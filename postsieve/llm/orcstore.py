@@ -118,12 +118,12 @@ def check_sums(tokens: DataFrame) -> DataFrame:
 def document_starts(spark: SparkSession, path: str) -> DataFrame:
     """Per document what the files hold: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    File totals come from the short ``n_tokens`` column; only they, one row per file, are summed in one place. Running sums go
+    Files follow each other by part number (longer names beyond 99,999 parts). File totals come from the short ``n_tokens`` column; only they, one row per file, are summed in one place. Running sums go
     over the narrow rows of one file each.
     """
     stored = read_documents(spark, path)
     files = stored.groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file")).agg(F.sum("n_tokens").alias("ids_in_file"))
-    earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy(F.length("file"), "file").rowsBetween(W.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("ids_in_file").over(earlier), F.lit(0)).alias("file_start"))
     before = W.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens").rowsBetween(W.unboundedPreceding, -1)
     rows = check_sums(stored).withColumn("inside", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

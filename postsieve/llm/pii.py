@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import texts_of
+from postsieve.llm.common import hashed_share, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24  # tokens of a segment
@@ -304,8 +304,8 @@ def find(text: str, field: Field) -> tuple[list[tuple[str, int, int]], list[tupl
     return base, sorted(base + added, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 300, per_doc: int = 6) -> Field:
-    """Field from the windows of at most ``most`` documents with spans and as many windows without, chosen by a hash of the key.
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 300, per_doc: int = 6, among: int = 30_000) -> Field:
+    """Field from 2 * ``most`` windows with spans and ``most`` without, of about ``among`` documents chosen by a hash of the key.
 
     Only short neighbourhoods reach the driver, ``per_doc`` of a document at most.
     """
@@ -321,7 +321,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 30
             types = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["h", "text", "kinds", "spans"])
 
-    likely = F.col(text).rlike(r"[0-9][^a-zA-Z]{5}|@")
+    likely = hashed_share(key, docs.count(), among) & F.col(text).rlike(r"[0-9][^a-zA-Z]{5}|@")
     found = docs.where(likely).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).mapInArrow(run, schema)
     rows = []
     for with_spans in (True, False):

@@ -13,6 +13,7 @@ from helpers import words
 from pyspark.sql import functions as F
 
 from postsieve.llm import contextmix, langid, pii
+from postsieve.llm.common import hashed_share
 
 SF = "/root/testdata/sf0.001"
 
@@ -203,3 +204,21 @@ def test_parts_make_up_the_text():
     for parts in product(["a", " ", "\n", "é"], repeat=4):
         raw = "".join(parts).encode()
         assert b"".join(contextmix.parts_of(raw)) == raw + b"\xfe"
+
+
+def test_frequent_words_are_the_most_frequent(spark):
+    rng = random.Random(8)
+    rows = [(i, int(rng.paretovariate(0.7))) for i in range(3000)]
+    words = spark.createDataFrame(rows, "word bigint, c bigint")
+    for head in (10, 200, 5000):
+        got = [tuple(r) for r in contextmix.frequent_words(words, head).collect()]
+        assert got == sorted(rows, key=lambda r: (-r[1], r[0]))[: len(got)]
+        assert len(got) == len(rows) if head > len(rows) else 0 < len(got) <= head
+    assert contextmix.frequent_words(words.where("false"), 10).collect() == []
+
+
+def test_share_by_hash(spark):
+    df = spark.range(20_000)
+    assert df.where(hashed_share("id", 20_000, 50_000)).count() == 20_000
+    assert 800 < df.where(hashed_share("id", 20_000, 1000)).count() < 1200
+    assert df.where(hashed_share("id", 0, 10)).count() == 20_000
