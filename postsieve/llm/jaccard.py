@@ -73,10 +73,9 @@ def layouts(size: int, num: int, den: int) -> tuple[tuple[int, int, int], ...]:
             differ = int(2 * (high + 1) * (den - num) / (den + num) + 1e-9)
             if differ:
                 parts = differ + 1
-                while True:  # enough parts that even the smallest sets rarely fill too few
-                    empty = math.exp(-low / parts)
-                    if parts * (1 - empty) - 3 * math.sqrt(parts * empty * (1 - empty)) >= differ + 1 or parts > 4 * low + 8:
-                        break
+                # As few parts as fill more than ``differ`` of them on average: large parts tell more, and sets that fill too few
+                # have further levels to try.
+                while parts * (1 - math.exp(-low / parts)) < differ + 1 and parts < 2 * low:
                     parts += 1 + parts // 50
                 out.append((k, parts, differ))
         k += 1
@@ -87,7 +86,7 @@ def part_sums(h: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys under which a set is filed.
 
     Where too few parts are filled for the argument above, the set is also filed under a next cut of the hash space; a pair is
-    only missed at one level if both sets go on to the next. The last level files empty parts as well.
+    only missed at one level if both sets go on to the next. Sets that fill too few at all levels are filed under each shingle.
     """
     keys = []
     for k, parts, differ in layouts(len(h), num, den):
@@ -100,8 +99,7 @@ def part_sums(h: np.ndarray, num: int, den: int) -> np.ndarray:
             if len(start) > differ:
                 break
         else:
-            blank = np.setdiff1d(np.arange(parts, dtype=np.uint64), part)
-            keys.append(_mix(blank + np.uint64(((k * LEVELS + LEVELS) << 32) + 1), 17))
+            keys.append(_mix(h ^ _mix(np.full(len(h), k + 1, np.uint64), 11), 17))
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
