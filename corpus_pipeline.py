@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from postsieve.llm import bpe, jaccard, langid, mixing, pii
 from postsieve.session import cut_lineage
 
-LEAST_SURE = 0.5  # language probability below which a document is rejected
+LEAST_SURE = 0.3  # language probability below which a document is rejected: short clean texts stay
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
