@@ -2,9 +2,9 @@
 
 The element trees of one host are merged: a node is a path of element styles (tag, class, id) from the body. For each node the
 entropy of its contents and of its inner styles over the host's pages tells how much it varies. Branches that hardly vary are
-furniture of the site and are cut from each page, as are elements that say themselves that they are none of the article. The
-article itself, where a page marks it, is never cut by its entropy: an article may be printed many times. For the same reason
-pages with one and the same article count once.
+furniture of the site and are cut from each page, as are elements that say themselves that they are none of the article, unless
+they hold what the page marks as its article or nearly all of its text. The article itself, where a page marks it, is never cut
+by its entropy: an article may be printed many times. For the same reason pages with one and the same article count once.
 """
 
 from __future__ import annotations
@@ -22,17 +22,18 @@ from postsieve.llm.common import map_batches
 from postsieve.session import cut_lineage
 
 LOW, SEEN = 0.2, 5  # importance below which a branch goes, and distinct articles a node must have been seen with
+NEARLY = 0.9  # share of the text that would be left from which an element is no furniture
 
 TAG = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z|[^>]*+>?)|<[!?/][^>]*+>?", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-NAME = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 GONE = frozenset(
-    "script style head title noscript template nav footer aside form button select option textarea input dialog iframe object embed svg math canvas audio video noembed noframes menu".split()
+    "script style title noscript template button select option textarea input iframe object embed svg math canvas audio video noembed noframes".split()
 )
+DOUBTED = frozenset("head nav footer aside form dialog menu".split())  # cut unless they turn out to hold the page's text
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img picture".split()
 )
@@ -53,12 +54,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 
 
 class Element:
-    """An element: style path, whether it is cut for what it says of itself, and its texts and inner elements in order."""
+    """An element: style path, whether it is cut, or doubted for what it says of itself, and its texts and inner elements in order."""
 
-    __slots__ = ("cut", "holds", "inner", "path", "style", "tag")
+    __slots__ = ("cut", "doubted", "free", "holds", "inner", "marked", "path", "size", "style", "tag", "under")
 
-    def __init__(self, tag: str, style: str, path: int, cut: bool):
-        self.tag, self.style, self.path, self.cut, self.inner = tag, style, path, cut, []
+    def __init__(self, tag: str, style: str, path: int, cut: bool, doubted: bool = False):
+        self.tag, self.style, self.path, self.cut, self.doubted, self.inner = tag, style, path, cut, doubted, []
         self.holds = False  # an article is in here, or this is one
 
 
@@ -100,9 +101,53 @@ def parse(page: str) -> Element:
             stack.append(element)
     if at < len(page):
         stack[-1].inner.append(page[at:])
+    settle(root)
     return root
 
 
+def settle(root: Element) -> None:
+    """Cut the doubted elements, but not one that is the page rather than its furniture.
+
+    Kept are those that hold a main; those that hold an article, if no article is left outside of doubted elements and less
+    text is; and those with at least half of the page's text and nearly all that would be left. Outer ones are settled before
+    inner ones, so that a sidebar inside a kept wrapper still goes. Text in links counts a tenth.
+    """
+    order, todo = [], [(root, False)]
+    while todo:
+        e, linked = todo.pop()
+        order.append((e, linked))
+        todo.extend((x, linked or x.tag == "a") for x in e.inner if not isinstance(x, str) and not x.cut)
+    for e, linked in reversed(order):
+        e.size = e.under = 0  # text below, and that of it below doubted elements
+        e.marked, e.free = set(), set()  # kinds of articles with text below, and those outside of doubted elements
+        for x in e.inner:
+            if isinstance(x, str):
+                e.size += sum(map(len, x.split())) * (1 if linked else 10)
+            elif not x.cut:
+                e.size += x.size
+                e.under += x.size if x.doubted else x.under
+                e.marked |= x.marked
+                e.free |= set() if x.doubted else x.free
+        if e.tag in ARTICLE and e.size:
+            e.marked.add(e.tag)
+            if e.size > e.under:
+                e.free.add(e.tag)
+    left, free, kept = 0, set(), [root]
+    while kept:
+        left += sum(e.size - e.under for e in kept)
+        free = free.union(*(e.free for e in kept))
+        found, todo = [], kept
+        while todo:
+            inner = [x for x in todo.pop().inner if not isinstance(x, str) and not x.cut]
+            found.extend(x for x in inner if x.doubted)
+            todo.extend(x for x in inner if not x.doubted)
+        for e in found:
+            article = "article" in e.marked and "article" not in free and e.size >= left
+            most = e.size > 0 and 2 * e.size >= root.size and e.size >= NEARLY * (e.size + left)
+            e.cut = not ("main" in e.marked or article or most)
+        kept = [e for e in found if not e.cut]
+
+
 def _end(stack: list[Element], tags: set[str]) -> None:
     """Close the innermost open element of these tags, unless a container stands between."""
     for i in range(len(stack) - 1, 0, -1):
@@ -114,20 +159,20 @@ def _end(stack: list[Element], tags: set[str]) -> None:
 
 
 def _element(tag: str, raw: str, stack: list[Element]) -> Element:
-    names, cut = "", tag in GONE
+    names, cut, doubted = "", tag in GONE, tag in DOUBTED
     if raw and not raw.isspace() and tag not in ("html", "body"):
         found = {a.lower(): html.unescape(x or y or z).lower() for a, x, y, z in ATTRIBUTE.findall(raw)}
         names = " ".join(sorted(f"{found.get('class', '')} {found.get('id', '')}".split()))
         if tag not in ARTICLE and tag not in INLINE:
-            words = set(NAME.findall(names))
+            words = set(names.split())  # whole names: a part as in no-sidebar or related-work says little, there the style tree decides
             inside = any(e.tag in ARTICLE for e in stack)
-            cut = cut or bool(words & FURNITURE) or found.get("role") in ROLES or (not inside and "header" in words)
+            doubted = doubted or bool(words & FURNITURE) or found.get("role") in ROLES or (not inside and "header" in words)
         hidden = "hidden" in re.split(r"[\s=/]+", re.sub(r"\"[^\"]*\"|'[^']*'", "", raw.lower())) or found.get("aria-hidden") == "true"
         cut = cut or hidden or re.search(r"display\s*:\s*none", found.get("style", "")) is not None
     if tag == "header" and not any(e.tag in ARTICLE for e in stack):
-        cut = True
+        doubted = True
     style = f"{tag}.{names}" if names else tag
-    return Element(tag, style, xxhash.xxh3_64_intdigest(style.encode(), seed=stack[-1].path) >> 1, cut)
+    return Element(tag, style, xxhash.xxh3_64_intdigest(style.encode(), seed=stack[-1].path) >> 1, cut, doubted)
 
 
 def blocks(top: Element, low: frozenset[int] = frozenset()) -> list[str]:

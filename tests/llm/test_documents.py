@@ -104,6 +104,38 @@ PAGES = {
 }
 
 
+WRAPPED = {
+    "<div id='wrapper' class='with-sidebar'><main><p>a</p></main></div><footer>f</footer>": "a",
+    "<div class='no-sidebar'><p>a</p></div>": "a",
+    "<div class='page-with-ads'><div class='search-results'><article><p>a</p></article></div></div>": "a",
+    "<form id='aspnetForm'><div class='header'>h</div><div class='body'><p>The text of it all</p></div><div class='sidebar'>s</div></form>": "The text of it all",
+    "<form><main><p>a</p></main></form><div>some more text</div>": "a",
+    "<header><article><h1>a</h1><p>b</p></article></header>": "a\nb",
+    "<div class='widget'><p>Nearly all of the text of a page</p></div><a href='/'>home</a>": "Nearly all of the text of a page\nhome",
+    "<article><p>a</p><div class='related-work'><p>b</p></div><div class='social-policy'><p>c</p></div></article>": "a\nb\nc",
+    "<head><title>t</title><body><p>a</p>": "a",
+    # What is furniture stays cut, also where it uses article tags or is longer than the article.
+    "<article><p>a</p></article><div id='comments'><article>one</article><article>two</article></div>": "a",
+    "<p>A page without marks</p><aside><article>teaser</article></aside>": "A page without marks",
+    "<form><p>The text</p><div class='sidebar'>More words than the text has</div></form>": "The text",
+    "<nav>menu</nav><form>f</form><footer>foot</footer><div class='share'>xyz</div>": "",
+}
+
+
+def test_what_holds_the_text_is_not_cut_for_its_name_or_tag(spark):
+    assert {p: sitetree.main_text(p) for p in WRAPPED} == WRAPPED
+    rows = [(i, "https://h.example/", p) for i, p in enumerate(WRAPPED)]
+    got = sitetree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == dict(enumerate(WRAPPED.values()))
+
+
+def test_doubtful_names_are_left_to_the_style_tree(spark):
+    page = "<body><div class='cookie-notice'>We use cookies</div><div class='post-related-work'><p>Story {0} of the day</p></div></body>"
+    rows = [(i, "https://a.example/", page.format(i)) for i in range(12)]
+    got = sitetree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {i: f"Story {i} of the day" for i in range(12)}
+
+
 def test_main_text_of_pages(spark):
     rows = [(i, f"https://h.example/{i}", p) for i, p in enumerate(PAGES)] + [(None, None, None), (0, "no host", "<p>z</p>")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
