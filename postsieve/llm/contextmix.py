@@ -1,13 +1,14 @@
 """A byte-level language model by online logistic context mixing, and the unigram base score next to it.
 
-A text is cut behind every ASCII white space; its parts end themselves, so a byte is predicted from its part alone. Bytes are
-binary paths in Huffman trees, one tree per previous byte. Each bit has several predictors: hashed contexts (previous byte,
-three bytes, the whole part so far) with the counts of that bit in all training documents. Their log odds are added with
+A text is cut behind every ASCII white space. Bytes are binary paths in Huffman trees, one tree per previous byte. Each bit has
+several predictors: hashed contexts (previous byte, three bytes, the word so far, the word so far with the word before it) with
+the counts of that bit in all training documents; bytes before the part count in them too. Their log odds are added with
 weights from a set that a gate chooses by how often the longer contexts were seen; each document starts from the same
-weights and refines them as it goes. As weights only change between blocks of a document, equal parts of a block are one.
+weights and refines them every few parts.
 
-Everything is learned from one table, the distinct parts of the training documents with their counts; it grows with the corpus
-and stays distributed. What goes to every task is bounded: the trees, the slot tables, and the most frequent words.
+All that a part is predicted from goes before it as a head: its unit is a hash of the word before, the three bytes before, and
+the part. Everything is learned from one table, the units of the training documents with their counts; it grows with
+the corpus and stays distributed. What goes to every task is bounded: the trees, the slot tables, and the most frequent words.
 """
 
 from __future__ import annotations
@@ -30,28 +31,40 @@ from postsieve.session import cut_lineage
 END, START = 0xFE, 0xFF  # bytes that UTF-8 never uses
 PART = re.compile(rb"[^\x20\x09-\x0D\xFE]*[\x20\x09-\x0D\xFE]")
 SLOT_BITS = 20
-ORDERS = 3
+ORDERS = 4
 GATES = 1 << (ORDERS - 1)
 UNIT = 1024.0
 SURE = 8  # counts from which a context is trusted
-BLOCKS = np.array([0, 8, 16, 32, 64, 128, 256, 512])
+STEP = 4  # parts after which a document's weights move
+HEAD = 7  # bytes of a unit before its part: hash of the word before, and three bytes
 
 
 def parts_of(text: bytes) -> list[bytes]:
     return PART.findall(text + b"\xfe")
 
 
-def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all parts, each with three start bytes before it, and the places of the real bytes."""
-    raw = np.frombuffer(b"\xff\xff\xff" + b"\xff\xff\xff".join(parts), np.uint8)
-    return raw, np.flatnonzero(raw != START)
+def units_of(parts: list[bytes]) -> list[bytes]:
+    """The parts of one text, each behind its head. Blank parts do not count as the word before."""
+    units, word, near = [], b"\0\0\0\0", b"\xff\xff\xff"
+    for p in parts:
+        units.append(word + near + p)
+        near = p[-3:] if len(p) > 2 else (near + p)[-3:]
+        if len(p) > 1:
+            word = xxhash.xxh32_digest(p[:-1])
+    return units
 
 
-def bigram_counts(parts: list[bytes], times: np.ndarray) -> np.ndarray:
-    """Counts of (previous byte, byte) over parts that occur ``times`` each."""
-    raw, at = joined(parts)
-    weights = np.repeat(times, [len(p) for p in parts])
-    return np.bincount(raw[at - 1].astype(np.int64) << 8 | raw[at], weights, minlength=1 << 16)
+def joined(units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all units, the places of the parts' bytes, and the parts' lengths."""
+    raw = np.frombuffer(b"".join(units), np.uint8)
+    lengths = np.fromiter(map(len, units), np.int64, len(units)) - HEAD
+    return raw, np.arange(int(lengths.sum())) + np.repeat(np.arange(1, len(units) + 1) * HEAD, lengths), lengths
+
+
+def bigram_counts(units: list[bytes], times: np.ndarray) -> np.ndarray:
+    """Counts of (previous byte, byte) over units that occur ``times`` each."""
+    raw, at, lengths = joined(units)
+    return np.bincount(raw[at - 1].astype(np.int64) << 8 | raw[at], np.repeat(times, lengths), minlength=1 << 16)
 
 
 @dataclass
@@ -111,14 +124,16 @@ def contexts(raw: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> list[np.nd
     first = np.repeat(np.cumsum(lengths) - lengths, lengths)
     place = np.arange(len(at)) - first
     sums = np.concatenate([[np.uint32(0)], np.cumsum(b[at] * power[place], dtype=np.uint32)])
-    so_far = sums[:-1] - sums[first]
-    return [one * np.uint32(0x85EBCA6B), near * np.uint32(0xC2B2AE35) + np.uint32(1), so_far ^ (place.astype(np.uint32) * np.uint32(0x27D4EB2F))]
+    so_far = (sums[:-1] - sums[first]) ^ (place.astype(np.uint32) * np.uint32(0x27D4EB2F))
+    start = at[first[np.cumsum(lengths) - lengths]] - HEAD
+    before = b[start] << np.uint32(24) | b[start + 1] << np.uint32(16) | b[start + 2] << np.uint32(8) | b[start + 3]
+    both = (so_far * np.uint32(0xC2B2AE3D)) ^ np.repeat(before, lengths)
+    return [one * np.uint32(0x85EBCA6B), near * np.uint32(0xC2B2AE35) + np.uint32(1), so_far, both ^ (both >> np.uint32(16))]
 
 
-def bit_slots(parts: list[bytes], trees: Trees):
-    """Per bit of the parts: slots of the predictors (one array each) and the bit; and the number of bits per part."""
-    raw, at = joined(parts)
-    lengths = np.array([len(p) for p in parts])
+def bit_slots(units: list[bytes], trees: Trees):
+    """Per bit of the units' parts: slots of the predictors (one array each) and the bit; and the number of bits per part."""
+    raw, at, lengths = joined(units)
     pair = raw[at - 1].astype(np.int64) << 8 | raw[at]
     steps = trees.length[pair]
     ends = np.cumsum(steps)
@@ -144,65 +159,57 @@ class Model:
     trees: Trees
     tables: list[np.ndarray]
     rate: float = 0.06
-    start_weights: tuple[float, ...] = (0.0, 0.7, 0.4)  # per predictor, before a document refines them
+    start_weights: tuple[float, ...] = (0.0, 0.4, 0.35, 0.35)  # per predictor, before a document refines them
+    limit: int = 25_000  # parts whose bits are in memory at once
 
     def score(self, documents: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each document, given its parts. No document's score depends on the others."""
+        n = len(documents)
+        order = sorted(range(n), key=lambda i: -len(documents[i]))  # longest first, so that those not yet at their end lead
+        units = [units_of(documents[i]) for i in order]
+        weights = [np.full(n * GATES, w, np.float32) for w in self.start_weights]
+        moved = [np.full(n * GATES, 1.0) for _ in range(ORDERS)]
+        total, left, at = np.zeros(n), n, 0
+        while left:
+            steps, size = [], 0  # per step the next parts of all documents that have some left
+            while left and size < self.limit:
+                steps.append([units[d][at : at + STEP] for d in range(left)])
+                size += sum(map(len, steps[-1]))
+                at += STEP
+                while left and len(units[left - 1]) <= at:
+                    left -= 1
+            self._mix(steps, weights, moved, total)
+        out = np.zeros(n)
+        out[order] = -total / np.log(10.0)
+        return out
+
+    def _mix(self, steps: list[list[list[bytes]]], weights: list[np.ndarray], moved: list[np.ndarray], total: np.ndarray) -> None:
+        """Add the losses of these steps to ``total``, and move the weights of each document behind each step."""
         index: dict[bytes, int] = {}
-        for parts in documents:
-            for p in parts:
-                index.setdefault(p, len(index))
+        unit = np.array([index.setdefault(u, len(index)) for step in steps for some in step for u in some])
+        owner = np.array([d for step in steps for d, some in enumerate(step) for _ in some])
         slots, bit, per_part = bit_slots(list(index), self.trees)
         values = [t[s] for t, s in zip(self.tables, slots, strict=True)]
-        first = np.cumsum(per_part) - per_part
-        sign = (bit * 2 - 1).astype(np.float32)
+        reps = per_part[unit]
+        ends = np.cumsum(reps)
+        bits = np.repeat((np.cumsum(per_part) - per_part)[unit] - (ends - reps), reps) + np.arange(int(ends[-1]))
         gate = sum(((v & 1) << k for k, v in enumerate(values[1:])), np.zeros(len(bit), np.int16))
-        odds = [((v >> 1) / np.float32(UNIT)).astype(np.float32) for v in values]
-        out, done = [], 0
-        while done < len(documents):  # as many documents at once as have some 200,000 parts
-            some, size = [], 0
-            while done < len(documents) and (not some or size + len(documents[done]) < 200_000):
-                some.append(np.fromiter(map(index.__getitem__, documents[done]), np.int64, len(documents[done])))
-                size += len(some[-1])
-                done += 1
-            out.append(self._mix(some, first, per_part, odds, sign, gate))
-        return np.concatenate(out) if out else np.zeros(0)
-
-    def _mix(self, documents, first, per_part, odds, sign, gate) -> np.ndarray:
-        n = len(documents)
-        part = np.concatenate(documents)
-        doc = np.repeat(np.arange(n), [len(d) for d in documents])
-        place = np.concatenate([np.arange(len(d)) for d in documents])
-        block = np.where(place < BLOCKS[-1], np.searchsorted(BLOCKS, place, side="right") - 1, len(BLOCKS) - 2 + place // BLOCKS[-1])
-        key = (block * n + doc) * len(first) + part
-        key, times = np.unique(key, return_counts=True)  # a part that repeats inside a block counts as often
-        part, owner, block = key % len(first), key // len(first) % n, key // len(first) // n
-        cuts = np.searchsorted(block, np.arange(int(block.max()) + 2))
-        weights = [np.full(n * GATES, w, np.float32) for w in self.start_weights]
-        moved = [np.full(n * GATES, 1.0) for _ in range(ORDERS)]
-        total = np.zeros(n)
-        limit = 100_000  # parts whose bits are in memory at once
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            grads = [np.zeros(n * GATES) for _ in range(ORDERS)]
-            for at in range(lo, hi, limit):
-                end = min(at + limit, hi)
-                p, reps = part[at:end], per_part[part[at:end]]
-                ends = np.cumsum(reps)
-                bits = np.repeat(first[p] - (ends - reps), reps) + np.arange(int(ends[-1]))
-                who, often = np.repeat(owner[at:end], reps), np.repeat(times[at:end].astype(np.float32), reps)
-                group = who * GATES + gate[bits]
-                x = [o[bits] for o in odds]
-                y = sign[bits]
-                margin = y * sum(w[group] * xi for w, xi in zip(weights, x, strict=True))
-                e = np.exp(-np.clip(margin, -30.0, 30.0))
-                total += np.bincount(who, often * np.log1p(e), minlength=n)
-                push = often * y * (e / (1.0 + e))
-                for g, xi in zip(grads, x, strict=True):
-                    g += np.bincount(group, push * xi, minlength=n * GATES)
-            for w, m, g in zip(weights, moved, grads, strict=True):
-                m += g * g
-                w += (self.rate * g / np.sqrt(m)).astype(np.float32)
-        return -total / np.log(10.0)
+        odds = [((v >> 1) / np.float32(UNIT)).astype(np.float32)[bits] for v in values]
+        sign = (bit * 2 - 1).astype(np.float32)[bits]
+        who = np.repeat(owner, reps)
+        group = who * GATES + gate[bits]
+        loss = np.empty(len(bits), np.float32)
+        cuts = np.append(0, ends[np.cumsum([sum(map(len, step)) for step in steps]) - 1])
+        for step, lo, hi in zip(steps, cuts[:-1], cuts[1:], strict=True):
+            x, y, g = [o[lo:hi] for o in odds], sign[lo:hi], group[lo:hi]
+            e = np.exp(-np.clip(y * sum(w[g] * xi for w, xi in zip(weights, x, strict=True)), -30.0, 30.0))
+            loss[lo:hi] = np.log1p(e)
+            push, size = y * (e / (1.0 + e)), len(step) * GATES
+            for w, m, xi in zip(weights, moved, x, strict=True):
+                grad = np.bincount(g, push * xi, minlength=size)
+                m[:size] += grad * grad
+                w[:size] += (self.rate * grad / np.sqrt(m[:size])).astype(np.float32)
+        total += np.bincount(who, loss, minlength=len(total))
 
 
 def signed_hash(word: bytes) -> int:
@@ -210,28 +217,29 @@ def signed_hash(word: bytes) -> int:
 
 
 def count_parts(docs: DataFrame, text: str = "text", most: int = 300_000) -> DataFrame:
-    """Distinct parts of all rows with their counts: (part, n). A task holds ``most`` distinct parts, then passes them on."""
+    """Units of all rows with their counts: (unit, n). A task holds ``most`` distinct units, then passes them on; they are not
+    summed over tasks, as most units are rare and a shuffle of them costs more than what it saves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
 
         def rows():
-            return pa.RecordBatch.from_pydict({"part": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
+            return pa.RecordBatch.from_pydict({"unit": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
 
         for batch in batches:
             for t in bytes_of(batch.column(0)):
-                found.update(parts_of(t))
+                found.update(units_of(parts_of(t)))
                 if len(found) > most:
                     yield rows()
                     found.clear()
         yield rows()
 
-    counted = docs.select(text).mapInArrow(run, "part binary, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
-    return cut_lineage(counted, "parts")
+    return cut_lineage(docs.select(text).mapInArrow(run, "unit binary, n bigint"), "parts")
 
 
 def learn(parts: DataFrame) -> Model:
-    """Trees and slot tables from the part counts. 2^16 and at most ORDERS * 2^SLOT_BITS sums reach the driver."""
+    """Trees and slot tables from the unit counts. 2^16 and at most ORDERS * 2^SLOT_BITS sums reach the driver."""
 
     def table_rows(table: np.ndarray) -> pa.RecordBatch:
         full = np.flatnonzero(table)
@@ -239,8 +247,8 @@ def learn(parts: DataFrame) -> Model:
 
     def pieces(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
+            for some in (batch.slice(i, 40_000) for i in range(0, batch.num_rows, 40_000)):
+                yield some.column(0).to_pylist(), some.column(1).to_numpy().astype(np.float64)
 
     def pairs(batches):
         table = np.zeros(1 << 16)
@@ -248,8 +256,11 @@ def learn(parts: DataFrame) -> Model:
             table += bigram_counts(found, times)
         yield table_rows(table)
 
+    # A task's table is passed on whole, whatever it has read: so many units a task that the tables stay below the units in size.
+    tasks = -(-parts.count() // 4_000_000) or 1
+
     def gathered(fn, size: int) -> np.ndarray:
-        rows = parts.mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        rows = parts.coalesce(tasks).mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros(size)
         table[rows["slot"].to_numpy()] = rows["n"].to_numpy()
         return table
@@ -276,7 +287,8 @@ def word_counts(parts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, counts = [], []
-            for p, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for u, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                p = u[HEAD:]
                 if len(p) > 1:
                     words.append(signed_hash(p[:-1].lower()))
                     counts.append(n)

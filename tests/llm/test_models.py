@@ -184,6 +184,27 @@ def test_model_prefers_what_it_has_seen(small_model):
     assert again[1] / 800 > again[0] / 8  # weights are refined inside a document
 
 
+def test_words_are_predicted_from_the_words_before(spark):
+    """Each of two words follows its own word only; a model within words cannot tell the right order from the wrong one."""
+    df = spark.createDataFrame([("red apple blue river " * 5,)] * 20, "text string")
+    model = contextmix.learn(contextmix.count_parts(df))
+    right, wrong = (float(model.score([contextmix.parts_of(t)])[0]) for t in (b"red apple blue river red apple", b"red river blue apple red river"))
+    assert right > wrong + 3.0
+
+
+def test_weights_move_every_few_parts(small_model):
+    """A model that never moves its weights gives a repeated text the same price each time; here it falls within the first parts."""
+    cost = lambda n: -float(small_model.score([contextmix.parts_of(b"zq " * n)])[0])
+    assert contextmix.STEP <= 8
+    assert cost(12) - cost(8) < cost(8) - cost(4)
+
+
+def test_scores_do_not_depend_on_how_much_is_in_memory(small_model):
+    many = [contextmix.parts_of(t) for t in (b"ab " * 900, b"", b"ba ab abab " * 40, b"xyz \n\t ab")]
+    small = contextmix.Model(small_model.trees, small_model.tables, limit=10)
+    assert np.allclose(small.score(many), small_model.score(many), rtol=1e-5)
+
+
 def test_held_out_bits_per_byte(documents):
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     rows = contextmix.score_documents(documents.withColumn("n", F.octet_length("text")), ~held).join(documents.select("doc_id", "text"), "doc_id").where(held)
