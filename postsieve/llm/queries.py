@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import annhash, bpe, contextmix, fingerprint, jaccard, langid, mixing, orcstore, pii, sitetree
+from postsieve.llm import annhash, bpe, contextmix, dialogue, fingerprint, jaccard, langid, mixing, orcstore, periodic, pii, sitetree, warc
 from postsieve.llm.common import table
 from postsieve.session import scratch_path
 
@@ -129,3 +129,40 @@ def op9(spark, sf_dir):
 @query("op10_main_text")
 def op10(spark, sf_dir):
     return sitetree.extract(table(spark, sf_dir, "pages"))
+
+
+WARC_SQL = """
+WITH sized AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+held AS (SELECT payload_digest, min(page_id) AS first FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT s.page_id, s.payload_bytes, s.payload_digest,
+       CASE WHEN h.first IS NOT NULL AND h.first IS DISTINCT FROM s.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN h.first IS DISTINCT FROM s.page_id THEN h.first END AS refers_to
+FROM sized s LEFT JOIN held h USING (payload_digest)
+"""
+
+
+@query("op11_warc", WARC_SQL)
+def op11(spark, sf_dir):
+    whole, split = scratch_path(spark, "warc"), scratch_path(spark, "warc-members")
+    warc.write_archives(table(spark, sf_dir, "pages"), whole)
+    found = warc.read_records(warc.normalise(spark, whole, split))
+    digest = F.coalesce(F.sha2("payload", 256), "payload_digest")
+    size = F.coalesce(F.octet_length("payload").cast("bigint"), "payload_bytes")
+    return found.select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op12_runs")
+def op12(spark, sf_dir):
+    docs = periodic.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.collapse_runs(docs).withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_conversations")
+def op13(spark, sf_dir):
+    return dialogue.repair(dialogue.damaged(table(spark, sf_dir, "conversations")), texts=False)
