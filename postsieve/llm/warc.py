@@ -230,7 +230,9 @@ def read_records(index: DataFrame, stretch: int = STRETCH) -> DataFrame:
     Only the named members are read. Stretches of an archive are read in parallel, so one large archive is no single task. Size
     and digest are those that the record states; the payload of a revisit is null. Written %0D and %0A in addresses are read as line ends.
     """
-    spread = index.repartition("archive", F.floor(F.col("offset") / stretch)).sortWithinPartitions("archive", "offset")
+    n, size = index.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, min(n, -(-size // ARCHIVE_BYTES) + index.sparkSession.sparkContext.defaultParallelism))  # by bytes to read: the index itself is small
+    spread = index.repartition(tasks, "archive", F.floor(F.col("offset") / stretch)).sortWithinPartitions("archive", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, file, rows, size = None, None, [], 0
