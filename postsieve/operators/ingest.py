@@ -141,11 +141,11 @@ def fill_date(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     return filled.withColumn("date", date).select(*df.columns)
 
 
-def resolve_posts(df: DataFrame) -> DataFrame:
+def resolve_posts(df: DataFrame, order: tuple[str, ...] = (SEQ,)) -> DataFrame:
     """Date fill and keep-last in one aggregate.
 
-    The row that survives is the last of its post, and the fill gives it the last known date of the post.
-    Both are plain maxima, combined map-side, so this is the form the jobs use; it may also be
+    The row that survives is the last of its post by ``order``, a composite key of columns, and the fill gives it the last known
+    date of the post. Both are plain maxima, combined map-side, so this is the form the jobs use; it may also be
     applied to its own results again, which is what the incremental store relies on.
     """
     missing = text.is_blank(F.col("post_id"))
@@ -156,13 +156,13 @@ def resolve_posts(df: DataFrame) -> DataFrame:
             "_id": F.when(~missing, F.col("post_id")),
             "_content": F.when(missing, F.col("content")),
             "_date": F.when(missing, date),
-            "_dated": F.when(dated & ~missing, F.struct(SEQ, "date")),
+            "_dated": F.when(dated & ~missing, F.struct(*order, "date")),
         }
     )
     keys = ["_id", "_content", "_date"]
     row = F.struct(*[F.col(c) for c in df.columns])
     best = keyed.groupBy(F.xxhash64(*keys).alias("_kh"), *keys).agg(
-        F.max_by(row, SEQ).alias("row"), F.max("_dated").alias("dated")
+        F.max_by(row, F.struct(*order)).alias("row"), F.max("_dated").alias("dated")
     )
     filled = F.coalesce("dated.date", "_date", F.lit(""))
     columns = [filled.alias("date") if c == "date" else F.col(f"row.{c}").alias(c) for c in df.columns]

@@ -18,33 +18,54 @@ from postsieve.schemas import POSTS_RAW
 from postsieve.sources import store
 from postsieve.sources.order import PLACE, number_rows, with_file, with_row
 
-BATCH_ROWS = 1 << 42  # sequence numbers a batch may use up: more rows than any batch holds, for two million batches
+RUN = "batch"  # number of the micro-batch that brought a row; leads the order key, so a later batch wins whatever its numbers
+ORDER = (RUN, SEQ)
 
 
 def write_batch(batch: DataFrame, batch_id: int, root: str, clean: bool = False) -> None:
-    """Resolve one batch into its folder of the log."""
+    """Resolve one batch into its folder of the log.
+
+    Rows that bring no sequence number get the numbers behind those of all earlier batches: older files first, rows as they stand in them.
+    """
     rows = clean_posts(batch) if clean else batch
     if SEQ in rows.columns:
         rows = rows.drop(*PLACE)
-    else:  # later batches are higher; inside a batch older files come first, and rows as they stand in them
-        filed = rows if "_file" in rows.columns else rows.withColumns({"_at": F.lit(None).cast("timestamp"), "_file": F.lit("")})
-        rows = number_rows(with_row(filed), SEQ, batch_id * BATCH_ROWS)
-    resolve_posts(rows).write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
+    else:
+        bare = {"_at": F.lit(None).cast("timestamp"), "_file": F.lit(""), "_block": F.lit(0).cast("bigint")}
+        filed = rows if "_file" in rows.columns else rows.withColumns(bare)
+        rows = number_rows(with_row(filed), SEQ, next_number(batch.sparkSession, root, batch_id))
+    path = f"{root}/log/{RUN}={batch_id}"
+    resolve_posts(rows).write.mode("overwrite").parquet(path)
+    written = batch.sparkSession.read.schema(f"{SEQ} bigint").parquet(path)  # the row of the highest number always survives
+    following = written.agg((F.coalesce(F.max(SEQ), F.lit(-1)) + 1).alias("next"))
+    following.write.mode("overwrite").json(f"{root}/numbers/{RUN}={batch_id}")
+
+
+def next_number(spark: SparkSession, root: str, batch_id: int) -> int:
+    """First number behind those of all earlier batches; one small row per batch is read."""
+    if not store.exists(spark, f"{root}/numbers"):
+        return 0
+    told = spark.read.schema(f"next bigint, {RUN} bigint").json(f"{root}/numbers").where(F.col(RUN) < batch_id)
+    return told.agg(F.coalesce(F.max("next"), F.lit(0))).first()[0]
 
 
 def read_posts(spark: SparkSession, root: str, schema: T.StructType = POSTS_RAW) -> DataFrame:
     """Current posts: newest base plus the batches logged after it."""
     bases = store.versions(spark, f"{root}/base")
-    base = store.read_table(spark, f"{root}/base", schema)
+    base = store.read_table(spark, f"{root}/base", _filed(schema))
     if not store.exists(spark, f"{root}/log"):
-        return base
+        return base.drop(RUN)
     done = base_upto(spark, root, bases[-1]) if bases else -1
-    return resolve_posts(base.unionByName(_log(spark, root, schema).where(F.col("batch") > done).drop("batch")))
+    return resolve_posts(base.unionByName(_log(spark, root, schema).where(F.col(RUN) > done)), ORDER).drop(RUN)
+
+
+def _filed(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RUN, T.LongType())])
 
 
 def _log(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Logged batches; a filter on ``batch`` skips whole folders."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{root}/log")
+    """Logged batches; a filter on their number skips whole folders."""
+    return spark.read.schema(_filed(schema)).parquet(f"{root}/log")
 
 
 def base_upto(spark: SparkSession, root: str, version: int) -> int:
@@ -60,8 +81,8 @@ def compact(spark: SparkSession, root: str, upto: int, schema: T.StructType = PO
     bases = store.versions(spark, f"{root}/base")
     number = max(bases, default=0) + 1
     done = base_upto(spark, root, bases[-1]) if bases else -1
-    span = _log(spark, root, schema).where((F.col("batch") > done) & (F.col("batch") <= upto)).drop("batch")
-    current = resolve_posts(store.read_table(spark, f"{root}/base", schema).unionByName(span))
+    span = _log(spark, root, schema).where((F.col(RUN) > done) & (F.col(RUN) <= upto))
+    current = resolve_posts(store.read_table(spark, f"{root}/base", _filed(schema)).unionByName(span), ORDER)
     spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).write.mode("overwrite").json(
         f"{root}/base_upto/v={number:08d}"
     )

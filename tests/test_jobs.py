@@ -132,3 +132,40 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_many_splits_of_many_files_stay_in_order(spark, tmp_path):
+    """Row ids jump by 2^33 from split to split: numbers of a batch must not reach into those of the next one."""
+    land, root = tmp_path / "landing", str(tmp_path / "store")
+    land.mkdir()
+    schema = "post_id string, content string, date string"
+    for i in range(24):
+        (land / f"{23 - i:02}.json").write_text("".join(f'{{"post_id": "p{j}", "content": "{i} {j}"}}\n' for j in range(400)))
+        os.utime(land / f"{23 - i:02}.json", (1000 + i, 1000 + i))
+    kept = spark.createDataFrame([], schema + ", ingest_seq long").schema
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert spark.read.schema(schema).json(str(land)).rdd.getNumPartitions() > 300
+        stream.ingest_stream(spark, str(land), root, str(tmp_path / "cp"), schema, fmt="json").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    first = {r["post_id"]: r for r in stream.read_posts(spark, root, kept).collect()}
+    assert [first[f"p{j}"]["content"] for j in range(400)] == [f"23 {j}" for j in range(400)]
+    assert [first[f"p{j}"]["ingest_seq"] for j in range(400)] == list(range(23 * 400, 24 * 400))
+    (land / "new.json").write_text("".join(f'{{"post_id": "p{j}", "content": "new"}}\n' for j in range(380)))
+    stream.ingest_stream(spark, str(land), root, str(tmp_path / "cp"), schema, fmt="json").awaitTermination()
+    stream.compact(spark, root, upto=0, schema=kept)
+    rows = stream.read_posts(spark, root, kept)
+    assert rows.where("content = 'new'").count() == 380 and rows.where("content = '23 399'").count() == 1
+    assert rows.where("content = 'new'").agg(F.min("ingest_seq")).first()[0] == 24 * 400
+
+
+def test_later_batch_wins_whatever_its_numbers(spark, tmp_path):
+    schema = "post_id string, content string, date string, ingest_seq long"
+    for batch, rows in enumerate([[("A", "one", "d1", 900), ("B", "b", "", 901)], [("A", "two", "", 5)], [("A", "three", "", 7), ("B", "c", "d2", 1)]]):
+        stream.write_batch(spark.createDataFrame(rows, schema), batch, str(tmp_path))
+        if batch == 1:
+            stream.compact(spark, str(tmp_path), upto=0, schema=spark.createDataFrame([], schema).schema)
+    got = stream.read_posts(spark, str(tmp_path), spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, got.collect())) == [("A", "three", "d1", 7), ("B", "c", "d2", 1)]
