@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.functions.text import is_blank
@@ -23,15 +23,21 @@ def hashable(df: DataFrame) -> list[str]:
     return [name for name, dtype in df.dtypes if "map<" not in dtype and dtype != "variant"]
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
+def latest_by_key(source: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
+    """Rows with a key, the last of each."""
+    keyed = source.where(has_key(source, key))
+    return dedupe_keep_last(keyed, [key], seq) if seq in source.columns else keyed.dropDuplicates([key])
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, key: str, seq: str = SEQ, mark_new: str | None = None) -> DataFrame:
     """Update rows of the target by key and insert new ones.
 
     Columns the source has replace those of an existing row (NULL included), other columns of that row stay.
     Source rows without a key are skipped; of several with one key the last counts. Both sides are unique
     per key, so no task gets a hot key; target rows without a key (blank ones too) are spread and pass through.
+    ``mark_new`` names a column that tells the inserted rows.
     """
-    keyed = source.where(has_key(source, key))
-    latest = dedupe_keep_last(keyed, [key], seq) if seq in source.columns else keyed.dropDuplicates([key])
+    latest = latest_by_key(source, key, seq)
     s = latest.select(F.struct("*").alias("s"), F.col(key).alias("_k"), F.lit(0).cast("bigint").alias("_spread"))
     known = F.when(has_key(target, key), F.col(key))
     t = target.select(F.struct("*").alias("t"), known.alias("_k"), spread_nulls(known, F.struct(*hashable(target))).alias("_spread"))
@@ -44,7 +50,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, seq: str = SEQ)
             return old.alias(name)
         return F.when(F.col("s").isNotNull(), F.col(f"s.{name}")).otherwise(old).alias(name)
 
-    return merged.select(*[value(n) for n in names])
+    marks = [F.col("t").isNull().alias(mark_new)] if mark_new else []
+    return merged.select(*[value(n) for n in names], *marks)
+
+
+def count_row(spark: SparkSession, target: str, before: int, after: int) -> DataFrame:
+    """The report of a load whose counts are known."""
+    return spark.range(1).select(
+        F.lit(target).alias("target"), F.lit(before).cast("bigint").alias("before"), F.lit(after).cast("bigint").alias("after"),
+        F.lit(after - before).cast("bigint").alias("delta"),
+    )
 
 
 def load_counts(target: str, before: DataFrame, after: DataFrame) -> DataFrame:

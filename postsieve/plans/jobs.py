@@ -10,7 +10,7 @@ from postsieve.operators import enrich, features, ingest, labels, metrics, place
 from postsieve.operators.dedupe import SEQ, dedupe_keep_first
 from postsieve.schemas import EXTRACT_FAILURES, EXTRACTED, POSTS_RAW
 from postsieve.session import cut_lineage
-from postsieve.sources import store
+from postsieve.sources import buckets, store
 
 
 def ingest_posts(spark: SparkSession, new: DataFrame, root: str, skip_seen: bool = True, clean: bool = True) -> None:
@@ -126,17 +126,22 @@ def qc_check(
 def load_target(
     spark: SparkSession, source: DataFrame | None, root: str, key_hint: str = "content", dedupe_content: bool = False
 ) -> DataFrame | None:
-    """Merge one table into its target; None when there is nothing to load."""
+    """Merge one table into its target; None when there is nothing to load.
+
+    Only the buckets of the loaded keys are read and rewritten; dropping rows of equal content needs, and rewrites, the whole table.
+    """
     if source is None or source.isEmpty():
         return None
     key = publish.upsert_key(source, fallback=key_hint)
-    before = store.read_table(spark, root, source.schema)
-    merged = publish.merge_upsert(before, source, key)
-    if dedupe_content:
-        merged = dedupe_keep_first(merged, ["content"])
     name = root.rstrip("/").rsplit("/", 1)[-1]
-    store.write_version(merged, root)
-    return publish.load_counts(name, before, store.read_table(spark, root))
+    if not dedupe_content:
+        done = buckets.upsert(spark, source, root, key)
+        return publish.count_row(spark, name, done.before, done.after)
+    before = store.read_table(spark, root, source.schema)
+    merged = dedupe_keep_first(publish.merge_upsert(before, source, key), ["content"])
+    held = before.count()
+    _, counts = store.write_observed(merged, root, rows=F.count(F.lit(1)))
+    return publish.count_row(spark, name, held, counts["rows"])
 
 
 def load_targets(

@@ -7,7 +7,7 @@ leaves the last version in place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ from postsieve.schemas import POSTS_CSV
 from postsieve.sources.csvfiles import scan_in_order
 from postsieve.sources.order import PLACE, number_rows
 
+BUCKET_COLUMNS = ("_of", "_bucket")  # partition columns of tables in buckets
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,13 +31,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_observed(df: DataFrame, root: str, **counts: Column) -> tuple[int, dict]:
+    """Write the next version; aggregates of its rows are observed by the tasks that write, so nothing is read again.
+
+    Rows are dealt out before, so that a map task that runs twice, after an executor is lost, is not counted twice.
+    """
+    seen = Observation()
+    version = write_version(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), root)
+    return version, seen.get
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed versions, ascending."""
-    fs, p = _folder(spark, root)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    numbers = sorted(int(n[2:]) for n in names if n.startswith("v="))
+    numbers = sorted(int(n[2:]) for n in names_in(spark, root) if n.startswith("v="))
     return [n for n in numbers if exists(spark, f"{root}/v={n:08d}/_SUCCESS")]
 
 
@@ -49,14 +62,17 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     return number
 
 
-def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Newest version; an empty frame of the schema when there is none."""
+def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """Newest version; an empty frame of the schema when there is none. Of a table in buckets, only the files of those asked for."""
     found = versions(spark, root)
     if not found:
         if schema is None:
             raise FileNotFoundError(f"no committed version under {root}")
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{root}/v={found[-1]:08d}")
+    df = spark.read.parquet(f"{root}/v={found[-1]:08d}")
+    if buckets is not None:
+        df = df.where(F.col(BUCKET_COLUMNS[1]).isin(buckets))
+    return df.drop(*BUCKET_COLUMNS)
 
 
 def store_find(df: DataFrame, where: str | Column | None = None, columns: list[str] | None = None) -> DataFrame:
