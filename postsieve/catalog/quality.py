@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from postsieve.catalog.base import POSTS, SCORED_SQL, query
@@ -10,8 +12,10 @@ from postsieve.catalog.columns import MASKED_SQL
 from postsieve.operators import features as fx
 from postsieve.operators import metrics as mx
 from postsieve.operators import qcmodel as qc
+from postsieve.operators.termvectors import entries
 from postsieve.plans import jobs
 from postsieve.session import cut_lineage, scratch_path
+from postsieve.sources import store
 
 CURVE_SQL = """curve AS (SELECT score, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p_all, sum(neg) OVER () AS n_all
     FROM (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg FROM scored GROUP BY score)
@@ -185,7 +189,7 @@ VOCAB_SQL = """vocab AS (SELECT term, count(DISTINCT ingest_seq) AS df, count(*)
 
 @query("vocab_top_k", "SELECT term, df, tf FROM vocab", POSTS, GRAMS_SQL, VOCAB_SQL)
 def vocab_top_k(t):
-    return fx.vocab_top_k(words(t), "words")
+    return fx.vocab_top_k(cut_lineage(words(t), "words"), "words").drop("position")
 
 
 @query(
@@ -198,14 +202,9 @@ def vocab_top_k(t):
 )
 def tfidf(t):
     w = cut_lineage(words(t), "words")  # masked text is costly and read three times
-    model = fx.tfidf_model(w, "words", fx.vocab_top_k(w, "words"))
-    vectors = model.transform(w.withColumn("_grams", fx.char_wb_ngrams(F.col("words"))))
-    path = scratch_path(t.spark, "tfidf")
-    vectors.select("ingest_seq", "_tfidf").write.parquet(path)
-    # A stored vector is read by its parts, so that only the terms a row has are looked at.
-    stored = t.spark.read.schema("ingest_seq bigint, _tfidf struct<indices: array<int>, values: array<double>>").parquet(path)
+    vectors = fx.tfidf(w, "words", fx.with_idf(fx.vocab_top_k(w, "words"), w.count()))
     return (
-        stored.select("ingest_seq", F.col("_tfidf.values").alias("w")).where(F.size("w") > 0)
+        vectors.select("ingest_seq", F.unwrap_udt("_tfidf")["values"].alias("w")).where(F.size("w") > 0)
         .select(
             "ingest_seq", F.size("w").cast("bigint").alias("terms"),
             F.round(F.aggregate("w", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.array_max("w"), 6).alias("peak"),
@@ -213,8 +212,9 @@ def tfidf(t):
     )
 
 
-# Model size for checks; the defaults of QcConfig are the full size.
-SMALL = qc.QcConfig(model="rf", max_features=300, trees=10, forest_depth=5, n_splits=2, label_col="label")
+# One model size for all checks: features, vocabulary and folds are those of QcConfig, trees, their depth and rounds are fewer.
+CHECKED = qc.QcConfig(model="rf", trees=10, forest_depth=5, rounds=2, label_col="label")
+LABELLED = POSTS.removesuffix("documents)") + "documents WHERE doc_id IN (SELECT doc_id FROM labels))"
 
 
 def labelled_posts(t):
@@ -222,61 +222,122 @@ def labelled_posts(t):
     return t.posts_raw.join(marks, "ingest_seq")
 
 
-def vectors(t, cfg=SMALL):
+def vectors(t, cfg=CHECKED):
     prepared, numbers = qc.feature_columns(labelled_posts(t), cfg)
     prepared = cut_lineage(prepared, "prepared")
-    return qc.fit_features(prepared, numbers, cfg).transform(prepared).select("ingest_seq", "label", "raw_features")
+    found = qc.assemble_features(prepared, numbers, qc.vocabulary(prepared, cfg))
+    return cut_lineage(found.select("ingest_seq", "label", "raw_features"), "vectors")
+
+
+FEATURES_SQL = r"""stats AS (SELECT ingest_seq, unnest([
+      length(content), length(list_filter(string_split_regex(content, '\s+'), lambda x: x <> '')), length(content) - length(replace(content, '!', '')),
+      length(content) - length(replace(content, '?', '')), length(content) - length(regexp_replace(content, '\d', '', 'g')), 0,
+      ln(1 + coalesce(try_cast(likes AS DOUBLE), 0)), CASE WHEN ingest_seq % 4 IN (0, 3) THEN 1 ELSE 0 END, CASE WHEN ingest_seq % 5 < 3 THEN 1 ELSE 0 END]::DOUBLE[]) AS value,
+      unnest(range(0, 9)) AS position FROM posts),
+    placed AS (SELECT *, row_number() OVER (ORDER BY tf DESC, term) + 8 AS position FROM vocab),
+    weights AS (SELECT ingest_seq, v.position, count(*) * (ln(((SELECT count(*) FROM posts) + 1) / (any_value(df) + 1)) + 1) AS w FROM grams g JOIN placed v ON g.term = v.term GROUP BY ingest_seq, v.position),
+    features AS (SELECT ingest_seq, position, value FROM stats WHERE value <> 0
+      UNION ALL SELECT ingest_seq, position, w / sqrt(sum(w * w) OVER (PARTITION BY ingest_seq)) FROM weights)"""
 
 
-@query("assemble_features")
+@query(
+    "assemble_features", "SELECT ingest_seq, CAST(position AS INT) AS position, round(value, 6) AS value FROM features",
+    LABELLED, GRAMS_SQL, VOCAB_SQL, FEATURES_SQL,
+)
 def assemble_features(t):
-    sized = F.transform(vector_to_array("raw_features"), lambda x: F.abs(x))
-    return vectors(t).select("ingest_seq", F.size(sized).alias("n"), F.round(F.aggregate(sized, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    """All entries of all feature vectors that are not zero."""
+    return entries(vectors(t), "raw_features", "ingest_seq").withColumn("value", F.round("value", 6))
 
 
-@query("scale_features")
+@query(
+    "scale_features",
+    """SELECT f.ingest_seq, CAST(f.position AS INT) AS position, round(f.value / d.deviation, 6) AS value FROM features f JOIN
+       (SELECT position, sqrt((sum(value * value) - sum(value) * sum(value) / n) / (n - 1)) AS deviation
+        FROM features, (SELECT count(*)::DOUBLE AS n FROM posts) GROUP BY position, n) d ON f.position = d.position WHERE deviation > 1e-9""",
+    LABELLED, GRAMS_SQL, VOCAB_SQL, FEATURES_SQL,
+)
 def scale_features(t):
     v = vectors(t)
-    scaled = qc.classifier(SMALL, 1).getStages()[0].fit(v).transform(v)
-    return scaled.select("ingest_seq", F.round(F.get(vector_to_array("features"), 0), 6).alias("first"))
+    scaled = qc.classifier(CHECKED, 1).getStages()[0].fit(v).transform(v)
+    return entries(scaled, "features", "ingest_seq").withColumn("value", F.round("value", 6))
 
 
-def fold_vectors(t):
-    return cut_lineage(fx.stratified_folds(vectors(t), "ingest_seq", "label", SMALL.n_splits), "folded")
+def in_range(proba):
+    return F.coalesce(proba.between(0, 1), F.lit(False)).alias("in_range")
 
 
-@query("classifier")
+@query(
+    "classifier",
+    "SELECT kind, ingest_seq, true AS in_range FROM posts, (SELECT unnest(['rf', 'lgbm', 'xgb']) AS kind)", LABELLED,
+)
 def classifier(t):
-    """One fit of each model kind on all labelled posts, scored on the same rows."""
-    v = cut_lineage(vectors(t), "vectors")
+    """One fit of each model kind on all labelled posts; every row gets one probability from each."""
+    v = vectors(t)
     train = qc.weighted(v, "label")
     out = None
     for kind in ("rf", "lgbm", "xgb"):
-        cfg = qc.QcConfig(model=kind, trees=5, forest_depth=4, rounds=2, label_col="label")
-        scored = qc.positive_proba(qc.classifier(cfg, 42).fit(train).transform(v))
-        part = scored.select(F.lit(kind).alias("kind"), "ingest_seq", F.round("qc_proba_ad", 6).alias("qc_proba_ad"))
+        scored = qc.positive_proba(qc.classifier(replace(CHECKED, model=kind), 42).fit(train).transform(v))
+        part = scored.select(F.lit(kind).alias("kind"), "ingest_seq", in_range(F.col("qc_proba_ad")))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@query("oof_predict")
+FOLDS_SQL = """marked AS (SELECT doc_id, quality AS label FROM labels),
+    dealt AS (SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(concat('42:', cast(doc_id AS string))), doc_id) - 1) % 5 AS INT) AS fold FROM marked)"""
+
+
+@query("oof_predict", "SELECT doc_id AS ingest_seq, CAST(label AS BIGINT) AS label, fold, true AS in_range FROM dealt", FOLDS_SQL)
 def oof_predict(t):
-    scored = qc.oof_predict(fold_vectors(t), "ingest_seq", SMALL, SMALL.n_splits)
-    return scored.select("ingest_seq", "label", "fold", F.round("qc_proba_ad", 6).alias("qc_proba_ad"))
+    """Every labelled post gets one probability, from the model that was not fitted on its fold."""
+    folded = cut_lineage(fx.stratified_folds(vectors(t), "ingest_seq", "label", CHECKED.n_splits), "folded")
+    scored = qc.oof_predict(folded, "ingest_seq", CHECKED, CHECKED.n_splits)
+    return scored.select("ingest_seq", F.col("label").cast("bigint").alias("label"), "fold", in_range(F.col("qc_proba_ad")))
 
 
-@query("refit_and_save")
+@query(
+    "refit_and_save",
+    "SELECT part, true AS in_range FROM (SELECT 'oof' AS part UNION ALL SELECT DISTINCT concat('fold ', cast(fold + 1 AS string)) FROM dealt)", FOLDS_SQL,
+)
 def refit_and_save(t):
-    """The training job with saving on; returns its metric rows."""
-    root = scratch_path(t.spark, "model")
-    _, report = jobs.qc_train(t.spark, labelled_posts(t), "ingest_seq", root, SMALL)
-    return report
+    """The training job with saving on; its metric rows, overall and per fold, all between 0 and 1."""
+    _, report = jobs.qc_train(t.spark, labelled_posts(t), "ingest_seq", scratch_path(t.spark, "model"), CHECKED)
+    measured = [c for c in report.columns if c != "part"]
+    sound = reduce(lambda a, b: a & b, [F.col(c).between(0, 1) for c in measured])
+    return report.select("part", F.coalesce(sound, F.lit(False)).alias("in_range"))
+
+
+def checked(t, name):
+    """The model trained, saved and loaded, and the check job run over the posts of the negative class."""
+    root = scratch_path(t.spark, name)
+    jobs.qc_train(t.spark, labelled_posts(t), "ingest_seq", f"{root}/model", CHECKED)
+    nonads = labelled_posts(t).where("label = 0")
+    return root, nonads
 
 
-@query("score_nonads")
+@query("score_nonads", "SELECT doc_id AS ingest_seq, true AS in_range FROM labels WHERE quality = 0")
 def score_nonads(t):
     """Train, save, load, and score the posts of the negative class."""
-    root = scratch_path(t.spark, "model")
-    jobs.qc_train(t.spark, labelled_posts(t), "ingest_seq", root, SMALL)
-    scored = jobs.score_nonads(labelled_posts(t).where("label = 0"), root, SMALL)
-    return scored.select("ingest_seq", F.round("qc_proba_ad", 6).alias("qc_proba_ad"))
+    root, nonads = checked(t, "score")
+    return jobs.score_nonads(nonads, f"{root}/model", CHECKED).select("ingest_seq", in_range(F.col("qc_proba_ad")))
+
+
+@query(
+    "job_qc_check",
+    """SELECT doc_id AS ingest_seq, true AS in_range, true AS flags_agree, count(*) OVER () AS nonads, true AS counts_agree FROM labels WHERE quality = 0""",
+)
+def job_qc_check(t):
+    """The check job over all non-ads: each row with its probability, its presence among suspects and borderline rows, and the summary's counts."""
+    root, nonads = checked(t, "check")
+    summary = jobs.qc_check(t.spark, nonads, f"{root}/model", f"{root}/out", CHECKED)
+    scored = jobs.score_nonads(nonads, f"{root}/model", CHECKED).select("ingest_seq", "qc_proba_ad")
+    for name in ("suspects", "borderline"):
+        listed = store.read_table(t.spark, f"{root}/out/{name}").groupBy("ingest_seq").agg(F.count(F.lit(1)).alias(name))
+        scored = scored.join(listed, "ingest_seq", "left")
+    told = summary.select("nonads", "suspects", "borderline").first()
+    p = F.col("qc_proba_ad")
+    flags = (F.coalesce("suspects", F.lit(0)) == (p >= CHECKED.threshold).cast("int")) & (
+        F.coalesce("borderline", F.lit(0)) == (F.abs(p - 0.5) <= CHECKED.delta + 1e-9).cast("int")
+    )
+    sums = scored.agg(F.count("suspects").alias("s"), F.count("borderline").alias("b"))
+    counts = (sums.select("s").scalar() == told["suspects"]) & (sums.select("b").scalar() == told["borderline"])
+    return scored.select("ingest_seq", in_range(p), flags.alias("flags_agree"), F.lit(told["nonads"]).alias("nonads"), counts.alias("counts_agree"))

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +11,9 @@ from pyspark.sql import functions as F
 from postsieve.functions import adwords as words
 from postsieve.functions import coerce, text
 from postsieve.functions.text import SP
+from postsieve.operators import termvectors
 from postsieve.schemas import dtype_of
+from postsieve.session import cut_lineage
 
 MIN_DF = 3
 MAX_FEATURES = 40_000
@@ -90,49 +89,49 @@ def char_wb_ngrams(words_col: Column, sizes: tuple[int, ...] = GRAM_SIZES) -> Co
 
 
 def vocab_top_k(df: DataFrame, words_col: str, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:
-    """Most frequent terms among those in at least ``min_df`` rows: term, df, tf.
+    """Most frequent terms among those in at least ``min_df`` rows: term, df, tf, in rising order of ``position``.
 
-    Terms lie inside words. So frequencies come from one row per distinct word, weighted by its count, and document counts
-    from the distinct words of each row. Both are combined map-side: one row per word or term and task is shuffled.
+    Terms lie inside words, so frequencies come from one row per distinct word, weighted by its count. Terms are then taken
+    from the most frequent on, a bounded portion at a time; only theirs document counts are made, until enough of them
+    are in ``min_df`` rows. All terms before the last one taken have been counted, so the choice is exact.
     """
     split = F.filter(F.split(F.col(words_col), " "), lambda w: w != "")
     word_counts = df.select(F.explode(split).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     padded = F.concat(F.lit(" "), F.col("_w"), F.lit(" "))
-    tf = (
-        word_counts.select("_n", F.explode(char_wb_ngrams(padded)).alias("term"))
-        .groupBy("term").agg(F.sum("_n").alias("tf"))
-    )
-    once = F.concat(F.lit(" "), F.array_join(F.array_distinct(split), " "), F.lit(" "))
-    document_counts = (
-        df.select(once.alias("_once"))
-        .select(F.explode(F.array_distinct(char_wb_ngrams(F.col("_once")))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        .where(F.col("df") >= min_df)
-    )
-    return document_counts.join(tf, "term").orderBy(F.col("tf").desc(), "term").limit(max_features)
+    tf = word_counts.select("_n", F.explode(char_wb_ngrams(padded)).alias("term")).groupBy("term").agg(F.sum("_n").alias("tf"))
+    tf = cut_lineage(tf.where(F.col("tf") >= min_df), "terms")  # a term is in no more rows than it occurs
+    portion = max(2 * max_features, 1000)
+    chosen: list[tuple[str, int, int]] = []
+    rest, more = tf, True
+    while more and len(chosen) < max_features:
+        found = rest.orderBy(F.col("tf").desc(), "term").limit(portion).collect()
+        more = len(found) == portion
+        if found:
+            counted = termvectors.document_counts(df, words_col, [r["term"] for r in found], GRAM_SIZES).where(F.col("df") >= min_df)
+            held = {r["position"]: r["df"] for r in counted.collect()}
+            chosen += [(r["term"], held[i], r["tf"]) for i, r in enumerate(found) if i in held]
+            last = found[-1]
+            rest = tf.where((F.col("tf") < last["tf"]) | ((F.col("tf") == last["tf"]) & (F.col("term") > last["term"])))
+    rows = [(i, *r) for i, r in enumerate(chosen[:max_features])]
+    return df.sparkSession.createDataFrame(rows, "position int, term string, df bigint, tf bigint")
 
 
 def smooth_idf(df_count: Column, rows: Column) -> Column:
     return F.ln((rows + 1) / (df_count + 1)) + 1
 
 
-def tfidf_model(df: DataFrame, words_col: str, vocab: DataFrame, grams_col: str = "_grams", out: str = "_tfidf") -> PipelineModel | None:
-    """Vectoriser: term counts times smoothed idf, rows scaled to length 1; None for an empty vocabulary.
+def with_idf(vocab: DataFrame, rows: int) -> DataFrame:
+    """The vocabulary with the smoothed idf of each term."""
+    return vocab.withColumn("idf", smooth_idf(F.col("df"), F.lit(rows)))
+
 
-    The vocabulary, at most max_features short strings, becomes part of the model, so it is read to the driver. With a
-    fixed factor per term, vectors are made row by row without a shuffle.
+def tfidf(df: DataFrame, words_col: str, vocab: DataFrame, out: str = "_tfidf", numbers: list[str] | None = None) -> DataFrame:
+    """Adds term counts times idf, rows scaled to length 1, as a sparse vector, behind numeric columns if there are any.
+
+    The vocabulary, at most max_features short strings with ``position`` and ``idf``, goes to every task; rows are not shuffled.
     """
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    terms = vocab.select("term", smooth_idf(F.col("df"), rows).alias("idf")).collect()
-    if not terms:
-        return None
-    return PipelineModel(
-        [
-            CountVectorizerModel.from_vocabulary([t["term"] for t in terms], grams_col, "_tf"),
-            ElementwiseProduct(scalingVec=Vectors.dense([t["idf"] for t in terms]), inputCol="_tf", outputCol="_scaled"),
-            Normalizer(p=2.0, inputCol="_scaled", outputCol=out),
-        ]
-    )
+    terms = vocab.orderBy("position").select("term", "idf").collect()
+    return termvectors.with_vectors(df, words_col, [t["term"] for t in terms], [t["idf"] for t in terms], GRAM_SIZES, out, numbers)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -19,7 +21,7 @@ from postsieve.operators.metrics import (
 
 @dataclass(frozen=True)
 class QcConfig:
-    """Settings of the check; the defaults are the full size, tests use less."""
+    """Settings of the check; the defaults, fixed values, are the full size, tests use less."""
 
     model: str = "lgbm"
     use_text: bool = True
@@ -45,21 +47,23 @@ def feature_columns(df: DataFrame, cfg: QcConfig) -> tuple[DataFrame, list[str]]
     out = df.withColumns(numbers)
     if cfg.use_text:
         masked = fx.mask_rule_signals(text) if cfg.mask_signals else F.coalesce(text, F.lit(""))
-        out = out.withColumn("_words", fx.plain_words(masked)).withColumn("_grams", fx.char_wb_ngrams(F.col("_words")))
+        out = out.withColumn("_words", fx.plain_words(masked))
     return out, list(numbers)
 
 
-def fit_features(prepared: DataFrame, numbers: list[str], cfg: QcConfig) -> PipelineModel:
-    """Vectoriser: numeric columns next to length-1 tf-idf vectors."""
-    stages, inputs = [], list(numbers)
-    if cfg.use_text:
-        vocab = fx.vocab_top_k(prepared, "_words", cfg.min_df, cfg.max_features)
-        text = fx.tfidf_model(prepared, "_words", vocab)
-        if text is not None:
-            stages.append(text)
-            inputs.append("_tfidf")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="keep"))
-    return PipelineModel(stages)
+def vocabulary(prepared: DataFrame, cfg: QcConfig) -> DataFrame | None:
+    """Terms of the texts with their idf; None where texts are not used or have no terms."""
+    if not cfg.use_text:
+        return None
+    vocab = fx.with_idf(fx.vocab_top_k(prepared, "_words", cfg.min_df, cfg.max_features), prepared.count())
+    return None if vocab.isEmpty() else vocab
+
+
+def assemble_features(prepared: DataFrame, numbers: list[str], vocab: DataFrame | None) -> DataFrame:
+    """Adds ``raw_features``: numeric columns next to length-1 tf-idf vectors, sparse all along."""
+    if vocab is None:
+        return VectorAssembler(inputCols=numbers, outputCol="raw_features", handleInvalid="keep").transform(prepared)
+    return fx.tfidf(prepared, "_words", vocab, "raw_features", numbers)
 
 
 def classifier(cfg: QcConfig, seed: int) -> Pipeline:
@@ -93,16 +97,22 @@ def positive_proba(scored: DataFrame) -> DataFrame:
     return out.drop("rawPrediction", "probability", "prediction", "features")
 
 
+def fit_folds(vectors: DataFrame, cfg: QcConfig, folds: int, at_once: int = 2) -> list[PipelineModel]:
+    """One model per fold, each from the rows of the other folds, some side by side: a fit leaves cores idle between its steps."""
+
+    def fit(k: int) -> PipelineModel:
+        return classifier(cfg, cfg.seed + k + 1).fit(weighted(vectors.where(F.col("fold") != k), cfg.label_col))
+
+    with ThreadPool(min(at_once, folds)) as pool:
+        return pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(folds))
+
+
 def oof_predict(vectors: DataFrame, id_col: str, cfg: QcConfig, folds: int) -> DataFrame:
-    """Score of each row by a model that did not see its fold. ``vectors`` has raw_features and fold."""
-    parts = []
-    for k in range(folds):
-        train = weighted(vectors.where(F.col("fold") != k), cfg.label_col)
-        model = classifier(cfg, cfg.seed + k + 1).fit(train)
-        parts.append(positive_proba(model.transform(vectors.where(F.col("fold") == k))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    """Score of each row by a model that did not see its fold. ``vectors``, a stored table, has raw_features and fold."""
+    out = None
+    for k, model in enumerate(fit_folds(vectors, cfg, folds)):
+        part = positive_proba(model.transform(vectors.where(F.col("fold") == k)))
+        out = part if out is None else out.unionByName(part)
     return out.select(id_col, cfg.label_col, "fold", "qc_proba_ad")
 
 

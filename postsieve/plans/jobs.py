@@ -81,8 +81,8 @@ def qc_train(
         raise ValueError(f"training needs two classes of two rows: {guard.asDict()}")
     prepared, numbers = qcmodel.feature_columns(labelled, cfg)
     prepared = cut_lineage(prepared, "prepared")  # masked texts are read several times
-    vectoriser = qcmodel.fit_features(prepared, numbers, cfg)
-    vectors = vectoriser.transform(prepared).select(id_col, cfg.label_col, "raw_features")
+    vocab = qcmodel.vocabulary(prepared, cfg)
+    vectors = qcmodel.assemble_features(prepared, numbers, vocab).select(id_col, cfg.label_col, "raw_features")
     vectors = cut_lineage(features.stratified_folds(vectors, id_col, cfg.label_col, guard["folds"], cfg.seed), "vectors")
     scored = cut_lineage(qcmodel.oof_predict(vectors, id_col, cfg, guard["folds"]), "oof")
     report = qcmodel.score_report(scored, cfg.label_col, "oof")
@@ -90,7 +90,8 @@ def qc_train(
         report = report.unionByName(qcmodel.score_report(scored.where(F.col("fold") == k), cfg.label_col, f"fold {k + 1}"))
     if save:
         model = qcmodel.classifier(cfg, cfg.seed).fit(qcmodel.weighted(vectors, cfg.label_col))
-        vectoriser.write().overwrite().save(f"{model_root}/vectoriser")
+        if vocab is not None:
+            store.write_version(vocab.coalesce(1), f"{model_root}/vocabulary")
         model.write().overwrite().save(f"{model_root}/model")
         best = metrics.best_f1_threshold(scored, cfg.label_col, "qc_proba_ad")
         meta = best.withColumns(
@@ -105,8 +106,9 @@ def qc_train(
 
 def score_nonads(df: DataFrame, model_root: str, cfg: qcmodel.QcConfig = qcmodel.QcConfig()) -> DataFrame:
     """Adds the model's probability of being an ad."""
-    prepared, _ = qcmodel.feature_columns(df, cfg)
-    vectors = PipelineModel.load(f"{model_root}/vectoriser").transform(prepared)
+    prepared, numbers = qcmodel.feature_columns(df, cfg)
+    vocab = store.read_table(df.sparkSession, f"{model_root}/vocabulary") if store.exists(df.sparkSession, f"{model_root}/vocabulary") else None
+    vectors = qcmodel.assemble_features(prepared, numbers, vocab)
     scored = qcmodel.positive_proba(PipelineModel.load(f"{model_root}/model").transform(vectors))
     return scored.select(*df.columns, "qc_proba_ad")
 
