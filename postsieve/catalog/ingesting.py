@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postsieve.catalog.base import POSTS, query
-from postsieve.operators import dedupe, ingest
+from postsieve.catalog.base import POSTS, oracle_posts, query
+from postsieve.catalog.columns import LIKES_SQL
+from postsieve.operators import dedupe, enrich, ingest
 from postsieve.plans import jobs
 from postsieve.session import scratch_path
 from postsieve.sources import store
@@ -74,8 +75,16 @@ def split_dedupe_union(t):
     return dedupe.dedupe_posts(t.posts).select("ingest_seq", "post_id", "date")
 
 
-@query("seen_keys", "SELECT DISTINCT user_id FROM events")
+@query(
+    "seen_keys",
+    f"SELECT DISTINCT CASE WHEN {HAS_ID} THEN concat('id:', trim(post_id)) ELSE concat('c:', substr(sha1(content), 1, 16)) END AS key FROM posts", POSTS,
+)
 def seen_keys(t):
+    return enrich.seen_keys(t.posts)
+
+
+@query("distinct_keys", "SELECT DISTINCT user_id FROM events")
+def distinct_keys(t):
     return dedupe.distinct_keys(t["events"], "user_id")
 
 
@@ -108,16 +117,41 @@ def ingest_posts(t):
     return ingest.append_and_dedupe(None, t.posts_raw).select("ingest_seq", "post_id", "date", F.md5("content").alias("body"), "likes", "search_tag")
 
 
-@query("job_ingest_posts", RESOLVED_OUT.replace("ingest_seq, ", ""), POSTS, FILLED_SQL, RESOLVED_SQL)
-def job_ingest_posts(t):
-    """The job in two runs over the halves of all posts; rows of the later run win over those of the first."""
+AGE = r"\s*(?:\d+\s*(?:초|분|시간|일|주|개월|년)\s*전?|\d+\s*[smhdwSMHDW]|\d+\s*(?:hour|hours|hr|hrs|minute|minutes|min|mins|day|days|week|weeks))\s*$"
+GUESS = """(CASE WHEN ingest_seq % 4 IN (0, 3) THEN 1 ELSE 0 END) * 5 + (CASE WHEN ingest_seq % 5 < 3 THEN 1 ELSE 0 END) * 2
+    + CAST(concat('0x', substr(md5(coalesce(post_id, '')), 1, 6)) AS BIGINT) % 10 + 1"""
+CLEANED_SQL = rf"""cleaned AS (SELECT * REPLACE (
+    trim(regexp_replace(regexp_replace(content, '^[A-Za-z0-9._]{{2,30}}\b[\s:·•\-|]+', ''), '{AGE}', '', 'i')) AS content,
+    CAST(coalesce({LIKES_SQL}, {GUESS}) AS VARCHAR) AS likes) FROM base)"""
+JOB_OUT = "SELECT post_id, date, md5(content) AS body, likes, search_tag FROM resolved"
+
+
+def ingested(t, *parts, **how):
+    """The job in runs over parts of all posts."""
     root = scratch_path(t.spark, "posts-job")
-    middle = t.posts_raw.agg((F.max("ingest_seq") / 2).alias("m")).scalar()
-    for part in (F.col("ingest_seq") <= middle, F.col("ingest_seq") > middle):
-        jobs.ingest_posts(t.spark, t.posts_raw.where(part), root, skip_seen=False, clean=False)
+    for part in parts:
+        jobs.ingest_posts(t.spark, t.posts_raw.where(part), root, **how)
     return store.read_table(t.spark, root).select("post_id", "date", F.md5("content").alias("body"), "likes", "search_tag")
 
 
+@query("job_ingest_posts", JOB_OUT, oracle_posts("base"), CLEANED_SQL, "posts AS (SELECT * FROM cleaned)", FILLED_SQL, RESOLVED_SQL)
+def job_ingest_posts(t):
+    """The job, with cleaning, in two runs over the halves of all posts; rows of the later run win over those of the first."""
+    middle = t.posts_raw.agg((F.max("ingest_seq") / 2).alias("m")).scalar()
+    return ingested(t, F.col("ingest_seq") <= middle, F.col("ingest_seq") > middle, skip_seen=False)
+
+
+@query(
+    "job_ingest_unseen", JOB_OUT, oracle_posts("base"), CLEANED_SQL,
+    f"""posts AS (SELECT * REPLACE ((ingest_seq % 2) * 1000000000000 + ingest_seq AS ingest_seq) FROM cleaned c
+        WHERE ingest_seq % 2 = 0 OR NOT ({HAS_ID}) OR post_id NOT IN (SELECT post_id FROM cleaned WHERE ingest_seq % 2 = 0 AND {HAS_ID}))""",
+    FILLED_SQL, RESOLVED_SQL,
+)
+def job_ingest_unseen(t):
+    """The job as it runs by default: even posts, then odd ones, of which those with a known id are skipped."""
+    return ingested(t, F.col("ingest_seq") % 2 == 0, F.col("ingest_seq") % 2 == 1)
+
+
 @query("ingest_stream", RESOLVED_OUT, POSTS, FILLED_SQL, RESOLVED_SQL)
 def ingest_stream(t):
     """All posts through the streaming ingest in two landings with a compaction between; equals the batch result."""

@@ -10,7 +10,8 @@ from postsieve.session import scratch_path
 from postsieve.sources import csvfiles, store
 
 CSV_OUT = """SELECT nullif(post_id, '') AS post_id, md5(content) AS body, likes, nullif(date, '') AS date, search_tag,
-    coalesce(hashtags_json, '[]') AS hashtags FROM posts"""
+    coalesce(hashtags_json, '[]') AS hashtags,
+    CASE ingest_seq % 4 WHEN 0 THEN '["a, b\\nc"]' WHEN 3 THEN '["좋아요"]' ELSE '[]' END AS comments FROM posts"""
 
 
 def csv_posts(t):
@@ -28,19 +29,15 @@ def written_csv(t) -> str:
 def scan_posts_csv(t):
     """Posts with multi-line texts written as CSV and scanned again."""
     back = csvfiles.scan_posts_csv(t.spark, written_csv(t))
-    return back.select("post_id", F.md5("content").alias("body"), "likes", "date", "search_tag", "hashtags")
+    return back.select("post_id", F.md5("content").alias("body"), "likes", "date", "search_tag", "hashtags", "comments")
 
 
-@query(
-    "sink_posts_csv",
-    """SELECT count(*) AS n, CAST(sum(length(content)) AS BIGINT) AS chars, CAST(sum(length(coalesce(hashtags_json, '[]'))) AS BIGINT) AS tag_chars FROM posts""",
-    POSTS,
-)
+@query("sink_posts_csv", CSV_OUT, POSTS)
 def sink_posts_csv(t):
-    back = csvfiles.scan_posts_csv(t.spark, written_csv(t))
-    return back.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("content")).alias("chars"), F.sum(F.length("hashtags")).alias("tag_chars")
-    )
+    """The rows that a plain CSV reader finds in the written files."""
+    path = written_csv(t)
+    back = t.spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8").csv(path)
+    return back.select("post_id", F.md5("content").alias("body"), "likes", "date", "search_tag", "hashtags", "comments")
 
 
 # Korean words that MS949 can write.
@@ -57,7 +54,6 @@ KOREAN = ["서울 맛집", "여수 식당", "협찬 광고", "할인 이벤트"]
 def scan_csv_encodings(t):
     """One folder with files in three encodings, each holding every post."""
     path = scratch_path(t.spark, "mixed-csv")
-    t.spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     bodies = {
         "utf8": ("UTF-8", F.col("content")), "cp949": ("MS949", F.expr(case_of("ingest_seq", KOREAN))),
         "latin1": ("ISO-8859-1", F.concat(F.col("text"), F.lit(""))),

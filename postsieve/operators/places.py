@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from postsieve.functions import coerce, text
 from postsieve.functions.geo import Grid, haversine_m
+from postsieve.operators.components import least_reachable
 from postsieve.operators.dedupe import SEQ
 from postsieve.operators.skew import skew_join
-from postsieve.session import cut_lineage
 from postsieve.schemas import conform, dtype_of
 
 RADIUS_M = 300.0
@@ -213,31 +213,13 @@ def geocode_counts(matches: DataFrame) -> DataFrame:
     )
 
 
-def least_reachable(pairs: DataFrame) -> DataFrame:
-    """Rows of (_id, _least) for every id in the pairs (_id, o_id). Each round also follows its own answers, so rounds are few."""
-    pairs = cut_lineage(pairs, "near-pairs")
-    both = pairs.unionByName(pairs.select(F.col("o_id").alias("_id"), F.col("_id").alias("o_id")))
-    found = cut_lineage(both.groupBy("_id").agg(F.least(F.min("o_id"), F.first("_id")).alias("_least")), "near-least")
-    while True:
-        of = found.select(F.col("_id").alias("o_id"), F.col("_least").alias("_theirs"))
-        nearest = both.join(of, "o_id").groupBy("_id").agg(F.min("_theirs").alias("_near"))
-        jump = found.select(F.col("_id").alias("_least"), F.col("_least").alias("_jump"))
-        moved = found.join(nearest, "_id").join(jump, "_least", "left").select(
-            "_id", F.col("_least").alias("_was"), F.least("_least", "_near", "_jump").alias("_least")
-        )
-        moved = cut_lineage(moved, "near-least")
-        found = moved.select("_id", "_least")
-        if moved.where("_least < _was").isEmpty():
-            return found
-
-
 def merge_near_places(
     places: DataFrame, id_col: str, distance_m: float = 50.0, percent: int = SIMILARITY
 ) -> DataFrame:
     """Representative of each place: the least id it reaches over places near each other with similar names.
 
     Places without a name stay alone. Places with one name at one point are folded first. Then pieces of names within grid cells bring together
-    only places that can be similar. Least ids are then passed on along the pairs until nothing changes.
+    only places that can be similar. The pairs are then contracted, round by round, to their groups.
     """
     _check(percent)
     grid = Grid(distance_m)
@@ -263,8 +245,8 @@ def merge_near_places(
         & (haversine_m(F.col("lat"), F.col("lng"), F.col("o_lat"), F.col("o_lng")) <= distance_m)
         & similar_enough(F.col("_name"), F.col("o_name"), percent)
     )
-    least = least_reachable(met.select("_id", "o_id").distinct())
-    reps = spots.join(least, "_id", "left").select(
+    least, _ = least_reachable(met.select(F.col("_id").alias("a"), F.col("o_id").alias("b")))
+    reps = spots.join(least.select(F.col("node").alias("_id"), F.col("least").alias("_least")), "_id", "left").select(
         F.col("_name"), F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), F.coalesce("_least", "_id").alias("rep_id")
     )
     merged = skew_join(named, reps, ["_name", "_lat", "_lng"], "left", [id_col])
