@@ -90,3 +90,33 @@ def test_label_job(spark, tmp_path):
     assert counts.first()["pos"] == 1 and top.first()["content"] == "#광고 x"
     jobs.ingest_posts(spark, extracted.withColumn("post_id", F.lit("a")).select(*[F.col(c) for c in ("ingest_seq", "post_id", "content", "date")]).withColumns({c: F.lit(None).cast(t) for c, t in {"likes": "string", "hashtags": "array<string>", "comments": "array<string>", "search_tag": "string"}.items()}), str(tmp_path / "raw"))
     assert store.read_table(spark, str(tmp_path / "raw")).first()["date"] == "2025-08-01"
+
+
+def test_plain_files_are_split_over_tasks(spark, tmp_path):
+    head, rows = "post_id,content\n", [f'{i},"say ""{i}"", please"\n' for i in range(3000)]
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a.csv").write_text(head + "".join(rows))
+    schema, was = "post_id string, content string", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = csvfiles.scan_posts_csv(spark, str(tmp_path / "plain"), schema)
+        assert found.rdd.getNumPartitions() > 3 and found.count() == 3000
+        assert {r["content"] for r in found.collect()} == {f'say "{i}", please' for i in range(3000)}
+        (tmp_path / "plain" / "b.csv").write_text(head + '7,"two\nlines, ""quoted"""\n8,x\n')  # both kinds in one folder
+        mixed = csvfiles.scan_csv_encodings(spark, str(tmp_path / "plain"), schema)
+        assert mixed.count() == 3002 and mixed.where("content = 'two\\nlines, \"quoted\"'").count() == 1
+        (tmp_path / "c.csv").write_text(head + '7,"two\nlines"\n' * 2000)
+        assert csvfiles.scan_posts_csv(spark, str(tmp_path / "c.csv"), schema).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
+def test_split_files_keep_their_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("post_id,content,likes,hashtags,comments,date,search_tag\n" + "".join(f"p{i % 50},text {i},1,[],,,t\n" for i in range(4000)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = store.read_landing(spark, str(tmp_path)).orderBy("ingest_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert [(r["ingest_seq"], r["content"]) for r in rows] == [(i, f"text {i}") for i in range(4000)]
