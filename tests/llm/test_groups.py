@@ -1,6 +1,7 @@
 """Near copies, fingerprints and nearest neighbours against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -143,6 +144,37 @@ def test_fingerprints_add_up():
     assert abs(a.likeness(b) - 0.5) < 0.15
 
 
+def test_copies_are_counted():
+    a, b = (fingerprint.Fingerprint(fingerprint.paragraphs(t * 32_768)) for t in ("a.\n", "b.\n"))
+    assert a.count == b.count and str(a) != str(b) and a.likeness(b) < 0.1
+    held = Counter()
+    first = fingerprint.Fingerprint(["x", "y", "x"], held)
+    assert str(first + fingerprint.Fingerprint(["x", "z"], held)) == str(fingerprint.Fingerprint(["z", "x", "x", "y", "x"]))
+    assert str(fingerprint.Fingerprint(["x", "x", "x"]) - fingerprint.Fingerprint(["x"], Counter(x=2))) == str(fingerprint.Fingerprint(["x", "x"]))
+
+
+def likeness(s, t):
+    a, b = Counter(fingerprint.paragraphs(s)), Counter(fingerprint.paragraphs(t))
+    return 2 * (a & b).total() / ((a + b).total() or 1)
+
+
+def test_likeness_against_the_multisets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    ids = sorted(texts, reverse=True)
+    line = "The same line again.\n"
+    more = {10**6 + i: line * (10 + i) + f"Another {i}.\n" * i for i in range(40)}
+    texts.update(more)
+    ids = sorted(texts, reverse=True)
+    frame = docs.unionByName(spark.createDataFrame(list(more.items()), "doc_id bigint, text string"))
+    errors = []
+    for r in fingerprint.compare_edits(frame).collect():
+        t, after = texts[r["doc_id"]], texts[ids[(ids.index(r["doc_id"]) + 1) % len(ids)]]
+        if min(len(fingerprint.paragraphs(x)) for x in (t, after, r["edited"])) >= 30:
+            errors += [abs(r["near_edited"] - likeness(t, r["edited"])), abs(r["near_next"] - likeness(t, after))]
+    assert len(errors) > 300 and sum(e > 0.1 for e in errors) <= len(errors) / 50 and max(errors) < 0.2
+
+
 def test_edits_against_the_next_document(spark):
     rng = random.Random(2)
     rows = [(i * 3, "".join(rng.choice("ab. \né") for _ in range(rng.randint(0, 90)))) for i in range(200)]
