@@ -20,16 +20,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import WORD, Memo, bytes_of, map_batches
+from postsieve.llm.common import WORD, Memo, bytes_of
 from postsieve.llm.components import components
 from postsieve.session import cut_lineage
 
 STEP = 1.3  # ratio of the sizes at which one layout of parts gives way to the next
 LEVELS = 8
+PIECE_BYTES = 4 << 20  # bytes of text that a task turns into sets at once
 CLASS_STEP = 1.05  # ratio of the sizes that bound a size class of a large block
 _word = Memo(xxhash.xxh3_64_intdigest, most=200_000).__getitem__
 
@@ -207,18 +209,32 @@ def linked_groups(sets: list[np.ndarray], num: int, den: int, first: int = 0) ->
     return links
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``PIECE_BYTES`` of text, as batches are bounded by rows, and texts may be long."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // PIECE_BYTES)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                yield batch.slice(begin, end - begin)
+
+
 def text_sets(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of (key, row_key, n_shingles, set_id); without words set_id is null."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(t, n) for t in bytes_of(batch.column(2))]
-        ids = [set_id(h) if len(h) else None for h in found]
-        return pa.RecordBatch.from_pydict({
-            key: batch.column(0), "row_key": batch.column(1), "n_shingles": pa.array([len(h) for h in found], pa.int64()), "set_id": pa.array(ids, pa.int64()),
-        })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 2):
+            sizes, ids = [], []
+            for t in bytes_of(batch.column(2)):
+                h = shingles(t, n)
+                sizes.append(len(h))
+                ids.append(set_id(h) if len(h) else None)
+            yield pa.RecordBatch.from_pydict({
+                key: batch.column(0), "row_key": batch.column(1), "n_shingles": pa.array(sizes, pa.int64()), "set_id": pa.array(ids, pa.int64()),
+            })
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(docs.select(key, row_key(key, text), text), run, f"`{key}` {kind}, row_key bigint, n_shingles bigint, set_id bigint")
+    return docs.select(key, row_key(key, text), text).mapInArrow(run, f"`{key}` {kind}, row_key bigint, n_shingles bigint, set_id bigint")
 
 
 def row_key(key: str = "doc_id", text: str = "text"):
@@ -229,7 +245,7 @@ def candidate_links(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     """Pairs of set ids (a, b) that hold all candidates together: each set to the first one of its file."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             ids, keys = [], []
             for t in bytes_of(batch.column(0)):
                 h = shingles(t, n)
@@ -245,14 +261,16 @@ def candidate_links(docs: DataFrame, n: int, num: int, den: int, text: str = "te
             near = np.unique(np.stack([ids, heads[at]])[:, ids != heads[at]], axis=1)
             keys = np.concatenate([keys, _mix(near[0].view(np.uint64), 23)]).view(np.int64)
             own, head = np.concatenate([heads, near[0]]), np.concatenate([heads, near[1]])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own), pa.array(head)], names=["file", "a", "b"])
+            same = np.arange(len(own)) < len(heads)  # b is a there, and null in the shuffle, which makes these rows smaller
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own), pa.array(head, mask=same)], names=["file", "a", "b"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, top = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            files, a, b = (c.to_numpy() for c in batch.columns)
+            files, a = (c.to_numpy() for c in batch.columns[:2])
+            b = pc.coalesce(batch.column(2), batch.column(1)).to_numpy()
             start = np.append(True, files[1:] != files[:-1])
             tops = b[np.maximum.accumulate(np.where(start, np.arange(len(files)), 0))]
             if last == files[0]:
@@ -285,7 +303,7 @@ def exact_links(sets: DataFrame, docs: DataFrame, blocks: DataFrame, n: int, num
             if found:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-        for batch in batches:
+        for batch in pieces(batches, 3):
             rows = zip(*(c.to_pylist() for c in batch.columns[:3]), bytes_of(batch.column(3)), strict=True)
             for at, second, one, t in rows:
                 if at != held:
@@ -297,20 +315,22 @@ def exact_links(sets: DataFrame, docs: DataFrame, blocks: DataFrame, n: int, num
                     first += not second
         yield from ended()
 
-    def versus(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out, last, other = [], None, None
-        for t, p in zip(bytes_of(batch.column(1)), bytes_of(batch.column(2)), strict=True):
-            if p != last:
-                last, other = p, shingles(p, n)
-            out.append(bool(linked_groups([shingles(t, n), other], num, den)))
-        return pa.RecordBatch.from_pydict({"set_id": batch.column(0), "linked": pa.array(out)})
+    def versus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, other = None, None
+        for batch in pieces(batches, 1):
+            out = []
+            for t, p in zip(bytes_of(batch.column(1)), bytes_of(batch.column(2)), strict=True):
+                if p != last:
+                    last, other = p, shingles(p, n)
+                out.append(bool(linked_groups([shingles(t, n), other], num, den)))
+            yield pa.RecordBatch.from_pydict({"set_id": batch.column(0), "linked": pa.array(out)})
 
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = lambda df: df.repartition(tasks, "at").sortWithinPartitions("at", "second", "set_id").mapInArrow(compare, "a bigint, b bigint")
     small = run(full.where(F.col("n") <= block).select(F.col("root").alias("at"), F.lit(False).alias("second"), "set_id", "t"))
     large = full.where(F.col("n") > block)
     pivots = large.where("set_id = pivot").select("root", F.col("t").alias("p")).dropDuplicates(["root"])
-    tested = map_batches(large.join(pivots, "root").select("set_id", "t", "p"), versus, "set_id bigint, linked boolean")
+    tested = large.join(pivots, "root").select("set_id", "t", "p").mapInArrow(versus, "set_id bigint, linked boolean")
     tested = cut_lineage(tested, "pivot-links")
     to_pivot = large.select("set_id", "pivot").join(tested.where("linked"), "set_id").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
     # Sets that link to the pivot are one group; only pairs with a loose set are left. Sizes of linked sets are close: so the sets go
@@ -362,5 +382,6 @@ def one_of_each_group(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     has_words = F.coalesce(F.col(text), F.lit("")).rlike(WORD)
     found = near_copies(docs, n, num, den, key, text)
     kept = found.where("keep AND n_shingles > 0").select(F.col("row_key").alias("_row_key")).distinct()
-    rows = docs.where(has_words).withColumn("_row_key", row_key(key, text)).join(kept, "_row_key").dropDuplicates(["_row_key"]).drop("_row_key")
+    keyed = docs.where(has_words).select(F.struct("*").alias("row"), row_key(key, text).alias("_row_key"), F.col(key).alias("k"), F.md5(text).alias("m"))
+    rows = keyed.join(kept, "_row_key").dropDuplicates(["_row_key", "k", "m"]).select("row.*")  # two documents with one key hash both stay
     return rows.unionByName(docs.where(~has_words))
