@@ -40,9 +40,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document: doc_id, n_tokens, ids as little-endian unsigned 32-bit integers."""
-    coded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return coded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids")
+    """Ids of each document, and what they decode to: doc_id, n_tokens, ids as little-endian unsigned 32-bit integers, text."""
+    coded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return coded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 
 STAGES = [
