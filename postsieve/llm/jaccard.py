@@ -32,7 +32,7 @@ from postsieve.session import cut_lineage
 STEP = 1.3  # ratio of the sizes at which one layout of parts gives way to the next
 LEVELS = 8
 PIECE_BYTES = 4 << 20  # bytes of text that a task turns into sets at once
-CLASS_STEP = 1.05  # ratio of the sizes that bound a size class of a large block
+CLASS_STEP = 1.26  # ratio of the sizes that bound a size class of a large block: at 0.8 and more a set meets its own class and its two neighbours
 _word = Memo(xxhash.xxh3_64_intdigest, most=200_000).__getitem__
 
 
