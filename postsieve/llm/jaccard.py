@@ -1,14 +1,15 @@
 """Exact Jaccard self-join of word n-gram sets by prefix trees, and the groups that its links form.
 
 1. Every text becomes a sorted set of 64-bit shingle hashes; equal sets are one node from then on.
-2. Two sets of Jaccard similarity t or more differ in at most d shingles, d following from their sizes. Cut the hash space into
-   parts: if one of the sets has more than d non-empty parts, some non-empty part is the same in both. Sets are filed under
-   the sums of their parts; sets in one file are candidates, and candidates that hang together make a block.
+2. In the order of hashes, two sets that link share at least l shingles among the first of each, if ``opening`` takes l more than
+   it must. A set is filed under its opening. Two sets in files of few sets are candidates if they share l of these, less the files
+   of many sets that one of them is in. A set leaves the files of many sets, unless it is in l of that kind: then its partners may
+   be in no other. Candidates that hang together make a block.
 3. In a block, sets go into a trie in one global order of shingles, frequent ones first. A probe walks it once, shares the
    overlap of common beginnings, and leaves a subtree when what remains of both sides cannot reach the bound.
 
-A file is read in sorted order with one row per task at most, so copies by the million are no hot group; a block above
-``block`` sets is first compared with one of its sets, and only what does not link there is compared further, in pairs of chunks of like sizes.
+Copies are filed once per task, and what a task files in one place beyond ``FEW`` sets is spread, so copies by the million are no
+hot group; a block above ``block`` sets is first compared with one of its sets, and only what does not link there is compared further, in pairs of chunks of like sizes.
 """
 
 from __future__ import annotations
@@ -16,21 +17,20 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import WORD, Memo, bytes_of
 from postsieve.llm.components import components
 from postsieve.session import cut_lineage
 
-STEP = 1.3  # ratio of the sizes at which one layout of parts gives way to the next
-LEVELS = 8
+FEW = 8  # sets of a file up to which all of them are candidates
 PIECE_BYTES = 4 << 20  # bytes of text that a task turns into sets at once
 CLASS_STEP = 1.26  # ratio of the sizes that bound a size class of a large block: at 0.8 and more a set meets its own class and its two neighbours
 _word = Memo(xxhash.xxh3_64_intdigest, most=200_000).__getitem__
@@ -61,48 +61,29 @@ def set_id(h: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-@lru_cache(maxsize=None)
-def layouts(size: int, num: int, den: int) -> tuple[tuple[int, int, int], ...]:
-    """(layout, parts, most differing shingles) under which a set of this size is filed.
+def overlap(size: int, num: int, den: int) -> int:
+    """Shingles that a set of this size shares with any set it links to, at least."""
+    return (num * size + den - 1) // den
 
-    Layout k holds the sizes from STEP^k up to STEP^(k+1) / t, so any two sizes that can link share one.
-    """
-    out = []
-    k = int(math.log(max(size, 1) * num / den, STEP)) - 2
-    while k < 0 or STEP**k <= size:
-        low, high = STEP**k, STEP ** (k + 1) * den / num
-        if k >= 0 and low <= size <= high + 1:
-            differ = int(2 * (high + 1) * (den - num) / (den + num) + 1e-9)
-            if differ:
-                parts = differ + 1
-                # As few parts as fill more than ``differ`` of them on average: large parts tell more, and sets that fill too few
-                # have further levels to try.
-                while parts * (1 - math.exp(-low / parts)) < differ + 1 and parts < 2 * low:
-                    parts += 1 + parts // 50
-                out.append((k, parts, differ))
-        k += 1
-    return tuple(out)
-
-
-def part_sums(h: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys under which a set is filed.
-
-    Where too few parts are filled for the argument above, the set is also filed under a next cut of the hash space; a pair is
-    only missed at one level if both sets go on to the next. Sets that fill too few at all levels are filed under each shingle.
+
+def spare(size: int, num: int, den: int) -> int:
+    """Shingles that linked sets share in their openings, the smaller one being of this size."""
+    return min(max(1, size // 4), overlap(size, num, den))
+
+
+def opening(size: int, num: int, den: int) -> tuple[int, int]:
+    """How many first shingles a set is filed under so that linked sets share one, and so that they share ``spare``.
+
+    Of the shingles that two sets share, at least ``overlap`` minus l come behind the l-th one in either set, so the l-th is among
+    the first size - overlap + l. Linked sets hence share ``spare`` of the smaller size in their openings.
     """
-    keys = []
-    for k, parts, differ in layouts(len(h), num, den):
-        for level in range(LEVELS):
-            x = h if level == 0 else np.sort(_mix(h, 1000 + level))
-            part = ((x >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            place = part[start] + np.uint64(((k * LEVELS + level) << 32) + 1)
-            keys.append(_mix(np.add.reduceat(_mix(x, 7), start) ^ _mix(place, 11), 13))
-            if len(start) > differ:
-                break
-        else:
-            keys.append(_mix(h ^ _mix(np.full(len(h), k + 1, np.uint64), 11), 17))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    must = size - overlap(size, num, den)
+    return must + 1, must + spare(size, num, den)
+
+
+def needed(size: int, num: int, den: int) -> int:
+    """Shingles shared in the openings of a set of this size and of any set it links to, at least."""
+    return spare(overlap(size, num, den), num, den)
 
 
 class Groups:
@@ -242,24 +223,87 @@ def row_key(key: str = "doc_id", text: str = "text"):
 
 
 def candidate_links(docs: DataFrame, n: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """Pairs of set ids (a, b) that hold all candidates together: each set to the first one of its file."""
+    """Pairs of set ids (a, b) that hold all candidates together."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(at, a, info, file): a set in a file. What is beyond ``FEW`` sets of a file in one piece goes to any place, and names its file."""
+        seen = set()
         for batch in pieces(batches, 0):
-            ids, keys = [], []
+            keys, ids, infos = [], [], []
             for t in bytes_of(batch.column(0)):
                 h = shingles(t, n)
-                if len(h):
-                    found = part_sums(h, num, den)
-                    keys.append(found)
-                    ids.append(np.full(len(found), set_id(h), np.int64))
+                if not len(h) or (one := set_id(h)) in seen:
+                    continue
+                seen.add(one)
+                first, whole = opening(len(h), num, den)
+                keys.append(h[:whole])
+                ids.append(np.full(whole, one, np.int64))
+                infos.append(2 * needed(len(h), num, den) + (np.arange(whole) < first))
             if not keys:
                 continue
-            keys, ids = np.concatenate(keys), np.concatenate(ids)
+            keys, ids, infos = np.concatenate(keys), np.concatenate(ids), np.concatenate(infos)
+            order = np.argsort(keys, kind="stable")
+            keys, ids, infos = keys[order], ids[order], infos[order]
+            begin = _starts(keys)
+            spread = np.arange(len(keys)) - begin > FEW
+            at = np.where(spread, _mix(keys ^ _mix(ids.view(np.uint64), 29), 31), keys).view(np.int64)
+            columns = [pa.array(at), pa.array(ids), pa.array(infos), pa.array(keys.view(np.int64), mask=~spread)]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "a", "info", "file"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by place: pairs (a, b) from files of few sets, with what they must and do share; (file, a, info) from others.
+
+        ``info`` is twice the number of shared shingles that the set can count on, plus one if the file must suffice alone.
+        """
+        held, full = None, None
+        for batch in chain(batches, [None]):
+            if batch is None:
+                if held is None:
+                    return
+                rows = held
+            elif not batch.num_rows:
+                continue
+            else:
+                named = batch.column(3)
+                rows = np.stack([batch.column(0).to_numpy(), *(c.to_numpy() for c in batch.columns[1:3]),
+                                 pc.coalesce(named, batch.column(0)).to_numpy(), pc.is_valid(named).to_numpy(zero_copy_only=False)])
+                rows = rows if held is None else np.concatenate([held, rows], axis=1)
+            begin = _starts(rows[0])
+            number = np.unique(begin, return_counts=True)[1]
+            many = np.repeat(number > FEW, number) | (rows[0] == full if full is not None else False)
+            held, full = None, int(rows[0][-1]) if many[-1] else None
+            if batch is not None and not many[-1]:  # the last file may go on in the next batch
+                cut = begin[-1]
+                held, rows, many, begin = rows[:, cut:], rows[:, :cut], many[:cut], begin[:cut]
+            many = many | (rows[4] == 1)
+            lone = np.flatnonzero(~many)
+            met = [(lone[:-k][same], lone[k:][same]) for k in range(1, FEW) for same in [begin[lone[:-k]] == begin[lone[k:]]]]
+            left, right = (np.concatenate(c) for c in zip(*met, strict=True))
+            pairs = np.stack([rows[1][left], rows[1][right], rows[2][left] >> 1, rows[2][right] >> 1])[:, rows[1][left] != rows[1][right]]
+            turn = pairs[0] > pairs[1]
+            pairs[:, turn] = pairs[:, turn][[1, 0, 3, 2]]
+            pairs, shared = np.unique(pairs, axis=1, return_counts=True)
+            if not pairs.shape[1] and not many.any():
+                continue
+            a = np.concatenate([pairs[0], rows[1][many]])
+            paired = np.arange(len(a)) < pairs.shape[1]
+            fill = lambda x: pa.array(np.concatenate([x, np.zeros(int(many.sum()), np.int64)]), mask=~paired)  # noqa: B023, E731
+            columns = [
+                pa.array(np.concatenate([pairs[0], rows[3][many]]), mask=paired), pa.array(a), pa.array(np.concatenate([pairs[2], rows[2][many]])),
+                fill(pairs[1]), fill(pairs[3]), fill(shared),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["file", "a", "info", "b", "b_info", "shared"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (file, a, b): one of each file and batch with b null, and the others of it with that one."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, ids = (c.to_numpy() for c in batch.columns)
             keys, first, at = np.unique(keys, return_index=True, return_inverse=True)
             heads = ids[first]
             near = np.unique(np.stack([ids, heads[at]])[:, ids != heads[at]], axis=1)
-            keys = np.concatenate([keys, _mix(near[0].view(np.uint64), 23)]).view(np.int64)
+            keys = np.concatenate([keys.view(np.uint64), _mix(near[0].view(np.uint64), 23)]).view(np.int64)
             own, head = np.concatenate([heads, near[0]]), np.concatenate([heads, near[1]])
             same = np.arange(len(own)) < len(heads)  # b is a there, and null in the shuffle, which makes these rows smaller
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own), pa.array(head, mask=same)], names=["file", "a", "b"])
@@ -281,9 +325,28 @@ def candidate_links(docs: DataFrame, n: int, num: int, den: int, text: str = "te
             if pairs.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    filed = docs.select(text).mapInArrow(file, "file bigint, a bigint, b bigint")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return filed.repartition(tasks, "file").sortWithinPartitions("file").mapInArrow(link, "a bigint, b bigint")
+    filed = docs.select(text).mapInArrow(file, "at bigint, a bigint, info bigint, file bigint")
+    placed = filed.repartition(tasks, "at").sortWithinPartitions("at").mapInArrow(
+        split, "file bigint, a bigint, info bigint, b bigint, b_info bigint, shared bigint"
+    )
+    placed = cut_lineage(placed, "files")
+    common = placed.where("b IS NULL").repartition("a").groupBy("a", "file").agg(F.max("info").alias("info"))
+    common = cut_lineage(common.withColumn("files", F.count("*").over(Window.partitionBy("a"))), "common-files")
+    stay = common.where((F.col("info") % 2 == 1) & (F.col("files") >= F.shiftright("info", 1)))
+    pairs = placed.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("info").alias("info"), F.max("b_info").alias("b_info"), F.sum("shared").alias("shared"))
+    common_of = common.select("a", "files").distinct()
+    pairs = pairs.join(common_of, "a", "left").join(common_of.select(F.col("a").alias("b"), F.col("files").alias("b_files")), "b", "left")
+    short = lambda need, files: F.col(need) - F.coalesce(F.col(files), F.lit(0))
+    rare = pairs.where(F.col("shared") >= F.greatest(short("info", "files"), short("b_info", "b_files")))
+    gathered = stay.select("file", "a").mapInArrow(gather, "file bigint, a bigint, b bigint")
+    linked = gathered.repartition(tasks, "file").sortWithinPartitions("file").mapInArrow(link, "a bigint, b bigint")
+    return rare.select("a", "b").unionByName(linked)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Per element of a sorted array the place where its like begin."""
+    return np.maximum.accumulate(np.where(np.append(True, keys[1:] != keys[:-1]), np.arange(len(keys)), 0))
 
 
 def exact_links(sets: DataFrame, docs: DataFrame, blocks: DataFrame, n: int, num: int, den: int, text: str, key: str, block: int) -> DataFrame:

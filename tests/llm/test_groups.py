@@ -92,17 +92,36 @@ def test_hard_rows(hard, empty):
     assert sorted(t for t in texts if words(t)) == sorted({t for _, t in rows if words(t)})
 
 
-def test_every_close_pair_shares_a_file():
+def test_close_pairs_share_enough_of_their_openings():
     rng = np.random.default_rng(3)
-    for size in (10, 19, 20, 33, 80, 500):
-        for num in (80, 90):
+    for size in (1, 2, 4, 5, 10, 19, 20, 33, 80, 500):
+        for num in (30, 80, 90):
             for _ in range(60):
                 a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
-                lost = int(len(a) * (100 - num) / (100 + num))
-                b = np.unique(np.concatenate([a[rng.permutation(len(a))[lost:]], rng.integers(0, 2**63, lost).astype(np.uint64)]))
+                lost = rng.integers(0, int(len(a) * (100 - num) / (100 + num)) + 1)
+                b = np.unique(np.concatenate([a[rng.permutation(len(a))[lost:]], rng.integers(0, 2**63, rng.integers(0, lost + 1)).astype(np.uint64)]))
                 both = len(np.intersect1d(a, b))
-                if 100 * both >= num * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
-                    assert len(np.intersect1d(jaccard.part_sums(a, num, 100), jaccard.part_sums(b, num, 100)))
+                if 100 * both >= num * (len(a) + len(b) - both):
+                    (one, more), (other, further) = (jaccard.opening(len(x), num, 100) for x in (a, b))
+                    assert len(np.intersect1d(a[:one], b[:other])) >= 1
+                    least = max(jaccard.needed(len(x), num, 100) for x in (a, b))
+                    assert len(np.intersect1d(a[:more], b[:further])) >= least
+
+
+def test_sets_of_common_shingles_are_found(spark):
+    """Documents made of passages that many share: each of their files is full, and copies among them are still found."""
+    rng = random.Random(8)
+    passages = [[f"p{i}_{j}" for j in range(40)] for i in range(12)]
+    rows = []
+    for i in range(240):
+        w = sum(rng.sample(passages, 3), [])
+        rows.append((i, " ".join(w)))
+        if i % 6 == 0:
+            w[rng.randrange(len(w))] = "other"
+            rows.append((1000 + i, " ".join(w)))
+    rows += [(2000 + i, " ".join([*passages[0], *(f"q{i}_{j}" for j in range(200))])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    assert plain(jaccard.near_copies(df, 5, 80, 100)) == brute_groups(rows, 5, 80, 100)
 
 
 def test_trie_finds_exactly_the_links():
