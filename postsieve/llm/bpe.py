@@ -234,6 +234,7 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = bpe(path)
+        Memo.leave_only(model.memo)
         ids = model.encode_all(texts_of(batch.column(1)))
         columns = {key: batch.column(0), "ids": pa.array(ids, pa.binary())}
         if decoded:

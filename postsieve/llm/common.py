@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,9 +49,20 @@ class Memo(dict):
     Keys longer than ``longest`` are computed each time, so that a few huge keys cannot fill memory.
     """
 
+    everyone: list[weakref.ref[Memo]] = []  # of this Python worker
+
     def __init__(self, fn: Callable, most: int = 300_000, longest: int = 64):
         super().__init__()
         self.fn, self.most, self.longest = fn, most, longest
+        Memo.everyone.append(weakref.ref(self))
+
+    @staticmethod
+    def leave_only(*kept: Memo) -> None:
+        """Clear all others: workers outlive stages, and each operator would leave its own results behind."""
+        for memo in [m() for m in Memo.everyone]:
+            if memo is not None and not any(memo is k for k in kept):
+                memo.clear()
+        pa.default_memory_pool().release_unused()
 
     def __missing__(self, key):
         value = self.fn(key)

@@ -33,7 +33,7 @@ from postsieve.session import cut_lineage
 FEW = 8  # sets of a file up to which all of them are candidates
 PIECE_BYTES = 4 << 20  # bytes of text that a task turns into sets at once
 CLASS_STEP = 1.26  # ratio of the sizes that bound a size class of a large block: at 0.8 and more a set meets its own class and its two neighbours
-_word = Memo(xxhash.xxh3_64_intdigest, most=200_000).__getitem__
+_words = Memo(xxhash.xxh3_64_intdigest, most=200_000)
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -50,7 +50,7 @@ def shingles(text: bytes, n: int) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     k = min(n, len(words))
-    w = np.fromiter(map(_word, words), np.uint64, len(words))
+    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     h = np.full(len(w) - k + 1, k, np.uint64)
     for i in range(k):
         h = _mix(h ^ w[i : len(w) - k + 1 + i], i)
@@ -204,6 +204,7 @@ def text_sets(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text")
     """Rows of (key, row_key, n_shingles, set_id); without words set_id is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.leave_only(_words)
         for batch in pieces(batches, 2):
             sizes, ids = [], []
             for t in bytes_of(batch.column(2)):

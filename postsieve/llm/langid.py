@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import map_batches, texts_of
+from postsieve.llm.common import Memo, map_batches, texts_of
 
 SLOTS = 1 << 16
 SCALE = 40.0
@@ -59,6 +59,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     """Documents per slot, and documents with letters, over all rows. At most SLOTS + 1 rows reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.leave_only()
         df, n = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             for t in texts_of(batch.column(0)):

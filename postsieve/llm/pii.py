@@ -142,8 +142,9 @@ def kind_of(c: str) -> str:
 
 
 @lru_cache(maxsize=100_000)
-def _segment(text: str, start: int, end: int) -> tuple[str, ...]:
-    return features(text, start, end)
+def _segment(around: str, start: int, end: int) -> tuple[str, ...]:
+    """Features of a segment, given it with the characters next to it, so that no whole text is held."""
+    return features(around, start, end)
 
 
 @dataclass
@@ -160,7 +161,8 @@ class Field:
             row = []
             for i in range(max(0, j - LONGEST), j):
                 if text[ends[i]] != " " and text[ends[j] - 1] != " ":
-                    f = _segment(text, ends[i], ends[j])
+                    low = max(0, ends[i] - 1)
+                    f = _segment(text[low : ends[j] + 2], ends[i] - low, ends[j] - low)
                     row.append((i, f, sum((self.weights.get(x, zero) for x in f), zero)))
             out.append(row)
         return out
