@@ -1,20 +1,19 @@
 """A byte-level language model by online logistic context mixing, and the unigram base score next to it.
 
-A text is cut behind every ASCII white space. Bytes are binary paths in Huffman trees, one tree per previous byte. Each bit has
-several predictors: hashed contexts (previous byte, three bytes, the word so far, the word so far with the word before it) with
-the counts of that bit in all training documents; bytes before the part count in them too. Their log odds are added with
-weights from a set that a gate chooses by how often the longer contexts were seen; each document starts from the same
-weights and refines them every few parts.
-
-All that a part is predicted from goes before it as a head: its unit is a hash of the word before, the three bytes before, and
-the part. Everything is learned from one table, the units of the training documents with their counts; it grows with
-the corpus and stays distributed. What goes to every task is bounded: the trees, the slot tables, and the most frequent words.
+Bytes are binary paths in Huffman trees, one tree per previous byte. Each bit has several predictors: the previous byte, and
+hashed contexts (three bytes, the word so far, the word so far with the word before it) with the counts of that bit in all
+training documents. Their log odds are added with weights from a set that a gate chooses by how often the hashed contexts were
+seen; each document starts from the same weights and refines them every few bytes.
+
+Everything is worked out from the bytes of many texts at once, in arrays. Learning reads the training texts twice: for counts of
+words and byte pairs, then for the counts of the slots. Words stay a distributed table that grows with the corpus; slots grow
+with its square root up to ``MOST_BITS``, the size that a task can hold. What goes to every task is the trees, the slot
+tables (6 bytes a slot) and the most frequent words.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,72 +24,104 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import bytes_of
+from postsieve.llm.common import Memo, bytes_of
 from postsieve.session import cut_lineage
 
 END, START = 0xFE, 0xFF  # bytes that UTF-8 never uses
-PART = re.compile(rb"[^\x20\x09-\x0D\xFE]*[\x20\x09-\x0D\xFE]")
-SLOT_BITS = 20
-ORDERS = 4
-GATES = 1 << (ORDERS - 1)
+BLANK = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20, END, START])  # bytes behind which a word begins
+LEAST_BITS, MOST_BITS = 20, 24
+HASHED = 3  # predictors with slots, beside the previous byte
+GATES = 1 << HASHED
 UNIT = 1024.0
 SURE = 8  # counts from which a context is trusted
-STEP = 4  # parts after which a document's weights move
-HEAD = 7  # bytes of a unit before its part: hash of the word before, and three bytes
+STEP = 8  # bytes after which a document's weights move; later steps are a part of what was read
+LATER = 16
+BLOCK = 1 << 16  # counts that are summed together
 
 
-def parts_of(text: bytes) -> list[bytes]:
-    return PART.findall(text + b"\xfe")
+def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, each behind three START and before an END; where the texts begin; their lengths with the END."""
+    raw = np.frombuffer(b"\xff\xff\xff" + b"\xfe\xff\xff\xff".join(texts) + b"\xfe", np.uint8)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    return raw, np.cumsum(lengths + 3) - lengths, lengths
 
 
-def units_of(parts: list[bytes]) -> list[bytes]:
-    """The parts of one text, each behind its head. Blank parts do not count as the word before."""
-    units, word, near = [], b"\0\0\0\0", b"\xff\xff\xff"
-    for p in parts:
-        units.append(word + near + p)
-        near = p[-3:] if len(p) > 2 else (near + p)[-3:]
-        if len(p) > 1:
-            word = xxhash.xxh32_digest(p[:-1])
-    return units
+def byte_pairs(raw: np.ndarray) -> np.ndarray:
+    """Previous byte and byte at every place; the first place has no meaning."""
+    pair = raw.astype(np.uint16)
+    pair[1:] |= raw[:-1].astype(np.uint16) << np.uint16(8)
+    return pair
 
 
-def joined(units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all units, the places of the parts' bytes, and the parts' lengths."""
-    raw = np.frombuffer(b"".join(units), np.uint8)
-    lengths = np.fromiter(map(len, units), np.int64, len(units)) - HEAD
-    return raw, np.arange(int(lengths.sum())) + np.repeat(np.arange(1, len(units) + 1) * HEAD, lengths), lengths
+def stirred(h: np.ndarray, factor: int) -> np.ndarray:
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(factor)
+    return h ^ (h >> np.uint32(13))
 
 
-def bigram_counts(units: list[bytes], times: np.ndarray) -> np.ndarray:
-    """Counts of (previous byte, byte) over units that occur ``times`` each."""
-    raw, at, lengths = joined(units)
-    return np.bincount(raw[at - 1].astype(np.int64) << 8 | raw[at], np.repeat(times, lengths), minlength=1 << 16)
+def contexts(raw: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Hash of the hashed contexts at every place, one array per predictor. A text's first word has no word before it."""
+    b = raw.astype(np.uint32)
+    near = np.zeros(len(b), np.uint32)
+    near[3:] = (b[:-3] << np.uint32(16)) | (b[1:-2] << np.uint32(8)) | b[2:-1]
+    ends = np.flatnonzero(BLANK[raw])
+    begin = np.append(0, ends[:-1] + 1)
+    size = ends - begin + 1
+    place = np.arange(len(b)) - np.repeat(begin, size)
+    # Hash of the word so far: a sum of bytes times powers from the word's beginning on.
+    power = np.cumprod(np.full(int(size.max()) + 1, 0x2C9277B5, np.uint32), dtype=np.uint32)
+    term = b * power[place]
+    sums = np.cumsum(term, dtype=np.uint32) - term
+    word = (sums[ends] - sums[begin]) ^ (size.astype(np.uint32) * np.uint32(0x27D4EB2F))
+    so_far = (sums - np.repeat(sums[begin], size)) ^ (place.astype(np.uint32) * np.uint32(0x27D4EB2F))
+    # The last word that is not blank, if it is of the same text.
+    number = np.arange(len(ends))
+    last = np.append(-1, np.maximum.accumulate(np.where(size > 1, number, -1))[:-1])
+    text = np.zeros(len(ends), np.int64)
+    opening = np.searchsorted(begin, first)
+    text[opening] = opening
+    before = np.where(last >= np.maximum.accumulate(text), word[last], np.uint32(0))
+    both = so_far * np.uint32(0xC2B2AE3D) + np.repeat(stirred(before, 0x85EBCA6B), size)
+    return [stirred(near, 0xC2B2AE35), stirred(so_far, 0x9E3779B1), stirred(both, 0x2C1B3C6D)]
 
 
 @dataclass
 class Trees:
-    """Paths of all (previous byte, byte): nodes and bits in one array each, with start and length per pair."""
+    """Paths of all (previous byte, byte): node * 2 + bit of every step in one array, with start and length per pair."""
 
     start: np.ndarray
     length: np.ndarray
-    node: np.ndarray
-    bit: np.ndarray
+    step: np.ndarray
 
     @classmethod
     def build(cls, bigrams: np.ndarray) -> Trees:
         counts = bigrams.reshape(256, 256)
         general = counts.sum(axis=0)
         codes: dict[int, list[tuple[int, ...]]] = {}
-        start, length, nodes, bits = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), [], []
+        start, length, path_steps = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), []
         for prev in range(256):
             seen = counts[prev].sum() > 0
             if (prev if seen else -1) not in codes:
                 codes[prev if seen else -1] = huffman((counts[prev] if seen else general) + general / (general.sum() + 1.0) + 1e-3)
             for symbol, path in enumerate(codes[prev if seen else -1]):
-                start[prev << 8 | symbol], length[prev << 8 | symbol] = len(nodes), len(path)
-                nodes.extend(prev << 8 | n >> 1 for n in path)
-                bits.extend(n & 1 for n in path)
-        return cls(start, length, np.array(nodes, np.uint32), np.array(bits, np.int8))
+                start[prev << 8 | symbol], length[prev << 8 | symbol] = len(path_steps), len(path)
+                path_steps.extend(prev << 9 | n for n in path)
+        return cls(start, length, np.array(path_steps, np.int64))
+
+    def paths(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Steps (node * 2 + bit) of all these bytes, the byte that each belongs to, and the number of steps of each byte."""
+        size = self.length.take(pairs)
+        ends = np.cumsum(size)
+        owner = owners(ends)
+        at = (self.start.take(pairs) - (ends - size)).take(owner)
+        at += np.arange(len(owner))
+        return self.step.take(at), owner, size
+
+
+def owners(ends: np.ndarray) -> np.ndarray:
+    """Number of the group that each element is in, from the ends of groups without gaps; no group is empty."""
+    mark = np.zeros(int(ends[-1]) if len(ends) else 0, np.int8)
+    mark[ends[:-1]] = 1
+    return np.cumsum(mark, dtype=np.int64)
 
 
 def huffman(weights: np.ndarray) -> list[tuple[int, ...]]:
@@ -114,41 +145,21 @@ def huffman(weights: np.ndarray) -> list[tuple[int, ...]]:
     return paths
 
 
-def contexts(raw: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """Context hash of every byte, one array per predictor."""
-    b = raw.astype(np.uint32)
-    one, two, three = b[at - 1], b[at - 2], b[at - 3]
-    near = (three << np.uint32(16)) | (two << np.uint32(8)) | one
-    # Hash of the part so far: a sum of bytes times powers from the part's start on.
-    power = np.cumprod(np.full(int(lengths.max(initial=1)) + 1, 0x2C9277B5, np.uint32), dtype=np.uint32)
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(at)) - first
-    sums = np.concatenate([[np.uint32(0)], np.cumsum(b[at] * power[place], dtype=np.uint32)])
-    so_far = (sums[:-1] - sums[first]) ^ (place.astype(np.uint32) * np.uint32(0x27D4EB2F))
-    start = at[first[np.cumsum(lengths) - lengths]] - HEAD
-    before = b[start] << np.uint32(24) | b[start + 1] << np.uint32(16) | b[start + 2] << np.uint32(8) | b[start + 3]
-    both = (so_far * np.uint32(0xC2B2AE3D)) ^ np.repeat(before, lengths)
-    return [one * np.uint32(0x85EBCA6B), near * np.uint32(0xC2B2AE35) + np.uint32(1), so_far, both ^ (both >> np.uint32(16))]
-
-
-def bit_slots(units: list[bytes], trees: Trees):
-    """Per bit of the units' parts: slots of the predictors (one array each) and the bit; and the number of bits per part."""
-    raw, at, lengths = joined(units)
-    pair = raw[at - 1].astype(np.int64) << 8 | raw[at]
-    steps = trees.length[pair]
-    ends = np.cumsum(steps)
-    path = np.repeat(trees.start[pair] - (ends - steps), steps) + np.arange(int(ends[-1]))
-    mixed = trees.node[path] * np.uint32(0x9E3779B1)
-    slots = []
-    for c in contexts(raw, at, lengths):
-        h = (np.repeat(c, steps) ^ mixed) * np.uint32(0x85EBCA77)
-        slots.append((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - SLOT_BITS))
-    bits_of_part = np.diff(np.append(0, ends[np.cumsum(lengths) - 1]))
-    return slots, trees.bit[path], bits_of_part
+def stirred_nodes(step: np.ndarray) -> np.ndarray:
+    return (step >> 1).astype(np.uint32) * np.uint32(0x9E3779B1)
+
+
+def slots_of(context: np.ndarray, owner: np.ndarray, nodes: np.ndarray, bits: int) -> np.ndarray:
+    """Slot of every step of bytes with this context; ``nodes`` are stirred."""
+    h = context.take(owner)
+    h ^= nodes
+    h *= np.uint32(0x85EBCA77)
+    h >>= np.uint32(32 - bits)
+    return h.astype(np.int64)
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
-    """Slot table: log odds of a one in units of 1 / UNIT, doubled, plus one where the context was seen often."""
+    """Slot table: log odds of a one in halves of 1 / UNIT; odd where the context was seen often."""
     zero, one = counts[..., 0], counts[..., 1]
     odds = np.clip(np.log((one + 0.4) / (zero + 0.4)), -11.0, 11.0)
     return (np.round(odds * UNIT).astype(np.int16) * 2 + ((zero + one) >= SURE)).astype(np.int16)
@@ -157,150 +168,186 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     trees: Trees
-    tables: list[np.ndarray]
-    rate: float = 0.06
+    first: np.ndarray  # log odds by node, for the previous byte
+    tables: list[np.ndarray]  # log_odds by slot, one array per hashed context
+    rate: float = 0.1
     start_weights: tuple[float, ...] = (0.0, 0.4, 0.35, 0.35)  # per predictor, before a document refines them
-    limit: int = 25_000  # parts whose bits are in memory at once
-
-    def score(self, documents: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each document, given its parts. No document's score depends on the others."""
-        n = len(documents)
-        order = sorted(range(n), key=lambda i: -len(documents[i]))  # longest first, so that those not yet at their end lead
-        units = [units_of(documents[i]) for i in order]
+    limit: int = 1 << 17  # bytes of one step that are in memory at once
+
+    def score(self, texts: list[bytes], ended: bool = True) -> np.ndarray:
+        """log10 probability of each text, with its end or, if not ``ended``, as a beginning. No text's score depends on the others."""
+        n = len(texts)
+        order = sorted(range(n), key=lambda i: -len(texts[i]))  # longest first, so that those not yet at their end lead
+        raw, first, lengths = lay_out([texts[i] for i in order])
+        lengths = lengths - (not ended)
+        pair, hashes = byte_pairs(raw), contexts(raw, first)
         weights = [np.full(n * GATES, w, np.float32) for w in self.start_weights]
-        moved = [np.full(n * GATES, 1.0) for _ in range(ORDERS)]
-        total, left, at = np.zeros(n), n, 0
-        while left:
-            steps, size = [], 0  # per step the next parts of all documents that have some left
-            while left and size < self.limit:
-                steps.append([units[d][at : at + STEP] for d in range(left)])
-                size += sum(map(len, steps[-1]))
-                at += STEP
-                while left and len(units[left - 1]) <= at:
-                    left -= 1
-            self._mix(steps, weights, moved, total)
+        moved = [np.full(n * GATES, 1.0) for _ in weights]
+        total, lo = np.zeros(n), 0
+        while left := int(np.searchsorted(-lengths, -lo)):  # texts with more than lo bytes
+            hi = lo + max(STEP, lo // LATER)
+            size = np.minimum(lengths[:left], hi) - lo
+            grads = [np.zeros(left * GATES) for _ in weights]
+            many = max(1, self.limit // (hi - lo))
+            for a in range(0, left, many):  # texts whose bits of this step are in memory at once
+                self._mix(a, first[a : a + many][: left - a] + lo, size[a : a + many], pair, hashes, weights, grads, total)
+            for w, m, grad in zip(weights, moved, grads, strict=True):
+                m[: len(grad)] += grad * grad
+                w[: len(grad)] += (self.rate * grad / np.sqrt(m[: len(grad)])).astype(np.float32)
+            lo = hi
         out = np.zeros(n)
         out[order] = -total / np.log(10.0)
         return out
 
-    def _mix(self, steps: list[list[list[bytes]]], weights: list[np.ndarray], moved: list[np.ndarray], total: np.ndarray) -> None:
-        """Add the losses of these steps to ``total``, and move the weights of each document behind each step."""
-        index: dict[bytes, int] = {}
-        unit = np.array([index.setdefault(u, len(index)) for step in steps for some in step for u in some])
-        owner = np.array([d for step in steps for d, some in enumerate(step) for _ in some])
-        slots, bit, per_part = bit_slots(list(index), self.trees)
-        values = [t[s] for t, s in zip(self.tables, slots, strict=True)]
-        reps = per_part[unit]
-        ends = np.cumsum(reps)
-        bits = np.repeat((np.cumsum(per_part) - per_part)[unit] - (ends - reps), reps) + np.arange(int(ends[-1]))
-        gate = sum(((v & 1) << k for k, v in enumerate(values[1:])), np.zeros(len(bit), np.int16))
-        odds = [((v >> 1) / np.float32(UNIT)).astype(np.float32)[bits] for v in values]
-        sign = (bit * 2 - 1).astype(np.float32)[bits]
-        who = np.repeat(owner, reps)
-        group = who * GATES + gate[bits]
-        loss = np.empty(len(bits), np.float32)
-        cuts = np.append(0, ends[np.cumsum([sum(map(len, step)) for step in steps]) - 1])
-        for step, lo, hi in zip(steps, cuts[:-1], cuts[1:], strict=True):
-            x, y, g = [o[lo:hi] for o in odds], sign[lo:hi], group[lo:hi]
-            e = np.exp(-np.clip(y * sum(w[g] * xi for w, xi in zip(weights, x, strict=True)), -30.0, 30.0))
-            loss[lo:hi] = np.log1p(e)
-            push, size = y * (e / (1.0 + e)), len(step) * GATES
-            for w, m, xi in zip(weights, moved, x, strict=True):
-                grad = np.bincount(g, push * xi, minlength=size)
-                m[:size] += grad * grad
-                w[:size] += (self.rate * grad / np.sqrt(m[:size])).astype(np.float32)
-        total += np.bincount(who, loss, minlength=len(total))
+    def _mix(self, a, start, size, pair, hashes, weights, grads, total) -> None:
+        """Add the losses of ``size`` bytes from ``start`` on of the texts from number ``a`` on, and the slopes of the weights."""
+        ends = np.cumsum(size)
+        text = owners(ends)
+        at = (start - (ends - size))[text] + np.arange(len(text))
+        step, owner, steps = self.trees.paths(pair.take(at))
+        nodes = stirred_nodes(step)
+        bits_of_text = np.add.reduceat(steps, ends - size)
+        x, gate = [self.first.take(step >> 1)], np.repeat(np.arange(len(size)) * GATES, bits_of_text)
+        for k, (c, table) in enumerate(zip(hashes, self.tables, strict=True)):
+            value = table.take(slots_of(c.take(at), owner, nodes, len(table).bit_length() - 1))
+            gate += (value & np.int16(1)) << np.int16(k)
+            x.append(value * np.float32(0.5 / UNIT))
+        sign = (step & 1).astype(np.float32) * np.float32(2) - np.float32(1)
+        own = slice(a * GATES, (a + len(size)) * GATES)
+        z = np.zeros(len(step), np.float32)
+        for w, xi in zip(weights, x, strict=True):
+            z += w[own].take(gate) * xi
+        e = np.exp(-np.clip(z * sign, np.float32(-30), np.float32(30)))
+        total[a : a + len(size)] += np.add.reduceat(np.log(e + np.float32(1)), np.cumsum(bits_of_text) - bits_of_text, dtype=np.float64)
+        push = sign * (e / (np.float32(1) + e))
+        for grad, xi in zip(grads, x, strict=True):
+            grad[own] += np.bincount(gate, push * xi, minlength=len(size) * GATES)
 
 
 def signed_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
-def count_parts(docs: DataFrame, text: str = "text", most: int = 300_000) -> DataFrame:
-    """Units of all rows with their counts: (unit, n). A task holds ``most`` distinct units, then passes them on; they are not
-    summed over tasks, as most units are rare and a shuffle of them costs more than what it saves.
-    """
+END_WORD = signed_hash(b"")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
 
-        def rows():
-            return pa.RecordBatch.from_pydict({"unit": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
+def portions(batches: Iterator[pa.RecordBatch], column: int = 0, rows: int = 2000, size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of batches with their texts: at most ``rows``, and about ``size`` bytes unless one text alone has more."""
+    for batch in batches:
+        texts, at = bytes_of(batch.column(column)), 0
+        while at < len(texts):
+            to, held = at, 0
+            while to < len(texts) and to - at < rows and (to == at or held + len(texts[to]) <= size):
+                held += len(texts[to])
+                to += 1
+            yield batch.slice(at, to - at), texts[at:to]
+            at = to
 
-        for batch in batches:
-            for t in bytes_of(batch.column(0)):
-                found.update(units_of(parts_of(t)))
-                if len(found) > most:
-                    yield rows()
-                    found.clear()
-        yield rows()
 
-    return cut_lineage(docs.select(text).mapInArrow(run, "unit binary, n bigint"), "parts")
+def survey(docs: DataFrame, text: str = "text", most: int = 300_000) -> DataFrame:
+    """Counts of lower-case words by 64-bit hash (the end of a text is the empty word) and of byte pairs: (pair, key, n), not yet
+    summed over tasks. A task holds ``most`` distinct words, then passes them on.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        pairs = np.zeros(1 << 16, np.int64)
 
-def learn(parts: DataFrame) -> Model:
-    """Trees and slot tables from the unit counts. 2^16 and at most ORDERS * 2^SLOT_BITS sums reach the driver."""
+        def rows(pair: bool, keys, counts):
+            return pa.RecordBatch.from_pydict({"pair": pa.array([pair] * len(keys), pa.bool_()), "key": pa.array(keys, pa.int64()), "n": pa.array(counts, pa.int64())})
 
-    def table_rows(table: np.ndarray) -> pa.RecordBatch:
-        full = np.flatnonzero(table)
-        return pa.RecordBatch.from_pydict({"slot": pa.array(full), "n": pa.array(table[full].astype(np.int64))})
+        for _, texts in portions(batches):
+            raw, first, _ = lay_out(texts)
+            pair = byte_pairs(raw)
+            inside = raw != START
+            pairs += np.bincount(pair[inside], minlength=1 << 16)
+            for t in texts:
+                found.update(t.lower().split())
+            found[b""] += len(texts)
+            if len(found) > most:
+                yield rows(False, [signed_hash(w) for w in found], list(found.values()))
+                found.clear()
+        yield rows(False, [signed_hash(w) for w in found], list(found.values()))
+        full = np.flatnonzero(pairs)
+        yield rows(True, full, pairs[full])
 
-    def pieces(batches):
-        for batch in batches:
-            for some in (batch.slice(i, 40_000) for i in range(0, batch.num_rows, 40_000)):
-                yield some.column(0).to_pylist(), some.column(1).to_numpy().astype(np.float64)
+    return cut_lineage(docs.select(text).mapInArrow(run, "pair boolean, key bigint, n bigint"), "survey")
 
-    def pairs(batches):
-        table = np.zeros(1 << 16)
-        for found, times in pieces(batches):
-            table += bigram_counts(found, times)
-        yield table_rows(table)
 
-    # A task's table is passed on whole, whatever it has read: so many units a task that the tables stay below the units in size.
-    tasks = -(-parts.count() // 4_000_000) or 1
+def word_counts(surveyed: DataFrame) -> DataFrame:
+    """Counts of words over all tasks: (word, c)."""
+    return cut_lineage(surveyed.where("NOT pair").groupBy(F.col("key").alias("word")).agg(F.sum("n").alias("c")), "words")
 
-    def gathered(fn, size: int) -> np.ndarray:
-        rows = parts.coalesce(tasks).mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-        table = np.zeros(size)
-        table[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-        return table
 
-    trees = Trees.build(gathered(pairs, 1 << 16))
-    width = 2 << SLOT_BITS
+def slot_bits(size: int) -> int:
+    """log2 of the slots a predictor for so many bytes: four times the bytes, twice the slots, from 2^LEAST_BITS to 2^MOST_BITS."""
+    return min(MOST_BITS, max(LEAST_BITS, 16 + ((size >> 20).bit_length() + 1) // 2))
 
-    def slots(batches):
-        table = np.zeros(ORDERS * width)
-        for found, times in pieces(batches):
-            by_order, bit, per_part = bit_slots(found, trees)
-            weights = np.repeat(times, per_part)
-            for k, s in enumerate(by_order):
-                table[k * width : (k + 1) * width] += np.bincount(s.astype(np.int64) * 2 + bit, weights, minlength=width)
-        yield table_rows(table)
 
-    counts = gathered(slots, ORDERS * width).reshape(ORDERS, -1, 2)
-    return Model(trees, [log_odds(c) for c in counts])
+def learn(docs: DataFrame, surveyed: DataFrame, text: str = "text") -> Model:
+    """Trees and slot tables from all texts. 2^16 sums and the finished tables reach the driver."""
+    rows = surveyed.where("pair").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    bigrams = np.zeros(1 << 16)
+    bigrams[rows["key"].to_numpy()] = rows["n"].to_numpy()
+    trees = Trees.build(bigrams)
+    size = int(bigrams.sum())
+    bits = slot_bits(size)
+    width = 2 << bits
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of (predictor, slot, bit) in blocks, in the narrowest type that holds them; all-zero blocks are left out."""
+        first, tables = np.zeros(2 << 16, np.int64), [np.zeros(width, np.int32) for _ in range(HASHED)]
 
-def word_counts(parts: DataFrame) -> DataFrame:
-    """Counts of lower-case words by 64-bit hash: (word, c); the end of a text is the empty word."""
+        def rows():
+            flat = [first[i : i + BLOCK] for i in range(0, len(first), BLOCK)] + [t[i : i + BLOCK] for t in tables for i in range(0, width, BLOCK)]
+            for some in range(0, len(flat), 64):
+                full = [(i, b) for i, b in enumerate(flat[some : some + 64], some) if b.any()]
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([i for i, _ in full], pa.int64()),
+                    "counts": pa.array([b.astype(np.min_scalar_type(int(b.max()))).tobytes() for _, b in full], pa.binary()),
+                })
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = 0
+        for _, texts in portions(batches):
+            raw, begin, _ = lay_out(texts)
+            pair, hashes = byte_pairs(raw), contexts(raw, begin)
+            inside = np.flatnonzero(raw != START)
+            for at in (inside[i : i + 50_000] for i in range(0, len(inside), 50_000)):
+                step, owner, _ = trees.paths(pair[at])
+                nodes, bit = stirred_nodes(step), step & 1
+                first += np.bincount(step, minlength=2 << 16)
+                for c, table in zip(hashes, tables, strict=True):
+                    np.add.at(table, slots_of(c[at], owner, nodes, bits) * 2 + bit, np.int32(1))
+            read += len(raw)
+            if read > 1 << 27:  # long before 32 bits are full
+                yield from rows()
+                read = 0
+                for table in (first, *tables):
+                    table.fill(0)
+        yield from rows()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            words, counts = [], []
-            for u, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                p = u[HEAD:]
-                if len(p) > 1:
-                    words.append(signed_hash(p[:-1].lower()))
-                    counts.append(n)
-                if p[-1] == END:
-                    words.append(END_WORD)
-                    counts.append(n)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.int64()), "c": pa.array(counts, pa.int64())})
-
-    return cut_lineage(parts.mapInArrow(run, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c")), "words")
-
-
-END_WORD = signed_hash(b"")
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(counts, f"u{len(counts) // BLOCK}")
+                if block in sums:
+                    sums[block] += found
+                else:
+                    sums[block] = found.astype(np.int64)
+        for block, counts in sums.items():
+            odds = log_odds(counts.reshape(-1, 2))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "odds": pa.array([odds.tobytes()], pa.binary())})
+
+    # A task's tables are passed on whole, whatever it has read: so many bytes a task that the tables stay below them in size.
+    tasks = -(-size // (8 << bits)) or 1
+    blocks = 2 + HASHED * width // BLOCK
+    counted = docs.select(text).coalesce(tasks).mapInArrow(count, "block bigint, counts binary").repartition(-(-blocks // 48), "block")
+    odds = np.zeros(blocks * BLOCK // 2, np.int16)
+    for block, found in counted.mapInArrow(merge, "block bigint, odds binary").toLocalIterator():  # 2^17 bytes a block
+        odds[block * BLOCK // 2 : (block + 1) * BLOCK // 2] = np.frombuffer(found, np.int16)
+    first = (odds[: 1 << 16] >> 1) / np.float32(UNIT)
+    return Model(trees, first.astype(np.float32), list(odds[1 << 16 :].reshape(HASHED, -1)))
 
 
 def frequent_words(words: DataFrame, head: int) -> DataFrame:
@@ -322,9 +369,10 @@ def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str =
     nothing but even chances. Rows stay one to one, repeated and null keys included. The ``head`` most frequent words are sent to
     every task and looked up there; all other words of a text are joined with the counts, so no frequent word is shuffled.
     """
-    parts = count_parts(docs.where(training), text)
-    model = learn(parts)
-    words = word_counts(parts)
+    known_docs = docs.where(training)
+    surveyed = survey(known_docs, text)
+    model = learn(known_docs, surveyed, text)
+    words = word_counts(surveyed)
     train_tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent_words(words, head).toArrow().sort_by("word")  # at most head rows
     known, counts = top["word"].to_numpy(), top["c"].to_numpy().astype(np.float64)
@@ -333,33 +381,21 @@ def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str =
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
-                documents = [parts_of(t) for t in bytes_of(batch.column(2))]
-                scores = model.score(documents)
-                tokens, near, far = [], [], []
-                hashes: dict[bytes, int] = {}
-                sums, seen = [], []
-                for parts in documents:
-                    own = []
-                    for p in parts:
-                        if len(p) > 1:
-                            h = hashes.get(p)
-                            if h is None:
-                                h = hashes[p] = signed_hash(p[:-1].lower())
-                            own.append(h)
-                    own.append(END_WORD)
-                    h = np.array(own, np.int64)
-                    tokens.append(len(h))
-                    at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-                    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-                    sums.append(float(values[at[hit]].sum()))
-                    seen.append(int(hit.sum()))
-                    far.append(h[~hit])
-                yield pa.RecordBatch.from_pydict({
-                    "row": batch.column(0), key: batch.column(1), "n_tokens": pa.array(tokens, pa.int64()), "near_known": pa.array(seen, pa.int64()),
-                    "near_score": pa.array(sums, pa.float64()), "score": pa.array(scores, pa.float64()), "far": pa.array(far, pa.list_(pa.int64())),
-                })
+        hashes = Memo(signed_hash)
+        for batch, texts in portions(batches, 2, size=4 << 20):
+            split = [t.lower().split() for t in texts]
+            sizes = np.fromiter(map(len, split), np.int64, len(split)) + 1
+            h = np.fromiter((hashes[w] for one in split for w in (*one, b"")), np.int64, int(sizes.sum()))
+            at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+            hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+            cuts = np.cumsum(sizes) - sizes
+            far = np.add.reduceat((~hit).astype(np.int64), cuts)
+            near = np.add.reduceat(np.where(hit, values[at], 0.0), cuts) if len(known) else np.zeros(len(split))
+            yield pa.RecordBatch.from_pydict({
+                "row": batch.column(0), key: batch.column(1), "n_tokens": pa.array(sizes), "near_known": pa.array(sizes - far),
+                "near_score": pa.array(near, pa.float64()), "score": pa.array(model.score(texts), pa.float64()),
+                "far": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(far)), pa.int32()), pa.array(h[~hit], pa.int64())),
+            })
 
     schema = f"row bigint, `{key}` {kind}, n_tokens bigint, near_known bigint, near_score double, score double, far array<bigint>"
     scored = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), key, text).mapInArrow(run, schema), "scored")

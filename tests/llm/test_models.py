@@ -5,7 +5,6 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import product
 
 import numpy as np
 import pytest
@@ -161,7 +160,7 @@ def test_base_score_by_hand(documents):
 @pytest.fixture(scope="module")
 def small_model(spark):
     df = spark.createDataFrame([("abab ab",), ("ba ab",), ("b",)] * 4, "text string")
-    return contextmix.learn(contextmix.count_parts(df))
+    return contextmix.learn(df, contextmix.survey(df))
 
 
 def test_probabilities_sum_to_one(small_model):
@@ -170,38 +169,38 @@ def test_probabilities_sum_to_one(small_model):
     for prev in (contextmix.START, ord("a"), ord("q")):
         pairs = prev << 8 | np.arange(256)
         assert math.isclose(sum(0.5 ** int(n) for n in trees.length[pairs]), 1.0)
-    one = [small_model.score([[bytes([b])]])[0] for b in range(256) if b not in (contextmix.START,)]
+    one = [small_model.score([bytes([b])], ended=False)[0] for b in range(256) if b not in (contextmix.START,)]
     assert 0.9 < sum(10.0**s for s in one) <= 1.0 + 1e-3
 
 
 def test_model_prefers_what_it_has_seen(small_model):
-    score = lambda t: float(small_model.score([contextmix.parts_of(t)])[0])
+    score = lambda t: float(small_model.score([t])[0])
     assert score(b"abab ab") > score(b"qzqz qz")
     assert score(b"ab ab") > score(b"ab ab ab")
-    many = [contextmix.parts_of(t) for t in (b"ab " * 900, b"", b"ba", b"xyz \n\t ab")]
+    many = [b"ab " * 900, b"", b"ba", b"xyz \n\t ab"]
     assert np.allclose(small_model.score(many), [small_model.score([m])[0] for m in many], rtol=1e-5)
-    again = small_model.score([contextmix.parts_of(b"zq " * n) for n in (8, 800)])
+    again = small_model.score([b"zq " * n for n in (8, 800)])
     assert again[1] / 800 > again[0] / 8  # weights are refined inside a document
 
 
 def test_words_are_predicted_from_the_words_before(spark):
     """Each of two words follows its own word only; a model within words cannot tell the right order from the wrong one."""
     df = spark.createDataFrame([("red apple blue river " * 5,)] * 20, "text string")
-    model = contextmix.learn(contextmix.count_parts(df))
-    right, wrong = (float(model.score([contextmix.parts_of(t)])[0]) for t in (b"red apple blue river red apple", b"red river blue apple red river"))
+    model = contextmix.learn(df, contextmix.survey(df))
+    right, wrong = (float(model.score([t])[0]) for t in (b"red apple blue river red apple", b"red river blue apple red river"))
     assert right > wrong + 3.0
 
 
-def test_weights_move_every_few_parts(small_model):
-    """A model that never moves its weights gives a repeated text the same price each time; here it falls within the first parts."""
-    cost = lambda n: -float(small_model.score([contextmix.parts_of(b"zq " * n)])[0])
+def test_weights_move_every_few_bytes(small_model):
+    """A model that never moves its weights gives a repeated text the same price each time; here it falls within the first words."""
+    cost = lambda n: -float(small_model.score([b"zq " * n])[0])
     assert contextmix.STEP <= 8
     assert cost(12) - cost(8) < cost(8) - cost(4)
 
 
 def test_scores_do_not_depend_on_how_much_is_in_memory(small_model):
-    many = [contextmix.parts_of(t) for t in (b"ab " * 900, b"", b"ba ab abab " * 40, b"xyz \n\t ab")]
-    small = contextmix.Model(small_model.trees, small_model.tables, limit=10)
+    many = [b"ab " * 900, b"", b"ba ab abab " * 40, b"xyz \n\t ab"]
+    small = contextmix.Model(small_model.trees, small_model.first, small_model.tables, limit=10)
     assert np.allclose(small.score(many), small_model.score(many), rtol=1e-5)
 
 
@@ -221,10 +220,55 @@ def test_scores_of_hard_rows(hard, empty):
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in untrained} == {(0, 0, 0.0)}
 
 
-def test_parts_make_up_the_text():
-    for parts in product(["a", " ", "\n", "é"], repeat=4):
-        raw = "".join(parts).encode()
-        assert b"".join(contextmix.parts_of(raw)) == raw + b"\xfe"
+def test_contexts_by_hand():
+    """Two places share a hash exactly when they share the three bytes, the word so far, or that and the word before in its text."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a", "b", "ab", " ", "\n", "é"]) for _ in range(rng.randint(0, 12))).encode() for _ in range(60)]
+    raw, first, lengths = contextmix.lay_out(texts)
+    got = contextmix.contexts(raw, first)
+    want = [{}, {}, {}]
+    for t, begin, n in zip(texts, first, lengths, strict=True):
+        assert raw[begin : begin + n].tobytes() == t + b"\xfe"
+        for i in range(n):
+            past = t[:i].replace(b"\n", b" ")
+            so_far = past.rsplit(b" ", 1)[-1]
+            before = past[: len(past) - len(so_far)].split()[-1:]
+            for seen, key, h in zip(want, [(b"\xff\xff\xff" + t[:i])[-3:], so_far, (so_far, *before)], got, strict=True):
+                seen.setdefault(key, set()).add(int(h[begin + i]))
+    for seen in want:
+        assert all(len(h) == 1 for h in seen.values())
+        assert len(set.union(*seen.values())) == len(seen) > 20
+
+
+def test_slot_counts_by_hand(spark):
+    """Counts of every predictor over several tasks against a plain count, byte by byte."""
+    texts = ["ab ab\nba", "", None, "ab ba", "é ab"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    model = contextmix.learn(df, contextmix.survey(df))
+    bits = contextmix.slot_bits(100)
+    counts = [Counter() for _ in range(contextmix.HASHED)]
+    nodes = Counter()
+    for t in texts:
+        raw, first, lengths = contextmix.lay_out([(t or "").encode()])
+        pair, hashes = contextmix.byte_pairs(raw), contextmix.contexts(raw, first)
+        for i in range(first[0], first[0] + lengths[0]):
+            for step in model.trees.step[model.trees.start[pair[i]] :][: model.trees.length[pair[i]]]:
+                nodes[int(step)] += 1
+                for c, h in zip(counts, hashes, strict=True):
+                    one = contextmix.stirred_nodes(np.array([step]))
+                    c[int(contextmix.slots_of(h[i : i + 1], np.array([0]), one, bits)[0]) * 2 + int(step & 1)] += 1
+    for c, table in zip(counts, model.tables, strict=True):
+        dense = np.zeros((1 << bits, 2), np.int64)
+        np.add.at(dense.reshape(-1), list(c), list(c.values()))
+        assert (contextmix.log_odds(dense) == table).all()
+    dense = np.zeros((1 << 16, 2), np.int64)
+    np.add.at(dense.reshape(-1), list(nodes), list(nodes.values()))
+    assert np.allclose(contextmix.log_odds(dense) >> 1, model.first * contextmix.UNIT)
+
+
+def test_slots_grow_with_the_corpus():
+    sizes = [contextmix.slot_bits(n) for n in (0, 1 << 27, 1 << 29, 1 << 31, 1 << 33)]
+    assert sizes == sorted(sizes) and sizes[0] == contextmix.LEAST_BITS < sizes[2] < sizes[4]
 
 
 def test_frequent_words_are_the_most_frequent(spark):
