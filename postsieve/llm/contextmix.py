@@ -58,8 +58,23 @@ def stirred(h: np.ndarray, factor: int) -> np.ndarray:
     return h ^ (h >> np.uint32(13))
 
 
-def contexts(raw: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Hash of the hashed contexts at every place, one array per predictor. A text's first word has no word before it."""
+def contexts(raw: np.ndarray, first: np.ndarray, about: int = 1 << 18) -> list[np.ndarray]:
+    """Hash of the hashed contexts at every place, one array per predictor. A text's first word has no word before it.
+
+    Worked out for some texts of ``about`` as many bytes at a time, as it takes some hundred bytes a byte.
+    """
+    out = [np.empty(len(raw), np.uint32) for _ in range(HASHED)]
+    begin = first - 3
+    number = begin // about  # texts that begin in one stretch go together
+    cuts = np.append(begin[np.flatnonzero(np.diff(number, prepend=-1))], len(raw))
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        some = first[np.searchsorted(first, lo) : np.searchsorted(first, hi)] - lo
+        for whole, piece in zip(out, contexts_of_some(raw[lo:hi], some), strict=True):
+            whole[lo:hi] = piece
+    return out
+
+
+def contexts_of_some(raw: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     b = raw.astype(np.uint32)
     near = np.zeros(len(b), np.uint32)
     near[3:] = (b[:-3] << np.uint32(16)) | (b[1:-2] << np.uint32(8)) | b[2:-1]
@@ -172,7 +187,7 @@ class Model:
     tables: list[np.ndarray]  # log_odds by slot, one array per hashed context
     rate: float = 0.1
     start_weights: tuple[float, ...] = (0.0, 0.4, 0.35, 0.35)  # per predictor, before a document refines them
-    limit: int = 1 << 17  # bytes of one step that are in memory at once
+    limit: int = 1 << 15  # bytes of one step that are in memory at once
 
     def score(self, texts: list[bytes], ended: bool = True) -> np.ndarray:
         """log10 probability of each text, with its end or, if not ``ended``, as a beginning. No text's score depends on the others."""
