@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -80,23 +81,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # Windows of the field.
 _NUMBERS = re.compile(r"[+(]?[0-9](?:[\x20().+-]{0,3}[0-9]){6,}")
-_SPELLED = re.compile(r"[\x20(\[](?:at|AT|dot|DOT)[\x20)\]]")
+_SPELLED = re.compile(r"[\x20(\[](?:at|dot)[\x20)\]]", re.IGNORECASE)
+_DOTTED = re.compile(r"\x20?[A-Za-z0-9-]{1,63}\.[A-Za-z0-9]")
 _WORD = re.compile(r"[A-Za-z0-9_%+.-]")
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|\x20|.", re.DOTALL)
 REACH = 48
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches worth a look, in order, not overlapping: many digits in a row, an "@", or "at" before "dot" spelled out."""
+    """Stretches worth a look, in order, not overlapping: many digits in a row, an "@", "at" before "dot" spelled out, or "at" in
+    brackets before a domain. A bare "at" before a domain opens none, as it is mostly prose ("look at example.com").
+    """
     found = [m.span() for m in _NUMBERS.finditer(text)]
     at = text.find("@")
     while at >= 0:
         found.append((max(0, at - REACH), min(len(text), at + REACH)))
         at = text.find("@", at + REACH)
-    spelled = [m.span() for m in _SPELLED.finditer(text)] if "dot" in text or "DOT" in text else []
-    for (a, b), (c, d) in zip(spelled, spelled[1:], strict=False):
-        if text[a + 1 : b - 1].lower() == "at" and text[c + 1 : d - 1].lower() == "dot" and c - b < REACH:
+    lower = text.lower()
+    spelled = [m.span() for m in _SPELLED.finditer(text)] if "dot" in lower or "[at]" in lower or "(at)" in lower else []
+    for (a, b), (c, d) in pairwise([*spelled, (len(text), len(text))]):
+        if text[a + 1 : b - 1].lower() != "at":
+            continue
+        if text[c + 1 : d - 1].lower() == "dot" and c - b < REACH:
             found.append((max(0, a - REACH), min(len(text), d + REACH)))
+        elif text[a] in "[(" and (domain := _DOTTED.match(text, b)):
+            found.append((max(0, a - REACH), min(len(text), domain.end() + REACH)))
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:

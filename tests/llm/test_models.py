@@ -75,7 +75,9 @@ def test_field_adds_what_patterns_miss(field):
     assert added(f"call +1 (269) 555-3296 {card} now") == [("phone", "+1 (269) 555-3296")] or ("card", card) in added(f"call +1 (269) 555-3296 {card} now")
     assert ("phone", "(743) 555-3824") in added("call (743) 555-3824 now")
     assert added("write to joe [at] example [dot] org today") == [("email", "joe [at] example [dot] org")]
-    for clean in ("on 2024-01-02 03:04:05", "card 4111111111111112 fails", 'n = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "meet me at noon", "1 2 3"):
+    for spelled in ("joe [at] example.com", "joe(at)example.com", "Joe At example Dot com", "joe [At] example [DOT] org"):
+        assert added(f"write to {spelled} today") == [("email", spelled)]
+    for clean in ("look at example.com now", "meet [at] noon. Bring it", "on 2024-01-02 03:04:05", "card 4111111111111112 fails", 'n = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "meet me at noon", "1 2 3"):
         assert added(clean) == [], clean
 
 
