@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,19 @@ ROWS_PER_FILE = 250_000
 # Structure of MS949 (CP949) text, seen byte by byte: ASCII, or a lead byte with its trail byte.
 CP949_CHAR = r"[\x00-\x7f]+|[\x81-\xc6][\x41-\x5a\x61-\x7a\x81-\xfe]|[\xc7-\xfe][\xa1-\xfe]"
 
+@contextmanager
+def java_charsets(spark: SparkSession, *more: str) -> Iterator[None]:
+    """Opens the session to Korean charsets, which it may refuse. Columns built inside keep the setting, a writer needs it while it runs."""
+    names = ["spark.sql.legacy.javaCharsets", *more]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "true")
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
 
 def lines_are_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Per file: can each of its lines be read by itself? A line break inside quotes leaves a line with an odd number of them.
@@ -73,9 +89,13 @@ def scan_csv_encodings(
     Quotes, commas and line ends are the same bytes in all of them. So files are read once, a character per byte, and stored; what
     their rows hold tells the encoding of a file, which joins its rows and decodes them. A file of very many rows is split over tasks.
     """
+    names = [f.name for f in spark.createDataFrame([], schema).schema if isinstance(f.dataType, T.StringType)]
+    if first_choice == "MS949":  # a reader would need the setting whenever its frame is run
+        read = scan_posts_csv(spark, path, schema, "ISO-8859-1", placed)
+        with java_charsets(spark, "spark.sql.legacy.codingErrorAction"):  # wrong bytes become U+FFFD, as a reader has it
+            return read.withColumns({c: F.decode(F.encode(F.col(c), "ISO-8859-1"), "MS949") for c in names})
     if first_choice:
         return scan_posts_csv(spark, path, schema, first_choice, placed)
-    names = [f.name for f in spark.createDataFrame([], schema).schema if isinstance(f.dataType, T.StringType)]
     read = scan_posts_csv(spark, path, schema, "ISO-8859-1", placed=True)
     rows = cut_lineage(read, "bytes")
     told = cut_lineage(file_encodings(rows, names), "encodings")
@@ -87,8 +107,9 @@ def scan_csv_encodings(
         other = F.when(F.col("_encoding") == "MS949", F.decode(data, "MS949")).otherwise(F.col(name))
         return F.when(F.col("_encoding") == "UTF-8", F.decode(data, "UTF-8")).otherwise(other).alias(name)
 
-    columns = [decoded(c) if c in names else F.col(c) for c in read.columns if placed or c not in PLACE]
-    return met.select(*columns)
+    with java_charsets(spark):
+        columns = [decoded(c) if c in names else F.col(c) for c in read.columns if placed or c not in PLACE]
+        return met.select(*columns)
 
 
 def scan_in_order(spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV) -> DataFrame:
@@ -103,6 +124,7 @@ def sink_posts_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     flat = serialize_lists(df, lists).withColumns(nested)
     if encoding == "UTF-8":  # the mark is the first character of the header, hence of each file
         flat = flat.withColumnRenamed(flat.columns[0], "\ufeff" + flat.columns[0])
-    flat.write.mode("overwrite").options(**OPTIONS).options(
-        encoding=encoding, emptyValue="", maxRecordsPerFile=str(ROWS_PER_FILE)
-    ).csv(path)
+    with java_charsets(df.sparkSession):
+        flat.write.mode("overwrite").options(**OPTIONS).options(
+            encoding=encoding, emptyValue="", maxRecordsPerFile=str(ROWS_PER_FILE)
+        ).csv(path)

@@ -120,3 +120,21 @@ def test_split_files_keep_their_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", was)
     assert [(r["ingest_seq"], r["content"]) for r in rows] == [(i, f"text {i}") for i in range(4000)]
+
+
+def test_korean_csv_in_a_session_of_few_charsets(spark, tmp_path):
+    """Korean files are written, told and read where the session does not open Spark to the charsets of Java."""
+    name = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        rows = spark.createDataFrame([("1", "서울 맛집"), ("2", '여수, "식당"')], "post_id string, content string")
+        csvfiles.sink_posts_csv(rows, str(tmp_path / "korean"), "MS949")
+        (tmp_path / "broken.csv").write_bytes("post_id,content\n3,서울".encode("cp949") + b"\x80!\n")
+        told = csvfiles.scan_csv_encodings(spark, str(tmp_path / "korean"), "post_id string, content string")
+        forced = csvfiles.scan_csv_encodings(spark, str(tmp_path / "*"), "post_id string, content string", first_choice="MS949")
+        assert spark.conf.get(name) == "false"
+        assert sorted(map(tuple, told.collect())) == [("1", "서울 맛집"), ("2", '여수, "식당"')]
+        assert sorted(map(tuple, forced.collect())) == [("1", "서울 맛집"), ("2", '여수, "식당"'), ("3", "서울�!")]
+    finally:
+        spark.conf.set(name, before)
