@@ -138,3 +138,12 @@ def test_merge_near_brute_force(spark):
                 met.add(o)
                 todo.append(o)
         assert got[p] == min(met)
+
+
+def test_pieces_are_never_broadcast(spark):
+    """A short list of places has many pieces, so the join by pieces must not go through the driver."""
+    queries = spark.createDataFrame([("여수", "a", 34.7, 127.7)], "query_name string, road_address string, lat double, lng double")
+    places = spark.createDataFrame([("여수식당", 34.7, 127.7), (None, 34.7, 127.7)], "place_name string, lat double, lng double")
+    found = pl.places_within_radius(queries, places)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r["place_name"], r["name_hit"]) for r in found.collect()] == [("여수식당", True)]
