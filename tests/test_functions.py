@@ -168,3 +168,14 @@ def test_answers(spark):
 def test_prompt_cuts_the_post_only(value):
     out = value(answers.build_prompt(X, "<{content}>", 5), x="123456789")
     assert out == "<12345>"
+
+
+def test_emoji_pattern_dismisses_plain_text_by_one_test(spark):
+    """The long list of emoji is only tried where a character can be one; all of them still go."""
+    import re
+
+    kept = "\xa8가힣az09#*"
+    emoji = "".join(chr(c) for c in (0xA9, 0xAE, 0x203C, 0x3299, 0x1F004, 0x1FAFF)) + "1️⃣#⃣"
+    df = spark.createDataFrame([(kept + emoji + kept,)], "x string").select(text.remove_emoji(F.col("x")).alias("y"))
+    assert df.first()["y"] == kept + kept
+    assert re.search(r"\(\?=\[\^.*가-힣|\(\?=\[\^\\x00", df._jdf.queryExecution().analyzed().toString())
