@@ -170,6 +170,30 @@ def test_prompt_cuts_the_post_only(value):
     assert out == "<12345>"
 
 
+def test_terms_of_texts_with_ever_new_words():
+    """Terms are found inside words only, in texts of any length, and nothing is kept of the words met."""
+    import pickle
+    import random
+
+    from postsieve.operators import termvectors as tv
+
+    rng = random.Random(3)
+    draw = lambda: "".join(rng.choice("ab가\U0001f600") for _ in range(rng.randint(1, 7)))
+    texts = [" ".join(draw() for _ in range(60)) for _ in range(40)] + ["", "  ", "a", " aa  b ", None]
+    grams = lambda t: [p[i : i + n] for w in (t or "").split(" ") if w for p in [f" {w} "] for n in (3, 4, 5) for i in range(len(p) - n + 1)]
+    terms = sorted({g for t in texts for g in grams(t)})[::2] + ["a b", "zz"]
+    tree = tv.TermTree(terms, (3, 4, 5))
+    size = len(pickle.dumps(tree))
+    at = {t: i for i, t in enumerate(terms)}
+    tv.CHUNK, before = 7, tv.CHUNK
+    try:
+        for t in texts:
+            assert sorted(tree.of(t).tolist()) == sorted(at[g] for g in grams(t) if g in at)
+    finally:
+        tv.CHUNK = before
+    assert len(pickle.dumps(tree)) == size
+
+
 def test_emoji_pattern_dismisses_plain_text_by_one_test(spark):
     """The long list of emoji is only tried where a character can be one; all of them still go."""
     import re
