@@ -1,7 +1,14 @@
+import numpy as np
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from postsieve.operators import sparsetrees
 from postsieve.operators.qcmodel import QcConfig
+from postsieve.operators.sparsetrees import SparseTrees
 from postsieve.plans import jobs
 from postsieve.sources import store
 
@@ -32,3 +39,60 @@ def test_train_and_check(spark, posts, tmp_path):
 def test_one_class_is_refused(spark, posts, tmp_path):
     with pytest.raises(ValueError, match="two classes"):
         jobs.qc_train(spark, posts.where("is_ad = 1"), "ingest_seq", str(tmp_path), CFG)
+
+
+def made_rows(spark, n=400):
+    draw = np.random.default_rng(3)
+    rows = []
+    for i in range(n):
+        at = np.sort(draw.choice(40, 12, replace=False))
+        value = draw.integers(-3, 6, 12).astype(float)
+        seen = dict(zip(at.tolist(), value.tolist(), strict=True))
+        y = float(seen.get(3, 0) + seen.get(7, 0) - seen.get(11, 0) + draw.normal() > 1)
+        rows.append((i, y, 1.0 + i % 3, Vectors.sparse(40, at.tolist(), value.tolist())))
+    return spark.createDataFrame(rows, ["id", "y", "weight", "features"]).repartition(3).localCheckpoint()
+
+
+@pytest.mark.parametrize("block,portion", [(1 << 20, 4 << 20), (50, 64)])
+def test_sparse_tree_is_that_of_spark(spark, monkeypatch, block, portion):
+    """Few distinct values: both cut between all of them, so a single tree on all rows and features is the same.
+
+    It is held against a regression on the labels, since Spark merges leaves of a class vote and so loses shares.
+    """
+    monkeypatch.setattr(sparsetrees, "CELLS", portion)
+    monkeypatch.setattr(sparsetrees, "ENTRIES", block)
+    monkeypatch.setattr(sparsetrees, "RANGE", 7)
+    rows = made_rows(spark)
+    settings = {"labelCol": "y", "featuresCol": "features", "weightCol": "weight", "seed": 1, "maxDepth": 4, "minInstancesPerNode": 5}
+    mine = SparseTrees(boosted=False, numTrees=1, **settings).fit(rows).transform(rows)
+    theirs = DecisionTreeRegressor(**settings).fit(rows).transform(rows)
+    a = {r["id"]: r["probability"] for r in mine.collect()}
+    b = {r["id"]: r["prediction"] for r in theirs.collect()}
+    assert a == pytest.approx(b) and len(set(a.values())) > 8
+
+
+def test_sparse_trees_boosted_saved_and_loaded(spark, tmp_path):
+    rows = made_rows(spark)
+    settings = {"labelCol": "y", "featuresCol": "features", "seed": 1, "maxDepth": 3}
+    model = Pipeline(stages=[SparseTrees(boosted=True, numTrees=4, **settings)]).fit(rows)
+    spark_model = GBTClassifier(maxIter=4, stepSize=0.1, **settings).fit(rows)
+    mine = {r["id"]: r["probability"] for r in model.transform(rows).collect()}
+    theirs = {r["id"]: r["probability"][1] for r in spark_model.transform(rows).collect()}
+    assert mine == pytest.approx(theirs)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(rows)
+    assert {r["id"]: r["probability"] for r in again.collect()} == mine
+
+
+def test_sparse_trees_keep_only_entries(spark):
+    """Blocks of rows with few of very many features stay small: a dense row of bins would have 200,000 bytes at least."""
+    rows = spark.range(200).selectExpr("cast(id % 2 as double) label", "1.0d weight", "array(cast(id * 900 as int)) indices", "array(double(1)) values")
+    bins = sparsetrees.cut_bins(rows, 200, 200_000, 32, 1)
+    blocks = sparsetrees.binned(rows, bins).selectExpr("length(label) / 8 n", "length(present) + length(starts) + length(rows) + length(bins) size").collect()
+    assert sum(r["n"] for r in blocks) == 200 and sum(r["size"] for r in blocks) < 200 * 20
+
+
+def test_sparse_trees_refuse_other_labels(spark):
+    rows = made_rows(spark, 30).withColumn("y", F.col("y") + 1)
+    with pytest.raises(ValueError, match="labels 0 and 1"):
+        SparseTrees("y", "features", 1, False, 2, 2).fit(rows)
