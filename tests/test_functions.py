@@ -203,3 +203,15 @@ def test_emoji_pattern_dismisses_plain_text_by_one_test(spark):
     df = spark.createDataFrame([(kept + emoji + kept,)], "x string").select(text.remove_emoji(F.col("x")).alias("y"))
     assert df.first()["y"] == kept + kept
     assert re.search(r"\(\?=\[\^.*가-힣|\(\?=\[\^\\x00", df._jdf.queryExecution().analyzed().toString())
+
+
+def test_words_to_mask_are_found_like_by_a_plain_alternation(spark):
+    from postsieve.operators import features
+
+    found = features._first_of(["유료광고", "광고", r"https?://\S+", "smart", "gifted", "DM", "AD"])
+    head = found[: found.index("(?iu:")]
+    assert "(?" not in head[1:] and "유" not in head and len(head) < 60  # a plain test of few ranges, on each character
+    words = ["유료광고 광고", "광 고", "GIFTED gifted", "ſmart SMART", "dm Dm aD", "HTTPS://x.y z", "xad", "각유", "", "일광고하", "İADı"]
+    plain = "(?iu)(?:" + found[found.index("(?iu:") + 5 :]
+    rows = spark.createDataFrame([(w,) for w in words], "x string").selectExpr("x", f"regexp_replace(x, r'{found}', '_') a", f"regexp_replace(x, r'{plain}', '_') b")
+    assert all(r["a"] == r["b"] for r in rows.collect()) and sum("_" in r["a"] for r in rows.collect()) == 8
