@@ -96,3 +96,11 @@ def test_sparse_trees_refuse_other_labels(spark):
     rows = made_rows(spark, 30).withColumn("y", F.col("y") + 1)
     with pytest.raises(ValueError, match="labels 0 and 1"):
         SparseTrees("y", "features", 1, False, 2, 2).fit(rows)
+
+
+def test_shares_of_a_forest_stay_between_0_and_1(spark):
+    """Sums of uneven weights are rounded: the right side is what the left leaves of its node."""
+    rows = made_rows(spark).withColumn("weight", 0.1 + F.col("id") % 7 / 3)
+    model = SparseTrees("y", "features", 5, False, 12, 6, weightCol="weight").fit(rows)
+    values = [v for t in model.trees for v in t.value.values()]
+    assert len(values) > 300 and min(values) >= 0 and max(values) <= 1
