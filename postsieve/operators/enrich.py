@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postsieve.functions import coerce, text
@@ -11,6 +12,7 @@ from postsieve.operators.dedupe import SEQ, dedupe_keep_last
 from postsieve.operators.ingest import drop_blank_content
 from postsieve.operators.skew import hot_keys, skew_join
 from postsieve.schemas import EXTRACT_FAILURES, dtype_of
+from postsieve.session import cut_lineage
 
 
 def content_hash(post_id: Column, content: Column) -> Column:
@@ -40,16 +42,32 @@ def hot_post_keys(posts: DataFrame) -> DataFrame:
     return hot_keys(with_id.select(F.concat(F.lit("id:"), text.strip(F.col("post_id"))).alias("key")), ["key"])
 
 
+def text_key(content: Column) -> Column:
+    """What stands for a text where only equality counts: its SHA-256, so that texts need not be moved to be compared."""
+    return F.sha2(content, 256)
+
+
 def pending_posts(
     posts: DataFrame, extracted: DataFrame, failures: DataFrame, retry_failed: bool = False
 ) -> DataFrame:
-    """Latest row per text that has neither a result nor, unless retried, a recorded failure."""
-    unique = with_key(dedupe_keep_last(drop_blank_content(posts), ["content"]))
-    hot = hot_post_keys(posts)
-    todo = skew_join(unique, seen_keys(extracted), ["key"], "left_anti", [SEQ], hot=hot)
-    if retry_failed:
-        return todo
-    return skew_join(todo, failures.select("key").distinct(), ["key"], "left_anti", [SEQ], hot=hot)
+    """Latest row per text that has neither a result nor, unless retried, a recorded failure.
+
+    Which rows these are is found from keys and hashes of texts alone, and written. Only then do the rows come in, with one shuffle of texts at most: few
+    pending rows are broadcast by the size of their table.
+    """
+    keyed = with_key(drop_blank_content(posts)).withColumn("_text", text_key(F.col("content")))
+    latest = keyed.groupBy("_text").agg(F.max(F.struct(SEQ, "key")).alias("_last")).select("_text", "_last.*")
+    done = seen_keys(extracted)
+    if not retry_failed:
+        done = done.unionByName(failures.select("key")).distinct()
+    todo = skew_join(latest, done, ["key"], "left_anti", [SEQ], hot=hot_post_keys(posts))
+    number = F.coalesce(F.col(SEQ).cast("string"), F.lit(""))  # plain equality, so that the rank below needs no second shuffle
+    mine = ["_text", "_number", "key"]
+    todo = cut_lineage(todo.withColumn("_number", number).select(*mine), "todo")
+    rows = keyed.withColumn("_number", number).join(todo, mine)
+    one = W.partitionBy(*mine).orderBy(SEQ)  # rows may be repeated whole
+    found = rows.withColumn("_rank", F.row_number().over(one)).where("_rank = 1")
+    return found.select(*posts.columns, "key", "content_hash")
 
 
 def join_llm_response(pending: DataFrame, responses: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -99,8 +117,8 @@ def extracted_rows(accepted: DataFrame) -> DataFrame:
 def merge_extracted(old: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Previous and new results, the latest per text. New rows win over old ones of the same text."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new_rows.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    ranked = both.withColumn("_order", F.struct("_new", SEQ))
-    return dedupe_keep_last(ranked, ["content"], "_order").drop("_new", "_order")
+    ranked = both.withColumns({"_order": F.struct("_new", SEQ), "_text": text_key(F.col("content"))})
+    return dedupe_keep_last(ranked, ["_text"], "_order").drop("_new", "_order", "_text")
 
 
 def merge_fail_log(old: DataFrame, answered: DataFrame, now: Column) -> DataFrame:
