@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postsieve.catalog.base import POSTS, query
+from postsieve.catalog.base import POSTS, query, raw_form
 from postsieve.catalog.columns import JUDGED_SQL
 from postsieve.operators import enrich
 from postsieve.operators.dedupe import dedupe_keep_last
@@ -39,24 +39,24 @@ def state(t):
 
 
 def responses(t):
-    keyed = enrich.with_key(t.posts).select("key", "response", "ingest_seq")
+    keyed = enrich.with_key(t.posts_unmoved).select("key", "response", "ingest_seq")
     return dedupe_keep_last(keyed, ["key"]).select("key", "response")
 
 
 def judged(t, retry=False):
     done, failed = state(t)
-    pending = enrich.pending_posts(t.posts, done, failed, retry)
-    return failed, enrich.with_place(enrich.join_llm_response(pending, responses(t), enrich.hot_post_keys(t.posts)))
+    pending = enrich.pending_posts(t.posts_unmoved, done, failed, retry)
+    return failed, enrich.with_place(enrich.join_llm_response(pending, responses(t), enrich.hot_post_keys(t.posts_unmoved)))
 
 
 @query("anti_processed", "SELECT ingest_seq, key FROM pending", POSTS, JUDGED_SQL, KEYED_SQL, STATE_SQL, PENDING_SQL)
 def anti_processed(t):
-    return enrich.pending_posts(t.posts, *state(t)).select("ingest_seq", "key")
+    return enrich.pending_posts(t.posts_unmoved, *state(t)).select("ingest_seq", "key")
 
 
 @query("anti_processed_retry", "SELECT ingest_seq, key FROM pending", POSTS, JUDGED_SQL, KEYED_SQL, STATE_SQL, RETRY_SQL)
 def anti_processed_retry(t):
-    return enrich.pending_posts(t.posts, *state(t), retry_failed=True).select("ingest_seq", "key")
+    return enrich.pending_posts(t.posts_unmoved, *state(t), retry_failed=True).select("ingest_seq", "key")
 
 
 @query(
@@ -128,7 +128,7 @@ def enrich_posts(t):
     """The whole job from empty state, run twice: the second run finds nothing to do."""
     root = scratch_path(t.spark, "enrich")
     for _ in range(2):
-        jobs.enrich_posts(t.spark, t.posts_raw, responses(t), f"{root}/extracted", f"{root}/failures")
+        jobs.enrich_posts(t.spark, raw_form(t.posts_unmoved), responses(t), f"{root}/extracted", f"{root}/failures")
     extracted = store.read_table(t.spark, f"{root}/extracted").agg(F.count(F.lit(1)).alias("extracted"))
     failed = store.read_table(t.spark, f"{root}/failures").agg(F.count(F.lit(1)).alias("failed"))
     return extracted.select("extracted", failed.scalar().alias("failed"))
