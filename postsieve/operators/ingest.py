@@ -25,8 +25,10 @@ def clean_posts(df: DataFrame) -> DataFrame:
     if "hrefs" in df.columns and "username" not in df.columns:
         df = df.withColumn("username", text.first_handle(F.col("hrefs")))
     author = F.col("username") if "username" in df.columns else F.lit("")
-    body = text.strip_relative_time(text.strip_username(F.col("content"), author))
-    out = df.withColumn("content", text.normalize_nfc(body))
+    # One step each: a step names its text several times, and in one expression the steps before would be worked out as often.
+    for step in (lambda c: text.strip_username(c, author), text.strip_relative_time, text.normalize_nfc):
+        df = df.withColumn("content", step(F.col("content")))
+    out = df
     if "hashtags" not in out.columns:
         out = out.withColumn("hashtags", text.hashtags_strict(F.col("content")))
     if "comments" in out.columns and dtype_of(out, "comments") == "array<string>":  # JSON keeps the parts apart, and no mark joins a quote
