@@ -14,21 +14,21 @@ tables (6 bytes a slot) and the most frequent words.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import Memo, bytes_of
+from postsieve.llm.common import bytes_of
 from postsieve.session import cut_lineage
 
 END, START = 0xFE, 0xFF  # bytes that UTF-8 never uses
-BLANK = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20, END, START])  # bytes behind which a word begins
+SPACE = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20])
+BLANK = SPACE | np.isin(np.arange(256), [END, START])  # bytes behind which a word begins
 LEAST_BITS, MOST_BITS = 20, 24
 HASHED = 3  # predictors with slots, beside the previous byte
 GATES = 1 << HASHED
@@ -36,6 +36,7 @@ UNIT = 1024.0
 SURE = 8  # counts from which a context is trusted
 STEP = 8  # bytes after which a document's weights move; later steps are a part of what was read
 LATER = 16
+LANES = 4  # sums that neighbouring steps go to in turn, as one sum after the other would wait for each
 BLOCK = 1 << 16  # counts that are summed together
 
 
@@ -122,14 +123,24 @@ class Trees:
                 path_steps.extend(prev << 9 | n for n in path)
         return cls(start, length, np.array(path_steps, np.int64))
 
+    @cached_property
+    def nodes(self) -> np.ndarray:
+        """``stirred_nodes`` of every step."""
+        return stirred_nodes(self.step)
+
+    @cached_property
+    def sign(self) -> np.ndarray:
+        """1 for a step to a one, -1 for a step to a zero."""
+        return (self.step & 1).astype(np.float32) * np.float32(2) - np.float32(1)
+
     def paths(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Steps (node * 2 + bit) of all these bytes, the byte that each belongs to, and the number of steps of each byte."""
+        """Places in ``step`` of the steps of all these bytes, the byte that each belongs to, and the number of steps of each byte."""
         size = self.length.take(pairs)
         ends = np.cumsum(size)
         owner = owners(ends)
         at = (self.start.take(pairs) - (ends - size)).take(owner)
         at += np.arange(len(owner))
-        return self.step.take(at), owner, size
+        return at, owner, size
 
 
 def owners(ends: np.ndarray) -> np.ndarray:
@@ -173,6 +184,22 @@ def slots_of(context: np.ndarray, owner: np.ndarray, nodes: np.ndarray, bits: in
     return h.astype(np.int64)
 
 
+def summed(place: np.ndarray, values: np.ndarray, many: int) -> np.ndarray:
+    """Sums of the values by place, each a number from 0 to ``many`` - 1 in each of the LANES that ``lanes`` adds."""
+    out = np.zeros(LANES * many)
+    np.add.at(out, place, values.astype(np.float64))
+    return out.reshape(LANES, many).sum(axis=0)
+
+
+def lanes(place: np.ndarray, many: int) -> np.ndarray:
+    """Places for ``summed``, neighbours in different lanes."""
+    lane = np.arange(len(place))
+    lane &= LANES - 1
+    lane *= many
+    lane += place
+    return lane
+
+
 def log_odds(counts: np.ndarray) -> np.ndarray:
     """Slot table: log odds of a one in halves of 1 / UNIT; odd where the context was seen often."""
     zero, one = counts[..., 0], counts[..., 1]
@@ -187,7 +214,11 @@ class Model:
     tables: list[np.ndarray]  # log_odds by slot, one array per hashed context
     rate: float = 0.1
     start_weights: tuple[float, ...] = (0.0, 0.4, 0.35, 0.35)  # per predictor, before a document refines them
-    limit: int = 1 << 15  # bytes of one step that are in memory at once
+    limit: int = 1 << 14  # bytes of one step that are in memory at once
+
+    @cached_property
+    def first_of_steps(self) -> np.ndarray:
+        return self.first.take(self.trees.step >> 1)
 
     def score(self, texts: list[bytes], ended: bool = True) -> np.ndarray:
         """log10 probability of each text, with its end or, if not ``ended``, as a beginning. No text's score depends on the others."""
@@ -219,31 +250,88 @@ class Model:
         ends = np.cumsum(size)
         text = owners(ends)
         at = (start - (ends - size))[text] + np.arange(len(text))
-        step, owner, steps = self.trees.paths(pair.take(at))
-        nodes = stirred_nodes(step)
+        path, owner, steps = self.trees.paths(pair.take(at))
+        nodes = self.trees.nodes.take(path)
         bits_of_text = np.add.reduceat(steps, ends - size)
-        x, gate = [self.first.take(step >> 1)], np.repeat(np.arange(len(size)) * GATES, bits_of_text)
+        x, seen = [self.first_of_steps.take(path)], np.zeros(len(path), np.int16)
         for k, (c, table) in enumerate(zip(hashes, self.tables, strict=True)):
             value = table.take(slots_of(c.take(at), owner, nodes, len(table).bit_length() - 1))
-            gate += (value & np.int16(1)) << np.int16(k)
+            seen |= (value & np.int16(1)) << np.int16(k)
             x.append(value * np.float32(0.5 / UNIT))
-        sign = (step & 1).astype(np.float32) * np.float32(2) - np.float32(1)
+        gate = np.repeat(np.arange(len(size)) * GATES, bits_of_text)
+        gate += seen
+        sign = self.trees.sign.take(path)
         own = slice(a * GATES, (a + len(size)) * GATES)
-        z = np.zeros(len(step), np.float32)
+        z = np.zeros(len(path), np.float32)
         for w, xi in zip(weights, x, strict=True):
             z += w[own].take(gate) * xi
         e = np.exp(-np.clip(z * sign, np.float32(-30), np.float32(30)))
-        total[a : a + len(size)] += np.add.reduceat(np.log(e + np.float32(1)), np.cumsum(bits_of_text) - bits_of_text, dtype=np.float64)
-        push = sign * (e / (np.float32(1) + e))
+        more = e + np.float32(1)
+        total[a : a + len(size)] += np.add.reduceat(np.log(more), np.cumsum(bits_of_text) - bits_of_text, dtype=np.float64)
+        push = sign * (e / more)
+        place = lanes(gate, len(size) * GATES)
         for grad, xi in zip(grads, x, strict=True):
-            grad[own] += np.bincount(gate, push * xi, minlength=len(size) * GATES)
+            grad[own] += summed(place, push * xi, len(size) * GATES)
+
 
+LETTER = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 256)  # numbers of bytes in hashes of words
+LETTER[ord("A") : ord("Z") + 1] = LETTER[ord("a") : ord("z") + 1]
+POWER = np.int64(0x5851F42D4C957F2D)
+END_WORD = 0
 
-def signed_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
+def words_of(texts: list[bytes], about: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, in lower case, END_WORD after each text; their number per text.
 
-END_WORD = signed_hash(b"")
+    A hash is the sum of the numbers of a word's bytes times powers, wrapped, and so not of its place. Texts of ``about`` as many bytes
+    are worked out at a time, as that takes some ten numbers a byte.
+    """
+    hashes, sizes, at = [], [], 0
+    while at < len(texts):
+        to, held = at, 0
+        while to < len(texts) and (to == at or held + len(texts[to]) <= about):
+            held += len(texts[to]) + 1
+            to += 1
+        raw = np.frombuffer(b" ".join(texts[at:to]) + b" ", np.uint8)
+        ends = np.flatnonzero(SPACE[raw])
+        size = np.diff(ends, prepend=-1)
+        power = np.full(int(size.max()), POWER)
+        power[0] = 1
+        np.multiply.accumulate(power, out=power)
+        place = np.arange(len(raw))
+        place -= np.repeat(ends - size + 1, size)
+        sums = LETTER.take(raw)
+        sums *= power.take(place)
+        sums[ends] = 0
+        np.cumsum(sums, out=sums)
+        word = np.diff(sums.take(ends), prepend=0)
+        word ^= (size - 1) * np.int64(0x27D4EB2F165667C5)
+        last = np.zeros(len(ends), bool)
+        last[np.searchsorted(ends, np.cumsum([len(t) + 1 for t in texts[at:to]]) - 1)] = True
+        # A blank stands for the word before it, if there is one; that behind a text stands for the text's end, too.
+        there = np.repeat(size > 1, 1 + last)
+        out = np.repeat(word, 1 + last)
+        own = np.cumsum(1 + last)[last] - 1
+        there[own], out[own] = True, END_WORD
+        hashes.append(out[there])
+        sizes.append(np.diff(np.cumsum(there)[own], prepend=0))
+        at = to
+    return (np.concatenate(hashes), np.concatenate(sizes)) if texts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+class Finder:
+    """``np.searchsorted`` in ascending hashes: a table of their first bits tells where to begin, the rest takes a few steps."""
+
+    def __init__(self, known: np.ndarray, bits: int = 18):
+        self.known = np.append(known, np.iinfo(np.int64).max)
+        self.shift, self.half = 64 - bits, 1 << (bits - 1)
+        self.start = np.searchsorted(known >> self.shift, np.arange(-self.half, self.half + 1)).astype(np.int32)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        at = self.start.take((h >> self.shift) + self.half)
+        for _ in range(int(np.diff(self.start).max())):
+            at += self.known.take(at) < h
+        return at
 
 
 def portions(batches: Iterator[pa.RecordBatch], column: int = 0, rows: int = 2000, size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -259,32 +347,48 @@ def portions(batches: Iterator[pa.RecordBatch], column: int = 0, rows: int = 200
             at = to
 
 
-def survey(docs: DataFrame, text: str = "text", most: int = 300_000) -> DataFrame:
-    """Counts of lower-case words by 64-bit hash (the end of a text is the empty word) and of byte pairs: (pair, key, n), not yet
-    summed over tasks. A task holds ``most`` distinct words, then passes them on.
+def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key)
+    key = key[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return key[begin], np.add.reduceat(n[order], begin) if len(key) else n
+
+
+def survey(docs: DataFrame, text: str = "text", most: int = 1_000_000) -> DataFrame:
+    """Counts of lower-case words by 64-bit hash (the end of a text is END_WORD) and of byte pairs: (pair, key, n), not yet
+    summed over tasks. A task holds ``most`` distinct words and as many counts again, then passes them on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        keys, counts, held, fixed = [], [], 0, 0
         pairs = np.zeros(1 << 16, np.int64)
 
         def rows(pair: bool, keys, counts):
-            return pa.RecordBatch.from_pydict({"pair": pa.array([pair] * len(keys), pa.bool_()), "key": pa.array(keys, pa.int64()), "n": pa.array(counts, pa.int64())})
+            for i in range(0, len(keys), 1 << 17):
+                some = slice(i, i + (1 << 17))
+                yield pa.RecordBatch.from_pydict({"pair": pa.repeat(pair, len(keys[some])), "key": pa.array(keys[some]), "n": pa.array(counts[some])})
 
         for _, texts in portions(batches):
             raw, first, _ = lay_out(texts)
             pair = byte_pairs(raw)
             inside = raw != START
             pairs += np.bincount(pair[inside], minlength=1 << 16)
-            for t in texts:
-                found.update(t.lower().split())
-            found[b""] += len(texts)
-            if len(found) > most:
-                yield rows(False, [signed_hash(w) for w in found], list(found.values()))
-                found.clear()
-        yield rows(False, [signed_hash(w) for w in found], list(found.values()))
+            key, n = np.unique(words_of(texts)[0], return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            held += len(key)
+            if held - fixed > most:
+                key, n = added(keys, counts)
+                keys, counts, held, fixed = [key], [n], len(key), len(key)
+                if fixed > most:
+                    yield from rows(False, key, n)
+                    keys, counts, held, fixed = [], [], 0, 0
+        if keys:
+            yield from rows(False, *added(keys, counts))
         full = np.flatnonzero(pairs)
-        yield rows(True, full, pairs[full])
+        yield from rows(True, full, pairs[full])
 
     return cut_lineage(docs.select(text).mapInArrow(run, "pair boolean, key bigint, n bigint"), "survey")
 
@@ -311,10 +415,10 @@ def learn(docs: DataFrame, surveyed: DataFrame, text: str = "text") -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of (predictor, slot, bit) in blocks, in the narrowest type that holds them; all-zero blocks are left out."""
-        first, tables = np.zeros(2 << 16, np.int64), [np.zeros(width, np.int32) for _ in range(HASHED)]
+        tables, bit_of_step = [np.zeros(width, np.int32) for _ in range(HASHED)], trees.step & 1
 
         def rows():
-            flat = [first[i : i + BLOCK] for i in range(0, len(first), BLOCK)] + [t[i : i + BLOCK] for t in tables for i in range(0, width, BLOCK)]
+            flat = [t[i : i + BLOCK] for t in tables for i in range(0, width, BLOCK)]
             for some in range(0, len(flat), 64):
                 full = [(i, b) for i, b in enumerate(flat[some : some + 64], some) if b.any()]
                 yield pa.RecordBatch.from_pydict({
@@ -327,17 +431,19 @@ def learn(docs: DataFrame, surveyed: DataFrame, text: str = "text") -> Model:
             raw, begin, _ = lay_out(texts)
             pair, hashes = byte_pairs(raw), contexts(raw, begin)
             inside = np.flatnonzero(raw != START)
-            for at in (inside[i : i + 50_000] for i in range(0, len(inside), 50_000)):
-                step, owner, _ = trees.paths(pair[at])
-                nodes, bit = stirred_nodes(step), step & 1
-                first += np.bincount(step, minlength=2 << 16)
+            for at in (inside[i : i + 200_000] for i in range(0, len(inside), 200_000)):
+                path, owner, _ = trees.paths(pair[at])
+                nodes, bit = trees.nodes.take(path), bit_of_step.take(path)
                 for c, table in zip(hashes, tables, strict=True):
-                    np.add.at(table, slots_of(c[at], owner, nodes, bits) * 2 + bit, np.int32(1))
+                    slot = slots_of(c.take(at), owner, nodes, bits)
+                    slot <<= 1
+                    slot |= bit
+                    np.add.at(table, slot, np.int32(1))
             read += len(raw)
             if read > 1 << 27:  # long before 32 bits are full
                 yield from rows()
                 read = 0
-                for table in (first, *tables):
+                for table in tables:
                     table.fill(0)
         yield from rows()
 
@@ -356,13 +462,14 @@ def learn(docs: DataFrame, surveyed: DataFrame, text: str = "text") -> Model:
 
     # A task's tables are passed on whole, whatever it has read: so many bytes a task that the tables stay below them in size.
     tasks = -(-size // (8 << bits)) or 1
-    blocks = 2 + HASHED * width // BLOCK
+    blocks = HASHED * width // BLOCK
     counted = docs.select(text).coalesce(tasks).mapInArrow(count, "block bigint, counts binary").repartition(-(-blocks // 48), "block")
     odds = np.zeros(blocks * BLOCK // 2, np.int16)
     for block, found in counted.mapInArrow(merge, "block bigint, odds binary").toLocalIterator():  # 2^17 bytes a block
         odds[block * BLOCK // 2 : (block + 1) * BLOCK // 2] = np.frombuffer(found, np.int16)
-    first = (odds[: 1 << 16] >> 1) / np.float32(UNIT)
-    return Model(trees, first.astype(np.float32), list(odds[1 << 16 :].reshape(HASHED, -1)))
+    nodes = np.bincount(trees.step, np.repeat(bigrams, trees.length), 2 << 16)  # every byte takes the steps of its pair
+    first = (log_odds(nodes.reshape(-1, 2)) >> 1) / np.float32(UNIT)
+    return Model(trees, first.astype(np.float32), list(odds.reshape(HASHED, -1)))
 
 
 def frequent_words(words: DataFrame, head: int) -> DataFrame:
@@ -391,21 +498,19 @@ def score_documents(docs: DataFrame, training, key: str = "doc_id", text: str =
     train_tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent_words(words, head).toArrow().sort_by("word")  # at most head rows
     known, counts = top["word"].to_numpy(), top["c"].to_numpy().astype(np.float64)
+    find = Finder(known)
     below = train_tokens + 0.1 * (vocabulary + 1)
     values = np.log10((counts + 0.1) / below)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Memo(signed_hash)
         for batch, texts in portions(batches, 2, size=4 << 20):
-            split = [t.lower().split() for t in texts]
-            sizes = np.fromiter(map(len, split), np.int64, len(split)) + 1
-            h = np.fromiter((hashes[w] for one in split for w in (*one, b"")), np.int64, int(sizes.sum()))
-            at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+            h, sizes = words_of(texts)
+            at = np.minimum(find(h), max(len(known) - 1, 0))
             hit = known[at] == h if len(known) else np.zeros(len(h), bool)
             cuts = np.cumsum(sizes) - sizes
             far = np.add.reduceat((~hit).astype(np.int64), cuts)
-            near = np.add.reduceat(np.where(hit, values[at], 0.0), cuts) if len(known) else np.zeros(len(split))
+            near = np.add.reduceat(np.where(hit, values[at], 0.0), cuts) if len(known) else np.zeros(len(texts))
             yield pa.RecordBatch.from_pydict({
                 "row": batch.column(0), key: batch.column(1), "n_tokens": pa.array(sizes), "near_known": pa.array(sizes - far),
                 "near_score": pa.array(near, pa.float64()), "score": pa.array(model.score(texts), pa.float64()),

@@ -266,6 +266,34 @@ def test_slot_counts_by_hand(spark):
     assert np.allclose(contextmix.log_odds(dense) >> 1, model.first * contextmix.UNIT)
 
 
+def test_words_in_arrays():
+    """Hashes are equal exactly where the words are, whatever texts they stand in; bytes that UTF-8 never uses are letters."""
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"aAbB \n\t\r\xc3\xa9\xfe\xff") for _ in range(rng.randint(0, 25))) for _ in range(500)]
+    want = [w for t in texts for w in (*t.lower().split(), b"")]
+    for about in (1, 300, 1 << 18):
+        got, sizes = contextmix.words_of(texts, about)
+        assert sizes.tolist() == [len(t.split()) + 1 for t in texts]
+        assert len(set(zip(want, got.tolist(), strict=True))) == len(set(want)) == len(set(got.tolist()))
+        assert {w for w, h in zip(want, got.tolist(), strict=True) if h == contextmix.END_WORD} == {b""}
+    assert [len(a) for a in contextmix.words_of([])] == [0, 0]
+
+
+def test_finder_as_binary_search():
+    rng = np.random.default_rng(2)
+    known = np.unique(np.append(rng.integers(-(1 << 63), 1 << 63, 3000), [-(1 << 63), -1, 0, 1, 2, 3, (1 << 63) - 1]))
+    h = np.concatenate([known, known[:-1] + 1, rng.integers(-(1 << 63), 1 << 63, 3000)])
+    for some in (known, known[:1], known[:0]):
+        assert (contextmix.Finder(some, 10)(h) == np.searchsorted(some, h)).all()
+
+
+def test_words_are_counted_over_portions(spark):
+    """A survey that passes its counts on often has the sums of one that holds them all."""
+    df = spark.createDataFrame([(" ".join(f"w{(i * j) % 97}" for j in range(i % 40)),) for i in range(5000)], "text string").repartition(2)
+    sums = [sorted(map(tuple, contextmix.word_counts(contextmix.survey(df, most=n)).collect())) for n in (10, 1_000_000)]
+    assert sums[0] == sums[1] and len(sums[0]) == 98
+
+
 def test_slots_grow_with_the_corpus():
     sizes = [contextmix.slot_bits(n) for n in (0, 1 << 27, 1 << 29, 1 << 31, 1 << 33)]
     assert sizes == sorted(sizes) and sizes[0] == contextmix.LEAST_BITS < sizes[2] < sizes[4]
