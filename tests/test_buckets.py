@@ -1,5 +1,6 @@
 """Tables in buckets: what a load touches, and that it equals a merge of whole tables."""
 
+import random
 from pathlib import Path
 
 import pytest
@@ -92,3 +93,51 @@ def test_load_reports(spark, tmp_path):
     assert tuple(report.first()) == ("posts", 30, 2, -28)
     report = jobs.load_target(spark, rows(spark, 1, "c", start=50), str(tmp_path / "posts"))
     assert tuple(report.first()) == ("posts", 2, 3, 1)
+
+
+def odd_rows(spark, rng, n, extra, with_seq=True):
+    """Few keys, so that they repeat, some missing or blank; a map, which can neither be sorted nor hashed."""
+    keys = [None, "", " ", *[f"p{i}" for i in range(40)]]
+    found = [(rng.choice(keys), rng.choice([None, "a", "b"]), {"m": rng.randint(0, 3)}, rng.randint(0, 9), i if rng.random() < 0.9 else None) for i in range(n)]
+    df = spark.createDataFrame(found, f"post_id string, content string, why map<string,int>, {extra} int, ingest_seq long")
+    # Of rows with one key and no order any may be taken, so they are made equal.
+    return df if with_seq else df.drop("ingest_seq").withColumns({"content": F.lower("post_id"), "why": F.create_map(F.lit("m"), F.length("post_id")), extra: F.length("post_id")})
+
+
+@pytest.mark.parametrize("with_seq", [True, False])
+def test_dealt_merge_equals_the_join(spark, with_seq):
+    rng = random.Random(5)
+    for _ in range(3):
+        target = odd_rows(spark, rng, 60, "x")
+        source = odd_rows(spark, rng, 80, "y", with_seq).where("ingest_seq IS NOT NULL" if with_seq else "true")
+        sides = [publish.merge_upsert(target, source, "post_id", mark_new="_new", dealt_by=by) for by in (None, buckets._dealt_by(3))]
+        assert sides[0].columns == sides[1].columns
+        assert sorted(map(repr, sides[0].collect())) == sorted(map(repr, sides[1].collect()))
+
+
+def test_a_load_moves_rows_once(spark, tmp_path):
+    root = str(tmp_path / "t")
+    buckets.upsert(spark, rows(spark, 500, "old"), root, "post_id")
+    new = rows(spark, 500, "new", start=100)
+    _, numbers, last = buckets._keys_of(new, "post_id", 1, buckets.HOT)
+    merged = buckets._merged(store.read_table(spark, root, buckets=numbers), last, "post_id", 1)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_hot_keys_are_cut_before_they_move(spark, tmp_path):
+    source = rows(spark, 300, "x").unionByName(rows(spark, 400, "y", start=1000).withColumn("post_id", F.lit("p7")))
+    keys, numbers, last = buckets._keys_of(source, "post_id", 4, 100)
+    assert (keys, sorted(numbers)) == (300, [0, 1, 2, 3]) and last.count() == 300
+    assert last.where("post_id = 'p7'").select("ingest_seq", "content").collect() == [(1399, "y")]
+    root = str(tmp_path / "t")
+    assert buckets.upsert(spark, source, root, "post_id", hot=100).after == 300
+    assert store.read_table(spark, root).where("content = 'y'").count() == 1
+
+
+def test_rows_of_a_bucket_are_spread(spark):
+    """Rows of one bucket go to several tasks, those without a key, too."""
+    number = buckets._dealt_by(2)
+    keyed = rows(spark, 1000, "x").select(number(F.col("post_id"), F.lit(0)).alias("n"), buckets.bucket_of(F.col("post_id"), 2).alias("b")).distinct().collect()
+    assert sorted(r["n"] for r in keyed) == list(range(2 * buckets.TASKS_PER_BUCKET)) and all(r["n"] // buckets.TASKS_PER_BUCKET == r["b"] for r in keyed)
+    none = F.lit(None).cast("string")
+    assert spark.range(1, 1000).select(number(none, F.col("id")).alias("n")).distinct().count() == buckets.TASKS_PER_BUCKET
