@@ -47,6 +47,13 @@ def assert_unique_key(t):
 MARKED_SQL = "marked AS (SELECT post_id, toxic FROM posts LEFT JOIN labels ON ingest_seq = doc_id WHERE coalesce(trim(post_id), '') <> '')"
 
 
+def rated_posts(t):
+    """Posts with rule_score and the map rule_why; is_ad is their mark. Marks are joined before the rules, as posts then still lie as the join wants them."""
+    marks = t["labels"].select(F.col("doc_id").alias("ingest_seq"), F.col("toxic").alias("_mark"))
+    rated = labels.apply_ad_rules(t.posts_raw.join(marks, "ingest_seq", "left"))
+    return rated.drop("is_ad").withColumnRenamed("_mark", "is_ad")
+
+
 @query(
     "load_targets",
     """SELECT 'all_post' AS target, count(DISTINCT post_id) AS before, count(DISTINCT post_id) AS after, 0 AS delta FROM marked
@@ -57,9 +64,7 @@ MARKED_SQL = "marked AS (SELECT post_id, toxic FROM posts LEFT JOIN labels ON in
 def load_targets(t):
     """All posts loaded, then all three tables: the first target does not grow again; an absent table is skipped."""
     root = scratch_path(t.spark, "targets")
-    marks = t["labels"].select(F.col("doc_id").alias("ingest_seq"), F.col("toxic").alias("is_ad"))
-    rated = labels.apply_ad_rules(t.posts_raw).drop("is_ad")  # with rule_score and the map rule_why
-    posts = cut_lineage(rated.join(marks, "ingest_seq", "left"), "rated")
+    posts = cut_lineage(rated_posts(t), "rated")
     jobs.load_targets(t.spark, {"all_post": posts, "missing": None}, root)
     tables = {"all_post": posts, "non_ads": posts.where("is_ad = 0"), "ads": posts.where("is_ad = 1")}
     return jobs.load_targets(t.spark, tables, root)

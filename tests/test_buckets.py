@@ -141,3 +141,27 @@ def test_rows_of_a_bucket_are_spread(spark):
     assert sorted(r["n"] for r in keyed) == list(range(2 * buckets.TASKS_PER_BUCKET)) and all(r["n"] // buckets.TASKS_PER_BUCKET == r["b"] for r in keyed)
     none = F.lit(None).cast("string")
     assert spark.range(1, 1000).select(number(none, F.col("id")).alias("n")).distinct().count() == buckets.TASKS_PER_BUCKET
+
+
+def test_rated_posts_move_once(spark, tmp_path):
+    """Where marks are not broadcast, the join with them finds the posts as they were dealt out before the rules."""
+    from postsieve.catalog.base import Tables
+    from postsieve.catalog.publishing import rated_posts
+
+    docs = [(i, f"text {i}" if i % 7 else None, "en", "s") for i in range(60)] + [(5, "again", "en", "s"), (None, "none", "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [(i, i % 2) for i in range(0, 40, 3)] + [(3, 0), (None, 1), (6, None)]
+    spark.createDataFrame(marks, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rated = rated_posts(Tables(spark, str(tmp_path)))
+        assert rated._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # of posts and of marks
+        got = sorted((r["ingest_seq"] or -1, -1 if r["is_ad"] is None else r["is_ad"]) for r in rated.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    by = {}
+    for k, mark in marks:
+        by.setdefault(k, []).append(-1 if mark is None else mark)
+    by.pop(None)
+    assert got == sorted((k or -1, m) for k, *_ in docs for m in by.get(k, [-1]))
